@@ -1,0 +1 @@
+"""Incremental refresh driven by Structured Streaming."""
