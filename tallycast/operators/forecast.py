@@ -93,12 +93,15 @@ def growth_forecast(
     seed3: bool = True,
     repeat_seeds: bool = False,
     provisional_actual: bool = False,
+    emit: tuple[str, ...] = ("seed", "forecast"),
 ) -> DataFrame:
     """Forecast rows (attack_type, time, predict_count, real_count[, year], _actual).
 
     ``real_count`` is the value the rows are first written with (0, or the
-    provisional actual for months); ``_actual`` is the successor's measured value
-    when it is the next row of the series, for positional backfill.
+    provisional actual for months); ``_actual`` is the measured value of the
+    row's label when the series has it (always for seeds; for forecasts when the
+    successor is the next row), for positional backfill.  ``emit`` selects seed
+    rows, forecast rows or both.
     """
     if ratio not in ("forward", "inverse"):
         raise ValueError(f"ratio must be 'forward' or 'inverse', got {ratio!r}")
@@ -143,22 +146,43 @@ def growth_forecast(
         fc_year = F.col("_next_year") if spec.next_year else F.col("_year")
 
     seed_last = 3 if seed3 else 2
-    seed = F.when(rn <= seed_last,
+    seed_on = (rn <= seed_last) if "seed" in emit else F.lit(False)
+    fc_on = (rn >= 3) if "forecast" in emit else F.lit(False)
+    seed = F.when(seed_on,
                   entry(F.col("_label"), seed_value(rn, l2, l3), F.lit(0), seed_year, F.col("_x")))
     if spec.next_key is not None:
         succ_actual = F.when(F.col("_lead_key") == F.col("_next_key"), F.col("_lead_x"))
     else:
         succ_actual = F.lit(None).cast("double")
     fc_real = trunc_int(F.col("_x")) if provisional_actual else F.lit(0)
-    fc = F.when(rn >= 3, entry(F.col("_next"), steady, fc_real, fc_year, succ_actual))
+    fc = F.when(fc_on, entry(F.col("_next"), steady, fc_real, fc_year, succ_actual))
 
     if repeat_seeds:
         reps = F.greatest(F.lit(1), F.col("_n") - 3).cast("int")
         rows = F.concat(F.array_repeat(seed, reps), F.array(fc))
     else:
         rows = F.array(seed, fc)
-    out = win.select(TYPE_COL, F.inline(F.filter(rows, lambda e: e.isNotNull())))
-    return out
+    return win.select(TYPE_COL, F.inline(F.filter(rows, lambda e: e.isNotNull())))
+
+
+def growth_terms(prepared: DataFrame, spec: SeriesSpec, *, x: str = "acc",
+                 ratio: str = "forward") -> DataFrame:
+    """The ratio sum behind each forecast row: (attack_type, time, growth, predict_count).
+
+    ``growth`` is ``l1/l2 + l2/l3`` (forward) or ``l2/l1 + l3/l2`` (inverse).
+    """
+    w = Window.partitionBy(TYPE_COL).orderBy(*spec.order)
+    xv = F.col(x).cast("double")
+    win = prepared.select(TYPE_COL, F.col(spec.next_label).alias("time"),
+                          (F.row_number().over(w) - 1).alias("_rn"),
+                          *[F.lag(xv, k).over(w).alias(f"_l{k}") for k in (1, 2, 3)])
+    l1, l2, l3 = F.col("_l1"), F.col("_l2"), F.col("_l3")
+    if ratio == "forward":
+        growth, value = ieee_div(l1, l2) + ieee_div(l2, l3), forward_growth(l1, l2, l3)
+    else:
+        growth, value = ieee_div(l2, l1) + ieee_div(l3, l2), inverse_growth(l1, l2, l3)
+    return win.where(F.col("_rn") >= 3).select(
+        TYPE_COL, "time", growth.alias("growth"), value.alias("predict_count"))
 
 
 def legacy_growth(rollup_count: DataFrame, *, order: tuple[str, ...] = ("_day",),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import rollup as R
 from ..operators.backfill import backfill_positional, backfill_week_yearless
-from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, legacy_growth
+from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
 from ..sources.tables import TYPE_COL
 from .session import checkpoint_dir
 
@@ -29,53 +29,75 @@ TIME_COL = {"hour": "time_hour", "day": "time_day", "week": "time_week",
             "month": "time_month", "legacy_day": "time_hour"}
 
 
-# ------------------------------------------------------------------ per-grain forecast rows
-
-def _hour_rows(stat: DataFrame, ratio: str) -> DataFrame:
-    r = R.rollup_hour(stat)
-    period = cal.hour_start("year", "month", "day", "hour")
-    prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period")).select(
-        "*", cal.next_hour("_period").alias("_next"),
-        (F.col("_period") + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
-    spec = SeriesSpec(order=("_period",), label="hour_time", next_label="_next", next_key="_next_key")
-    return growth_forecast(prep, spec, ratio=ratio)
-
-
-def _day_rows(stat: DataFrame) -> DataFrame:
-    r = R.rollup_day(stat)
-    prep = r.select(TYPE_COL, "acc", "day_time",
-                    cal.day_date("year", "month", "day").alias("_period")).select(
-        "*", cal.next_day("_period").alias("_next"), F.date_add("_period", 1).alias("_next_key"))
-    spec = SeriesSpec(order=("_period",), label="day_time", next_label="_next", next_key="_next_key")
-    return growth_forecast(prep, spec)
-
-
-def _month_rows(stat: DataFrame, dedupe_seeds: bool) -> DataFrame:
-    r = R.rollup_month(stat)
-    prep = r.select(TYPE_COL, "acc", "month_time",
-                    cal.month_start("year", "month").alias("_period")).select(
-        "*", cal.next_month("_period").alias("_next"), F.add_months("_period", 1).alias("_next_key"))
-    spec = SeriesSpec(order=("_period",), label="month_time", next_label="_next", next_key="_next_key")
-    return growth_forecast(prep, spec, seed3=dedupe_seeds, repeat_seeds=not dedupe_seeds,
-                           provisional_actual=True)
-
-
-def _week_rows(stat: DataFrame, iso_year: bool) -> tuple[DataFrame, DataFrame]:
-    r = R.rollup_week(stat, iso_year=iso_year)
-    if iso_year:
-        nxt_year, nxt_week = cal.next_iso_week("week_start")
-        prep = r.select(TYPE_COL, "acc", "year", F.col("week_time").cast("string").alias("_label"),
-                        "week_start", nxt_week.cast("string").alias("_next"),
-                        nxt_year.alias("_next_year"), F.date_add("week_start", 7).alias("_next_key"))
-        spec = SeriesSpec(order=("week_start",), label="_label", next_label="_next",
-                          next_key="_next_key", year="year", next_year="_next_year")
-    else:
+# ------------------------------------------------------------------ per-grain series
+
+def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
+                    ) -> tuple[DataFrame, SeriesSpec, DataFrame]:
+    """(prepared frame, its SeriesSpec, the rollup it came from) for a grain."""
+    if grain == "hour":
+        r = R.rollup_hour(stat)
+        period = cal.hour_start("year", "month", "day", "hour")
+        prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period")).select(
+            "*", cal.next_hour("_period").alias("_next"),
+            (F.col("_period") + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
+        return prep, SeriesSpec(("_period",), "hour_time", "_next", "_next_key"), r
+    if grain == "day":
+        r = R.rollup_day(stat)
+        prep = r.select(TYPE_COL, "acc", "day_time",
+                        cal.day_date("year", "month", "day").alias("_period")).select(
+            "*", cal.next_day("_period").alias("_next"), F.date_add("_period", 1).alias("_next_key"))
+        return prep, SeriesSpec(("_period",), "day_time", "_next", "_next_key"), r
+    if grain == "month":
+        r = R.rollup_month(stat)
+        prep = r.select(TYPE_COL, "acc", "month_time",
+                        cal.month_start("year", "month").alias("_period")).select(
+            "*", cal.next_month("_period").alias("_next"), F.add_months("_period", 1).alias("_next_key"))
+        return prep, SeriesSpec(("_period",), "month_time", "_next", "_next_key"), r
+    if grain == "week":
+        r = R.rollup_week(stat, iso_year=iso_year)
+        if iso_year:
+            nxt_year, nxt_week = cal.next_iso_week("week_start")
+            prep = r.select(TYPE_COL, "acc", "year", F.col("week_time").cast("string").alias("_label"),
+                            "week_start", nxt_week.cast("string").alias("_next"),
+                            nxt_year.alias("_next_year"), F.date_add("week_start", 7).alias("_next_key"))
+            spec = SeriesSpec(("week_start",), "_label", "_next", "_next_key",
+                              year="year", next_year="_next_year")
+            return prep, spec, r
         prep = r.select(TYPE_COL, "acc", "year", "week_time",
                         F.col("week_time").cast("string").alias("_label"),
                         cal.next_week_number("week_time").cast("string").alias("_next"))
-        spec = SeriesSpec(order=("year", "week_time"), label="_label", next_label="_next",
-                          year="year", seed_year_first=True)
-    return growth_forecast(prep, spec), r
+        spec = SeriesSpec(("year", "week_time"), "_label", "_next", year="year", seed_year_first=True)
+        return prep, spec, r
+    raise ValueError(f"no growth series for grain {grain!r}")
+
+
+def forecast_rows(stat: DataFrame, grain: str, *, ratio: str | None = None,
+                  dedupe_seeds: bool = False, iso_year: bool = False,
+                  emit: tuple[str, ...] = ("seed", "forecast")) -> tuple[DataFrame, DataFrame]:
+    """(forecast rows with ``time`` and ``_actual``, rollup) for hour/day/week/month."""
+    if grain != "hour" and ratio not in (None, "forward"):
+        raise ValueError("ratio='inverse' exists for hours only")
+    prep, spec, r = prepared_series(stat, grain, iso_year=iso_year)
+    month = grain == "month"
+    rows = growth_forecast(prep, spec, ratio=_ratio(grain, ratio),
+                           seed3=not month or dedupe_seeds,
+                           repeat_seeds=month and not dedupe_seeds,
+                           provisional_actual=month, emit=emit)
+    return rows, r
+
+
+def growth(stat: DataFrame, grain: str, ratio: str | None = None) -> DataFrame:
+    """Ratio sums behind every forecast row: (attack_type, time, growth, predict_count)."""
+    prep, spec, _ = prepared_series(stat, grain)
+    return growth_terms(prep, spec, ratio=_ratio(grain, ratio))
+
+
+def unmatched_forecasts(stat: DataFrame, grain: str, **options) -> DataFrame:
+    """Forecast rows whose label has no measured period (interior gaps, and the
+    final successor of each series): (attack_type, time_<grain>, predict_count)."""
+    rows, _ = forecast_rows(stat, grain, emit=("forecast",), **options)
+    return rows.where(F.col(ACTUAL).isNull()).select(
+        TYPE_COL, F.col("time").alias(TIME_COL[grain]), "predict_count")
 
 
 def _legacy_rows(stat: DataFrame) -> DataFrame:
@@ -107,22 +129,10 @@ def forecast(stat: DataFrame, grain: str, *, ratio: str | None = None,
     _check(grain)
     if grain == "legacy_day":
         return _legacy_rows(stat)
-    rows = _rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds, iso_year=iso_year)[0]
+    rows, _ = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds, iso_year=iso_year)
     return _finish(rows.drop(ACTUAL), grain)
 
 
-def _rows(stat, grain, *, ratio, dedupe_seeds, iso_year):
-    if grain == "hour":
-        return _hour_rows(stat, _ratio(grain, ratio)), None
-    if ratio is not None and ratio != "forward":
-        raise ValueError("ratio='inverse' exists for hours only")
-    if grain == "day":
-        return _day_rows(stat), None
-    if grain == "month":
-        return _month_rows(stat, dedupe_seeds), None
-    return _week_rows(stat, iso_year)
-
-
 def _finish(rows: DataFrame, grain: str) -> DataFrame:
     cols = [TYPE_COL, F.col("time").alias(TIME_COL[grain]), "real_count", "predict_count"]
     if "year" in rows.columns:
@@ -136,7 +146,8 @@ def backfill(stat: DataFrame, grain: str, *, ratio: str | None = None,
     _check(grain)
     if grain == "legacy_day":
         return _legacy_rows(stat)  # the legacy job never backfills
-    rows, weekly = _rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds, iso_year=iso_year)
+    rows, weekly = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds,
+                                 iso_year=iso_year)
     if grain == "week" and not iso_year:
         filled = backfill_week_yearless(rows, weekly)
     else:
