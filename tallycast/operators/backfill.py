@@ -13,18 +13,21 @@ no shuffle.
 
 Calendar weeks cannot use that: their label is a week number without a year
 (``(w + 1) % 52``), and a label takes the value of the *latest* year that has
-that week.  That one is a real left join against a per-(series, week) table,
-itself an aggregation of the weekly rollup (at most 53 rows per series).
+that week.  For them the forecast pass also emits one marker row per rollup
+period, and a window over (series, label) hands the latest marker's value to
+every row with that label.  The frame is already hash-partitioned by series,
+which satisfies the (series, label) clustering, so this costs a local sort and
+no shuffle; a (series, label) group holds at most two rows per year.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import trunc_int
 from ..sources.tables import TYPE_COL
-from .forecast import ACTUAL
+from .forecast import ACTUAL, MARK_YEAR
 
 
 def backfill_positional(rows: DataFrame) -> DataFrame:
@@ -34,17 +37,12 @@ def backfill_positional(rows: DataFrame) -> DataFrame:
     return rows.select(*keep, real)
 
 
-def latest_week_actuals(weekly: DataFrame) -> DataFrame:
-    """(attack_type, _week_label, _week_real): per series and week number, the
-    truncated sum of the latest year that has the week."""
-    return weekly.groupBy(TYPE_COL, F.col("week_time").cast("string").alias("_week_label")).agg(
-        trunc_int(F.max_by("acc", "year")).alias("_week_real"))
-
-
-def backfill_week_yearless(rows: DataFrame, weekly: DataFrame) -> DataFrame:
-    """Left join forecast rows to ``latest_week_actuals`` on (series, week label)."""
-    act = latest_week_actuals(weekly)
-    j = rows.join(act, (rows[TYPE_COL] == act[TYPE_COL]) & (rows["time"] == act["_week_label"]), "left")
-    real = F.coalesce(F.col("_week_real"), rows["real_count"]).alias("real_count")
-    keep = [rows[c] for c in rows.columns if c not in ("real_count", ACTUAL)]
-    return j.select(*keep, real)
+def backfill_by_label(rows: DataFrame) -> DataFrame:
+    """real_count := trunc(value of the latest-year marker with the same label)."""
+    same_label = Window.partitionBy(TYPE_COL, "time")
+    latest = F.max_by(F.col(ACTUAL), F.col(MARK_YEAR)).over(same_label)
+    real = F.coalesce(trunc_int(F.col("_latest")), F.col("real_count")).alias("real_count")
+    keep = [c for c in rows.columns if c not in ("real_count", ACTUAL, MARK_YEAR)]
+    return (rows.select("*", latest.alias("_latest"))
+            .where(F.col(MARK_YEAR).isNull())
+            .select(*keep, real))

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ieee_div, trunc_int
 from ..sources.tables import TYPE_COL
 
-ACTUAL = "_actual"  # positional backfill candidate carried to backfill.py
+ACTUAL = "_actual"  # measured value of the row's label, carried to backfill.py
+MARK_YEAR = "_mark_year"  # set on period marker rows only (label-keyed backfill)
 
 
 @dataclass(frozen=True)
@@ -63,16 +64,24 @@ class SeriesSpec:
     seed_year_first: bool = False
 
 
+def forward_ratio_value(l1: Column, l2: Column, l3: Column) -> Column:
+    """``l1 * (l1/l2 + l2/l3) / 2`` as a double."""
+    return l1 * (ieee_div(l1, l2) + ieee_div(l2, l3)) / F.lit(2.0)
+
+
+def inverse_ratio_value(l1: Column, l2: Column, l3: Column) -> Column:
+    """``trunc(l1) * (l2/l1 + l3/l2) / 2`` as a double: older over newer, base truncated first."""
+    return trunc_int(l1).cast("double") * (ieee_div(l2, l1) + ieee_div(l3, l2)) / F.lit(2.0)
+
+
 def forward_growth(l1: Column, l2: Column, l3: Column) -> Column:
     """``trunc(l1 * (l1/l2 + l2/l3) / 2)``."""
-    pct = ieee_div(l1, l2) + ieee_div(l2, l3)
-    return trunc_int(l1 * pct / F.lit(2.0))
+    return trunc_int(forward_ratio_value(l1, l2, l3))
 
 
 def inverse_growth(l1: Column, l2: Column, l3: Column) -> Column:
-    """``trunc(trunc(l1) * (l2/l1 + l3/l2) / 2)``: older over newer, base truncated first."""
-    pct = ieee_div(l2, l1) + ieee_div(l3, l2)
-    return trunc_int(trunc_int(l1).cast("double") * pct / F.lit(2.0))
+    """``trunc(trunc(l1) * (l2/l1 + l3/l2) / 2)``."""
+    return trunc_int(inverse_ratio_value(l1, l2, l3))
 
 
 def seed_value(rn: Column, l2: Column, l3: Column) -> Column:
@@ -94,14 +103,16 @@ def growth_forecast(
     repeat_seeds: bool = False,
     provisional_actual: bool = False,
     emit: tuple[str, ...] = ("seed", "forecast"),
+    markers: bool = False,
 ) -> DataFrame:
-    """Forecast rows (attack_type, time, predict_count, real_count[, year], _actual).
+    """Forecast rows (attack_type, time, predict_count, real_count[, year], _actual[, _mark_year]).
 
     ``real_count`` is the value the rows are first written with (0, or the
     provisional actual for months); ``_actual`` is the measured value of the
     row's label when the series has it (always for seeds; for forecasts when the
     successor is the next row), for positional backfill.  ``emit`` selects seed
-    rows, forecast rows or both.
+    rows, forecast rows or both.  ``markers`` adds one row per rollup period
+    (``_mark_year`` set, ``_actual`` = its value) for label-keyed backfill.
     """
     if ratio not in ("forward", "inverse"):
         raise ValueError(f"ratio must be 'forward' or 'inverse', got {ratio!r}")
@@ -129,14 +140,23 @@ def growth_forecast(
                           *cols)
 
     rn, l1, l2, l3 = F.col("_rn"), F.col("_l1"), F.col("_l2"), F.col("_l3")
-    steady = forward_growth(l1, l2, l3) if ratio == "forward" else inverse_growth(l1, l2, l3)
-
-    def entry(time: Column, predict: Column, real: Column, year: Column | None, actual: Column) -> Column:
+    raw = forward_ratio_value(l1, l2, l3) if ratio == "forward" else inverse_ratio_value(l1, l2, l3)
+    # Doubles are computed once here; the row structs below only truncate them.
+    win = win.select("*", raw.alias("_fv"), ieee_div(l2 * l2, l3).alias("_s3"))
+    seed_pred = (F.when(rn == 2, trunc_int(l2)).when(rn == 3, trunc_int(F.col("_s3")))
+                 .otherwise(F.lit(0)))
+    steady = trunc_int(F.col("_fv"))
+
+    def entry(time: Column, predict: Column, real: Column, year: Column | None, actual: Column,
+              mark_year: Column | None = None) -> Column:
         fields = [time.cast("string").alias("time"), predict.cast("int").alias("predict_count"),
                   real.cast("int").alias("real_count")]
         if spec.year is not None:
             fields.append(year.cast("string").alias("year"))
         fields.append(actual.cast("double").alias(ACTUAL))
+        if markers:
+            fields.append((mark_year if mark_year is not None else F.lit(None)).cast("string")
+                          .alias(MARK_YEAR))
         return F.struct(*fields)
 
     seed_year = None
@@ -148,8 +168,7 @@ def growth_forecast(
     seed_last = 3 if seed3 else 2
     seed_on = (rn <= seed_last) if "seed" in emit else F.lit(False)
     fc_on = (rn >= 3) if "forecast" in emit else F.lit(False)
-    seed = F.when(seed_on,
-                  entry(F.col("_label"), seed_value(rn, l2, l3), F.lit(0), seed_year, F.col("_x")))
+    seed = F.when(seed_on, entry(F.col("_label"), seed_pred, F.lit(0), seed_year, F.col("_x")))
     if spec.next_key is not None:
         succ_actual = F.when(F.col("_lead_key") == F.col("_next_key"), F.col("_lead_x"))
     else:
@@ -162,6 +181,11 @@ def growth_forecast(
         rows = F.concat(F.array_repeat(seed, reps), F.array(fc))
     else:
         rows = F.array(seed, fc)
+    if markers:
+        mark_year = F.col("_year") if spec.year is not None else F.lit("")
+        mark = entry(F.col("_label"), F.lit(None), F.lit(None), F.col("_year") if spec.year else None,
+                     F.col("_x"), mark_year)
+        rows = F.concat(rows, F.array(mark))
     return win.select(TYPE_COL, F.inline(F.filter(rows, lambda e: e.isNotNull())))
 
 

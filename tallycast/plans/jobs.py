@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import rollup as R
-from ..operators.backfill import backfill_positional, backfill_week_yearless
+from ..operators.backfill import backfill_by_label, backfill_positional
 from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
 from ..sources.tables import TYPE_COL
 from .session import checkpoint_dir
@@ -73,7 +73,8 @@ def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
 
 def forecast_rows(stat: DataFrame, grain: str, *, ratio: str | None = None,
                   dedupe_seeds: bool = False, iso_year: bool = False,
-                  emit: tuple[str, ...] = ("seed", "forecast")) -> tuple[DataFrame, DataFrame]:
+                  emit: tuple[str, ...] = ("seed", "forecast"),
+                  markers: bool = False) -> tuple[DataFrame, DataFrame]:
     """(forecast rows with ``time`` and ``_actual``, rollup) for hour/day/week/month."""
     if grain != "hour" and ratio not in (None, "forward"):
         raise ValueError("ratio='inverse' exists for hours only")
@@ -82,7 +83,7 @@ def forecast_rows(stat: DataFrame, grain: str, *, ratio: str | None = None,
     rows = growth_forecast(prep, spec, ratio=_ratio(grain, ratio),
                            seed3=not month or dedupe_seeds,
                            repeat_seeds=month and not dedupe_seeds,
-                           provisional_actual=month, emit=emit)
+                           provisional_actual=month, emit=emit, markers=markers)
     return rows, r
 
 
@@ -146,12 +147,10 @@ def backfill(stat: DataFrame, grain: str, *, ratio: str | None = None,
     _check(grain)
     if grain == "legacy_day":
         return _legacy_rows(stat)  # the legacy job never backfills
-    rows, weekly = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds,
-                                 iso_year=iso_year)
-    if grain == "week" and not iso_year:
-        filled = backfill_week_yearless(rows, weekly)
-    else:
-        filled = backfill_positional(rows)
+    by_label = grain == "week" and not iso_year
+    rows, _ = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds,
+                            iso_year=iso_year, markers=by_label)
+    filled = backfill_by_label(rows) if by_label else backfill_positional(rows)
     return _finish(filled, grain)
 
 

@@ -3,7 +3,7 @@
 Each adapter reads only the columns it needs (the scan's ReadSchema shows the
 pruning) and maps them onto the statistics contract: series key, double
 measure, zero-padded period parts.  Timestamps are read as they are stored
-(``timestamp_ntz``); parts come from ``date_format`` so no zone shift applies.
+(``timestamp_ntz``); parts are its calendar fields, so no zone shift applies.
 """
 
 from __future__ import annotations
@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from .tables import normalize
 
 
+def _pad2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
 def _parts(ts: Column) -> list[Column]:
+    """Zero-padded yyyy, MM, dd, HH parts (integer field extraction, no formatter)."""
     return [
-        F.date_format(ts, "yyyy").alias("year"),
-        F.date_format(ts, "MM").alias("month"),
-        F.date_format(ts, "dd").alias("day"),
-        F.date_format(ts, "HH").alias("hour"),
+        F.lpad(F.year(ts).cast("string"), 4, "0").alias("year"),
+        _pad2(F.month(ts)).alias("month"),
+        _pad2(F.dayofmonth(ts)).alias("day"),
+        _pad2(F.hour(ts)).alias("hour"),
     ]
 
 

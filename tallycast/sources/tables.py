@@ -44,12 +44,13 @@ def normalize(df: DataFrame) -> DataFrame:
     rollup must see their groups.
     """
     validate(df)
-    key = F.trim(F.col(TYPE_COL))
-    return df.select(
-        key.alias(TYPE_COL),
+    # trim(x) is null exactly when x is, so the null test goes on the raw column,
+    # where Parquet can evaluate it (PushedFilters: IsNotNull(attack_type)).
+    return df.where(F.col(TYPE_COL).isNotNull()).select(
+        F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
         F.col(MEASURE_COL).cast("double").alias(MEASURE_COL),
         *[F.col(c).cast("string").alias(c) for c in PART_COLS],
-    ).where(key.isNotNull())
+    )
 
 
 def read_stat_parquet(spark: SparkSession, path: str) -> DataFrame:
