@@ -1,0 +1,30 @@
+"""End-to-end: every registered query against its DuckDB oracle (the driver's gate).
+
+Runs at sf0.001 by default (fast); set TALLYCAST_ORACLE_SF to another
+directory, e.g. /root/testdata/sf0.01, for the driver's scale.
+"""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from tests.oracle_compare import compare
+
+SF = os.environ.get("TALLYCAST_ORACLE_SF", "/root/testdata/sf0.001")
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_query_matches_oracle(spark, key):
+    (res,) = compare(spark, SF, [key])
+    assert res["ok"], res
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["id", "busiess_sys", "time_hour", "attack_type", "real_count", "predict_count"]
+    assert df.count() > 0
