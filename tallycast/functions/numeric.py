@@ -18,6 +18,21 @@ INT_MAX = 2147483647
 INT_MIN = -2147483648
 
 
+def ieee_div_sql(a: str, b: str) -> str:
+    """SQL text of ``ieee_div`` over two SQL operands (column names or expressions)."""
+    a, b = f"CAST(({a}) AS DOUBLE)", f"CAST(({b}) AS DOUBLE)"
+    return (f"(CASE WHEN {b} = 0 THEN (CASE WHEN {a} > 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {a} < 0 THEN CAST('-Infinity' AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END) "
+            f"ELSE {a} / {b} END)")
+
+
+def trunc_int_sql(d: str) -> str:
+    """SQL text of ``trunc_int`` over a SQL operand."""
+    d = f"CAST(({d}) AS DOUBLE)"
+    return (f"CAST(CASE WHEN isnan({d}) THEN 0 WHEN {d} >= {INT_MAX} THEN {INT_MAX} "
+            f"WHEN {d} <= {INT_MIN} THEN {INT_MIN} ELSE CAST({d} AS INT) END AS INT)")
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -31,10 +31,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ieee_div, trunc_int
+from ..functions.numeric import ieee_div, ieee_div_sql, trunc_int, trunc_int_sql
 from ..sources.tables import TYPE_COL
 
 ACTUAL = "_actual"  # measured value of the row's label, carried to backfill.py
@@ -64,35 +64,6 @@ class SeriesSpec:
     seed_year_first: bool = False
 
 
-def forward_ratio_value(l1: Column, l2: Column, l3: Column) -> Column:
-    """``l1 * (l1/l2 + l2/l3) / 2`` as a double."""
-    return l1 * (ieee_div(l1, l2) + ieee_div(l2, l3)) / F.lit(2.0)
-
-
-def inverse_ratio_value(l1: Column, l2: Column, l3: Column) -> Column:
-    """``trunc(l1) * (l2/l1 + l3/l2) / 2`` as a double: older over newer, base truncated first."""
-    return trunc_int(l1).cast("double") * (ieee_div(l2, l1) + ieee_div(l3, l2)) / F.lit(2.0)
-
-
-def forward_growth(l1: Column, l2: Column, l3: Column) -> Column:
-    """``trunc(l1 * (l1/l2 + l2/l3) / 2)``."""
-    return trunc_int(forward_ratio_value(l1, l2, l3))
-
-
-def inverse_growth(l1: Column, l2: Column, l3: Column) -> Column:
-    """``trunc(trunc(l1) * (l2/l1 + l3/l2) / 2)``."""
-    return trunc_int(inverse_ratio_value(l1, l2, l3))
-
-
-def seed_value(rn: Column, l2: Column, l3: Column) -> Column:
-    """Cold-start predictions of the first four periods."""
-    return (
-        F.when(rn == 2, trunc_int(l2))
-        .when(rn == 3, trunc_int(ieee_div(l2 * l2, l3)))
-        .otherwise(F.lit(0))
-    )
-
-
 def growth_forecast(
     prepared: DataFrame,
     spec: SeriesSpec,
@@ -113,80 +84,75 @@ def growth_forecast(
     successor is the next row), for positional backfill.  ``emit`` selects seed
     rows, forecast rows or both.  ``markers`` adds one row per rollup period
     (``_mark_year`` set, ``_actual`` = its value) for label-keyed backfill.
+
+    The step is written as SQL expressions (``selectExpr``): the same Catalyst
+    plan as the Column API, built with a handful of driver calls instead of
+    thousands.
     """
     if ratio not in ("forward", "inverse"):
         raise ValueError(f"ratio must be 'forward' or 'inverse', got {ratio!r}")
-    w = Window.partitionBy(TYPE_COL).orderBy(*spec.order)
-    xv = F.col(x).cast("double")
-    cols = [
-        (F.row_number().over(w) - 1).alias("_rn"),
-        F.lag(xv, 1).over(w).alias("_l1"),
-        F.lag(xv, 2).over(w).alias("_l2"),
-        F.lag(xv, 3).over(w).alias("_l3"),
-    ]
+    order = ", ".join(spec.order)
+    over = f"OVER (PARTITION BY {TYPE_COL} ORDER BY {order})"
+    xv = f"CAST({x} AS DOUBLE)"
+    cols = [TYPE_COL, f"{xv} AS _x", f"{spec.label} AS _label", f"{spec.next_label} AS _next",
+            f"row_number() {over} - 1 AS _rn",
+            *[f"lag({xv}, {k}) {over} AS _l{k}" for k in (1, 2, 3)]]
     if spec.next_key is not None:
-        cols += [F.lead(spec.order[0], 1).over(w).alias("_lead_key"),
-                 F.lead(xv, 1).over(w).alias("_lead_x")]
+        cols += [f"{spec.next_key} AS _next_key", f"lead({spec.order[0]}, 1) {over} AS _lead_key",
+                 f"lead({xv}, 1) {over} AS _lead_x"]
     if repeat_seeds:
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        cols.append(F.count(F.lit(1)).over(whole).alias("_n"))
-    if spec.year is not None and spec.seed_year_first:
-        cols.append(F.first(spec.year).over(w).alias("_first_year"))
-    win = prepared.select(TYPE_COL, xv.alias("_x"), F.col(spec.label).alias("_label"),
-                          F.col(spec.next_label).alias("_next"),
-                          *([F.col(spec.next_key).alias("_next_key")] if spec.next_key else []),
-                          *([F.col(spec.year).alias("_year")] if spec.year else []),
-                          *([F.col(spec.next_year).alias("_next_year")] if spec.next_year else []),
-                          *cols)
-
-    rn, l1, l2, l3 = F.col("_rn"), F.col("_l1"), F.col("_l2"), F.col("_l3")
-    raw = forward_ratio_value(l1, l2, l3) if ratio == "forward" else inverse_ratio_value(l1, l2, l3)
+        cols.append(f"count(1) OVER (PARTITION BY {TYPE_COL} ORDER BY {order} "
+                    "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _n")
+    if spec.year is not None:
+        cols.append(f"{spec.year} AS _year")
+        if spec.seed_year_first:
+            cols.append(f"first({spec.year}) {over} AS _first_year")
+        if spec.next_year:
+            cols.append(f"{spec.next_year} AS _next_year")
+    win = prepared.selectExpr(*cols)
     # Doubles are computed once here; the row structs below only truncate them.
-    win = win.select("*", raw.alias("_fv"), ieee_div(l2 * l2, l3).alias("_s3"))
-    seed_pred = (F.when(rn == 2, trunc_int(l2)).when(rn == 3, trunc_int(F.col("_s3")))
-                 .otherwise(F.lit(0)))
-    steady = trunc_int(F.col("_fv"))
-
-    def entry(time: Column, predict: Column, real: Column, year: Column | None, actual: Column,
-              mark_year: Column | None = None) -> Column:
-        fields = [time.cast("string").alias("time"), predict.cast("int").alias("predict_count"),
-                  real.cast("int").alias("real_count")]
+    win = win.selectExpr("*", f"{ratio_value_sql(ratio, '_l1', '_l2', '_l3')} AS _fv",
+                         f"{ieee_div_sql('_l2 * _l2', '_l3')} AS _s3")
+
+    def entry(time: str, predict: str, real: str, year: str | None, actual: str,
+              mark_year: str = "NULL") -> str:
+        fields = [f"'time', CAST({time} AS STRING)", f"'predict_count', CAST({predict} AS INT)",
+                  f"'real_count', CAST({real} AS INT)"]
         if spec.year is not None:
-            fields.append(year.cast("string").alias("year"))
-        fields.append(actual.cast("double").alias(ACTUAL))
+            fields.append(f"'year', CAST({year} AS STRING)")
+        fields.append(f"'{ACTUAL}', CAST({actual} AS DOUBLE)")
         if markers:
-            fields.append((mark_year if mark_year is not None else F.lit(None)).cast("string")
-                          .alias(MARK_YEAR))
-        return F.struct(*fields)
+            fields.append(f"'{MARK_YEAR}', CAST({mark_year} AS STRING)")
+        return f"named_struct({', '.join(fields)})"
 
-    seed_year = None
-    fc_year = None
+    seed_year = fc_year = None
     if spec.year is not None:
-        seed_year = F.col("_first_year") if spec.seed_year_first else F.col("_year")
-        fc_year = F.col("_next_year") if spec.next_year else F.col("_year")
-
-    seed_last = 3 if seed3 else 2
-    seed_on = (rn <= seed_last) if "seed" in emit else F.lit(False)
-    fc_on = (rn >= 3) if "forecast" in emit else F.lit(False)
-    seed = F.when(seed_on, entry(F.col("_label"), seed_pred, F.lit(0), seed_year, F.col("_x")))
-    if spec.next_key is not None:
-        succ_actual = F.when(F.col("_lead_key") == F.col("_next_key"), F.col("_lead_x"))
-    else:
-        succ_actual = F.lit(None).cast("double")
-    fc_real = trunc_int(F.col("_x")) if provisional_actual else F.lit(0)
-    fc = F.when(fc_on, entry(F.col("_next"), steady, fc_real, fc_year, succ_actual))
-
+        seed_year = "_first_year" if spec.seed_year_first else "_year"
+        fc_year = "_next_year" if spec.next_year else "_year"
+    seed_pred = f"CASE _rn WHEN 2 THEN {trunc_int_sql('_l2')} WHEN 3 THEN {trunc_int_sql('_s3')} ELSE 0 END"
+    seed_on = f"_rn <= {3 if seed3 else 2}" if "seed" in emit else "false"
+    fc_on = "_rn >= 3" if "forecast" in emit else "false"
+    succ_actual = "CASE WHEN _lead_key = _next_key THEN _lead_x END" if spec.next_key else "NULL"
+    fc_real = trunc_int_sql("_x") if provisional_actual else "0"
+    seed = f"CASE WHEN {seed_on} THEN {entry('_label', seed_pred, '0', seed_year, '_x')} END"
+    fc = f"CASE WHEN {fc_on} THEN {entry('_next', trunc_int_sql('_fv'), fc_real, fc_year, succ_actual)} END"
     if repeat_seeds:
-        reps = F.greatest(F.lit(1), F.col("_n") - 3).cast("int")
-        rows = F.concat(F.array_repeat(seed, reps), F.array(fc))
+        rows = f"concat(array_repeat({seed}, CAST(greatest(1, _n - 3) AS INT)), array({fc}))"
     else:
-        rows = F.array(seed, fc)
+        rows = f"array({seed}, {fc})"
     if markers:
-        mark_year = F.col("_year") if spec.year is not None else F.lit("")
-        mark = entry(F.col("_label"), F.lit(None), F.lit(None), F.col("_year") if spec.year else None,
-                     F.col("_x"), mark_year)
-        rows = F.concat(rows, F.array(mark))
-    return win.select(TYPE_COL, F.inline(F.filter(rows, lambda e: e.isNotNull())))
+        mark = entry("_label", "NULL", "NULL", "_year" if spec.year else None, "_x",
+                     "_year" if spec.year else "''")
+        rows = f"concat({rows}, array({mark}))"
+    return win.selectExpr(TYPE_COL, f"inline(filter({rows}, e -> e IS NOT NULL))")
+
+
+def ratio_value_sql(ratio: str, l1: str, l2: str, l3: str) -> str:
+    """SQL text of the forecast double before truncation (see the module doc)."""
+    if ratio == "forward":
+        return f"({l1} * ({ieee_div_sql(l1, l2)} + {ieee_div_sql(l2, l3)}) / 2.0)"
+    return (f"(CAST({trunc_int_sql(l1)} AS DOUBLE) * "
+            f"({ieee_div_sql(l2, l1)} + {ieee_div_sql(l3, l2)}) / 2.0)")
 
 
 def growth_terms(prepared: DataFrame, spec: SeriesSpec, *, x: str = "acc",
@@ -195,18 +161,17 @@ def growth_terms(prepared: DataFrame, spec: SeriesSpec, *, x: str = "acc",
 
     ``growth`` is ``l1/l2 + l2/l3`` (forward) or ``l2/l1 + l3/l2`` (inverse).
     """
-    w = Window.partitionBy(TYPE_COL).orderBy(*spec.order)
-    xv = F.col(x).cast("double")
-    win = prepared.select(TYPE_COL, F.col(spec.next_label).alias("time"),
-                          (F.row_number().over(w) - 1).alias("_rn"),
-                          *[F.lag(xv, k).over(w).alias(f"_l{k}") for k in (1, 2, 3)])
-    l1, l2, l3 = F.col("_l1"), F.col("_l2"), F.col("_l3")
+    over = f"OVER (PARTITION BY {TYPE_COL} ORDER BY {', '.join(spec.order)})"
+    xv = f"CAST({x} AS DOUBLE)"
+    win = prepared.selectExpr(TYPE_COL, f"{spec.next_label} AS time", f"row_number() {over} - 1 AS _rn",
+                              *[f"lag({xv}, {k}) {over} AS _l{k}" for k in (1, 2, 3)])
     if ratio == "forward":
-        growth, value = ieee_div(l1, l2) + ieee_div(l2, l3), forward_growth(l1, l2, l3)
+        growth = f"{ieee_div_sql('_l1', '_l2')} + {ieee_div_sql('_l2', '_l3')}"
     else:
-        growth, value = ieee_div(l2, l1) + ieee_div(l3, l2), inverse_growth(l1, l2, l3)
-    return win.where(F.col("_rn") >= 3).select(
-        TYPE_COL, "time", growth.alias("growth"), value.alias("predict_count"))
+        growth = f"{ieee_div_sql('_l2', '_l1')} + {ieee_div_sql('_l3', '_l2')}"
+    value = trunc_int_sql(ratio_value_sql(ratio, "_l1", "_l2", "_l3"))
+    return win.where("_rn >= 3").selectExpr(TYPE_COL, "time", f"{growth} AS growth",
+                                            f"{value} AS predict_count")
 
 
 def legacy_growth(rollup_count: DataFrame, *, order: tuple[str, ...] = ("_day",),
