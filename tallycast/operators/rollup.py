@@ -90,7 +90,13 @@ def rollup_week(stat: DataFrame, iso_year: bool = False) -> DataFrame:
     it, so 2017-01-01 lands in (2017, 52).  ``iso_year=True`` groups by the ISO
     week itself (its Monday) and reports the ISO year, so (2016, 52).
     """
-    p = as_partials(stat)
+    # Raw rows are first reduced per day on plain source columns (cheap hashing,
+    # map-side combined), so the calendar math runs once per (series, day), not
+    # once per raw row.  The day rows are then hash-partitioned by series: that
+    # partitioning already satisfies both the (series, year, week) aggregation
+    # below and the per-series forecast window, so neither adds a shuffle.
+    p = stat if CNT in stat.columns else partials(stat, ("year", "month", "day"))
+    p = p.repartition(TYPE_COL)
     if iso_year:
         monday = cal.week_start(cal.day_date("year", "month", "day"))
         r = _measured(p.groupBy(TYPE_COL, monday.alias("week_start"))
