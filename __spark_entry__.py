@@ -69,6 +69,14 @@ def _next_month(st):
                     cal.next_month(cal.month_start("year", "month")).alias("next_month"))
 
 
+def _sql_view_daily(st):
+    from tallycast.plans.views import register_views
+    register_views(st, prefix="tc_shipments_", grains=("day",))
+    return st.sparkSession.sql(
+        "SELECT attack_type, time_day, real_count, predict_count FROM tc_shipments_prediction_day "
+        "WHERE real_count > predict_count")
+
+
 def _seed_rows(st):
     rows, _ = jobs.forecast_rows(st, "day", emit=("seed",))
     return rows.select("attack_type", F.col("time").alias("time_day"), "predict_count")
@@ -86,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # TYP-1, SC-2 / FLT-1, PRJ-1
         "series_types": _q("stat_events", R.series_types),
         "series_filter": _q("stat_events", lambda st: R.rollup_hour(R.series_filter(st, "view"))),
+        # SRC-3: temp views queried through Spark SQL
+        "sql_view_daily": _q("stat_shipments", _sql_view_daily),
         # AGG-*, LBL-*, PRJ-2
         "rollup_hour": _q("stat_events", R.rollup_hour),
         "rollup_day": _q("stat_shipments", R.rollup_day),
@@ -309,6 +319,9 @@ def oracle_sql() -> dict[str, str]:
                          "day, hour, year || '-' || month || '-' || day || ' ' || hour || ':00:00' AS hour_time "
                          "FROM fix WHERE attack_type = 'view' AND sum IS NOT NULL "
                          "GROUP BY attack_type, year, month, day, hour",
+        "sql_view_daily": _with("stat_shipments", "day",
+                                "SELECT attack_type, time_day, real_count, predict_count FROM bf "
+                                "WHERE real_count > predict_count", _bf_cte("day")),
         "rollup_hour": roll("stat_events", "hour"),
         "rollup_day": roll("stat_shipments", "day"),
         "rollup_week": roll("stat_shipments", "week"),

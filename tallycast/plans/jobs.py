@@ -22,6 +22,7 @@ from ..operators import rollup as R
 from ..operators.backfill import backfill_by_label, backfill_positional
 from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
 from ..sources.tables import TYPE_COL
+from ..sources.sinks import write_table
 from .session import checkpoint_dir
 
 GRAINS = ("hour", "day", "week", "month", "legacy_day")
@@ -181,14 +182,35 @@ def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True,
     base = R.hour_partials(stat)
     if materialize and checkpoint_dir(stat.sparkSession) is not None:
         base = base.checkpoint(eager=True)
-    out = {}
-    for g in grains:
-        opts = dict(options)
-        if g != "hour":
-            opts.pop("ratio", None)
-        if g != "month":
-            opts.pop("dedupe_seeds", None)
-        if g != "week":
-            opts.pop("iso_year", None)
-        out[g] = predict(base, g, **opts)
-    return out
+    return {g: predict(base, g, **options_for(g, options)) for g in grains}
+
+
+# which grain each option applies to
+_OPTION_GRAIN = {"ratio": "hour", "dedupe_seeds": "month", "iso_year": "week"}
+
+
+def options_for(grain: str, options: dict) -> dict:
+    """The subset of ``options`` that applies to ``grain``."""
+    unknown = set(options) - set(_OPTION_GRAIN)
+    if unknown:
+        raise ValueError(f"unknown options {sorted(unknown)}")
+    return {k: v for k, v in options.items() if _OPTION_GRAIN[k] == grain}
+
+
+def refresh(stat: DataFrame, grain: str, target: str, *, fmt: str = "parquet",
+            sink_options: dict | None = None, **options) -> DataFrame:
+    """One prediction job: every series of ``stat`` at ``grain``, written once to
+    ``target`` (a Parquet path, a JDBC table with ``sink_options`` url/properties,
+    or a catalog table).  Returns the written table's DataFrame."""
+    table = predict(stat, grain, **options)
+    write_table(table, target, fmt=fmt, **(sink_options or {}))
+    return table
+
+
+def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet",
+                sink_options: dict | None = None, **options) -> dict[str, DataFrame]:
+    """Several grains from one scan (``predict_all``), each written to its target."""
+    tables = predict_all(stat, tuple(targets), **options)
+    for g, table in tables.items():
+        write_table(table, targets[g], fmt=fmt, **(sink_options or {}))
+    return tables

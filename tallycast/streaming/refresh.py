@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rollup import CNT, SUM, hour_partials
-from ..plans.jobs import GRAINS, predict
+from ..plans.jobs import GRAINS, options_for, predict
 from ..plans.session import checkpoint_dir
 from ..sources.sinks import write_table
 from ..sources.tables import PART_COLS, STAT_SCHEMA, TYPE_COL, normalize
@@ -58,8 +58,7 @@ def refresh_batch(batch: DataFrame, epoch: int, *, state_path: str, sink_root: s
     merged = spark.read.parquet(merged_path)
     out = {}
     for g in grains:
-        opts = {k: v for k, v in options.items()
-                if (k, g) in (("ratio", "hour"), ("dedupe_seeds", "month"), ("iso_year", "week"))}
+        opts = options_for(g, options)
         table = predict(merged, g, **opts)
         target = os.path.join(sink_root, g) if fmt == "parquet" else f"prediction_{g}"
         write_table(table, target, fmt=fmt, **(sink_options or {}))
