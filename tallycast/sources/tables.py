@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 TYPE_COL = "attack_type"
 MEASURE_COL = "sum"
 PART_COLS = ("year", "month", "day", "hour")
+# Zero-padded width of each period part.
+PART_WIDTH = {"year": 4, "month": 2, "day": 2, "hour": 2}
 
 STAT_SCHEMA = T.StructType(
     [
@@ -44,15 +46,25 @@ def normalize(df: DataFrame) -> DataFrame:
     rollup must see their groups.
     """
     validate(df)
+    types = {f.name: f.dataType for f in df.schema.fields}
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
     # where Parquet can evaluate it (PushedFilters: IsNotNull(attack_type)).
     return df.where(F.col(TYPE_COL).isNotNull()).select(
         F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
         F.col(MEASURE_COL).cast("double").alias(MEASURE_COL),
-        *[F.col(c).cast("string").alias(c) for c in PART_COLS],
+        *[_part(c, types[c]).alias(c) for c in PART_COLS],
     )
 
 
+def _part(name: str, dtype: T.DataType):
+    """A period part as zero-padded text.  Integer parts (typed columns, or
+    partition directories such as ``month=1`` that discovery reads as ints) are
+    padded to the contract width; text parts are kept as they are."""
+    if isinstance(dtype, T.IntegralType):
+        return F.lpad(F.col(name).cast("string"), PART_WIDTH[name], "0")
+    return F.col(name).cast("string")
+
+
 def read_stat_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet statistics table (column pruning and pushdown come from the scan)."""
     return normalize(spark.read.parquet(path))

@@ -45,3 +45,26 @@ def test_predict_all_shares_one_scan(spark):
         # the raw table was reduced and checkpointed once; grains read the checkpoint
         assert "events.parquet" not in plan, (g, plan)
         assert df.count() >= 0
+
+
+def test_day_range_prunes_partitions(spark, scratch):
+    import os
+    from tallycast.sources.tables import read_stat_parquet, restrict_days
+    path = os.path.join(scratch, "stat_by_year")
+    fx.stat_shipments(spark, SF_SMALL).write.mode("overwrite").partitionBy("year").parquet(path)
+    st = restrict_days(read_stat_parquet(spark, path), "1997-03-01", "1998-02-28")
+    plan = _plan(jobs.predict(st, "day"))
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan, plan
+    days = [r["time_day"] for r in jobs.backfill(st, "day").collect()]
+    assert min(days) == "1997-03-01" and max(days) <= "1998-03-01"
+
+
+def test_integer_partition_parts_are_padded(spark, scratch):
+    import os
+    from tallycast.sources.tables import read_stat_parquet
+    path = os.path.join(scratch, "stat_by_month")
+    fx.stat_orders(spark, SF_SMALL).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    st = read_stat_parquet(spark, path)
+    got = sorted(map(tuple, jobs.predict(st, "month").collect()))
+    want = sorted(map(tuple, jobs.predict(fx.stat_orders(spark, SF_SMALL), "month").collect()))
+    assert got == want
