@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..sources.tables import MEASURE_COL, PART_COLS, TYPE_COL
+from ..sources.tables import MEASURE_COL, PART_COLS, TYPE_COL, part_text
 
 SUM, CNT = "_sum", "_cnt"
 
@@ -34,9 +34,14 @@ def as_partials(stat: DataFrame) -> DataFrame:
 
 
 def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Reduce to one partial row per (series, *keys): ``_sum`` skips nulls, ``_cnt`` counts non-nulls."""
-    p = as_partials(stat)
-    return p.groupBy(TYPE_COL, *keys).agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
+    """Reduce to one partial row per (series, *keys): ``_sum`` skips nulls, ``_cnt`` counts non-nulls.
+
+    Groups on the parts as stored; the padded text form is rendered on the
+    reduced rows.
+    """
+    g = as_partials(stat).groupBy(TYPE_COL, *keys).agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
+    types = {f.name: f.dataType for f in g.schema.fields}
+    return g.select(TYPE_COL, *[part_text(k, types[k]).alias(k) for k in keys], SUM, CNT)
 
 
 def hour_partials(stat: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each adapter reads only the columns it needs (the scan's ReadSchema shows the
 pruning) and maps them onto the statistics contract: series key, double
-measure, zero-padded period parts.  Timestamps are read as they are stored
+measure, period parts (integer calendar fields).  Timestamps are read as they are stored
 (``timestamp_ntz``); parts are its calendar fields, so no zone shift applies.
 """
 
@@ -14,18 +14,11 @@ from pyspark.sql import functions as F
 from .tables import normalize
 
 
-def _pad2(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
-
-
 def _parts(ts: Column) -> list[Column]:
-    """Zero-padded yyyy, MM, dd, HH parts (integer field extraction, no formatter)."""
-    return [
-        F.lpad(F.year(ts).cast("string"), 4, "0").alias("year"),
-        _pad2(F.month(ts)).alias("month"),
-        _pad2(F.dayofmonth(ts)).alias("day"),
-        _pad2(F.hour(ts)).alias("hour"),
-    ]
+    """Calendar fields of the timestamp as integers; rollups render them as
+    zero-padded text after aggregating."""
+    return [F.year(ts).alias("year"), F.month(ts).alias("month"),
+            F.dayofmonth(ts).alias("day"), F.hour(ts).alias("hour")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

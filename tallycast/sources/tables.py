@@ -42,24 +42,28 @@ def normalize(df: DataFrame) -> DataFrame:
     """Project the six contract columns, trim the key, drop rows without a key.
 
     The measure is cast to double (a string or integer column sums the same way).
-    Nothing else is filtered: null measures are kept because the legacy count
-    rollup must see their groups.
+    Period parts stay as stored, text or integers (integer parts also come from
+    partition directories such as ``month=1``): rollups group on them as they
+    are and render zero-padded text only after aggregation, once per (series,
+    period) instead of once per raw row.  Nothing else is filtered: null
+    measures are kept because the legacy count rollup must see their groups.
     """
     validate(df)
     types = {f.name: f.dataType for f in df.schema.fields}
+    parts = [F.col(c) if isinstance(types[c], (T.IntegralType, T.StringType)) else F.col(c).cast("string")
+             for c in PART_COLS]
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
     # where Parquet can evaluate it (PushedFilters: IsNotNull(attack_type)).
     return df.where(F.col(TYPE_COL).isNotNull()).select(
         F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
         F.col(MEASURE_COL).cast("double").alias(MEASURE_COL),
-        *[_part(c, types[c]).alias(c) for c in PART_COLS],
+        *[p.alias(c) for p, c in zip(parts, PART_COLS)],
     )
 
 
-def _part(name: str, dtype: T.DataType):
-    """A period part as zero-padded text.  Integer parts (typed columns, or
-    partition directories such as ``month=1`` that discovery reads as ints) are
-    padded to the contract width; text parts are kept as they are."""
+def part_text(name: str, dtype: T.DataType):
+    """A period part as text: integer parts are zero-padded to the contract
+    width, text parts are kept as they are."""
     if isinstance(dtype, T.IntegralType):
         return F.lpad(F.col(name).cast("string"), PART_WIDTH[name], "0")
     return F.col(name).cast("string")
@@ -76,15 +80,15 @@ def read_stat_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def restrict_days(df: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
-    """Keep rows whose ``yyyy-MM-dd`` day lies in [first_day, last_day].
+    """Keep rows whose day lies in [first_day, last_day] (``yyyy-MM-dd``).
 
     The year bound is a plain comparison on a source column, so it reaches the
     Parquet scan (row-group skipping) or prunes ``year`` partitions; the exact
     day bound is applied after it.
     """
-    day = F.concat_ws("-", "year", "month", "day")
+    day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
     if first_day is not None:
-        df = df.where((F.col("year") >= first_day[:4]) & (day >= first_day))
+        df = df.where((F.col("year").cast("int") >= int(first_day[:4])) & (day >= F.lit(first_day).cast("date")))
     if last_day is not None:
-        df = df.where((F.col("year") <= last_day[:4]) & (day <= last_day))
+        df = df.where((F.col("year").cast("int") <= int(last_day[:4])) & (day <= F.lit(last_day).cast("date")))
     return df

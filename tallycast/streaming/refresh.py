@@ -71,8 +71,9 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
                   checkpoint_location: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, max_files_per_trigger: int | None = None,
                   fmt: str = "parquet", sink_options: dict | None = None,
-                  **options) -> StreamingQuery:
-    """Start the refresh stream over Parquet statistics files under ``source_path``.
+                  schema=STAT_SCHEMA, **options) -> StreamingQuery:
+    """Start the refresh stream over Parquet statistics files under ``source_path``
+    (``schema``: the stored layout, by default the text-parts contract).
 
     ``state_path`` (partials versions) and ``checkpoint_location`` default to
     folders under the session's ``spark.checkpoint.dir``; one of the two must be
@@ -84,7 +85,7 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
             raise ValueError("set spark.checkpoint.dir or pass state_path and checkpoint_location")
         state_path = state_path or os.path.join(base, "tallycast-refresh", "partials")
         checkpoint_location = checkpoint_location or os.path.join(base, "tallycast-refresh", "stream")
-    reader = spark.readStream.schema(STAT_SCHEMA)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)

@@ -27,7 +27,8 @@ def test_refresh_matches_batch(spark, scratch):
     grains = ("hour", "day", "week", "legacy_day")
 
     drops[0].write.mode("append").parquet(source)
-    q = start_refresh(spark, source, sinks_root, grains=grains, state_path=state, checkpoint_location=ckpt)
+    q = start_refresh(spark, source, sinks_root, grains=grains, state_path=state, checkpoint_location=ckpt,
+                      schema=stat.schema)
     q.awaitTermination()
     first = spark.read.parquet(os.path.join(sinks_root, "day"))
     assert _rows(first) == _rows(jobs.predict(drops[0], "day"))
@@ -35,7 +36,7 @@ def test_refresh_matches_batch(spark, scratch):
     drops[1].write.mode("append").parquet(source)
     drops[2].write.mode("append").parquet(source)
     q = start_refresh(spark, source, sinks_root, grains=grains, state_path=state, checkpoint_location=ckpt,
-                      max_files_per_trigger=1)
+                      max_files_per_trigger=1, schema=stat.schema)
     q.awaitTermination()
 
     everything = spark.read.parquet(source)  # the same rows a full batch run reads
