@@ -136,6 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prediction_week": _q("stat_orders", lambda st: jobs.predict(st, "week")),
         "prediction_month": _q("stat_orders", lambda st: jobs.predict(st, "month")),
         "prediction_legacy_day": _q("stat_events", lambda st: jobs.predict(st, "legacy_day")),
+        # a hot key holding ~40% of the rows
+        "prediction_hour_hot": _q("stat_events_hot", lambda st: jobs.predict(st, "hour")),
+        "prediction_day_hot": _q("stat_events_hot", lambda st: jobs.predict(st, "day")),
         # one scan for all grains: grains rolled up from shared hourly partials
         "prediction_day_from_hours": _q("stat_shipments", lambda st: jobs.predict(R.hour_partials(st), "day")),
         "prediction_week_from_hours": _q("stat_orders", lambda st: jobs.predict(R.hour_partials(st), "week")),
@@ -169,6 +172,9 @@ _FIX = {
                       f"{_parts('l_shipdate')} FROM lineitem WHERE l_returnflag IS NOT NULL",
     "stat_orders": f"SELECT trim(o_orderpriority) AS attack_type, CAST(round(o_totalprice * 100) AS DOUBLE) AS sum, "
                    f"{_parts('o_orderdate')} FROM orders WHERE o_orderpriority IS NOT NULL",
+    "stat_events_hot": "SELECT CASE WHEN event_type IN ('click', 'view') THEN 'hot' ELSE trim(event_type) END "
+                       f"AS attack_type, CAST(round(value * 100) AS DOUBLE) AS sum, {_parts('ts')} FROM events "
+                       "WHERE event_type IS NOT NULL",
     "stat_user_keys": "SELECT trim(concat_ws('/', CAST(user_id AS VARCHAR), json_extract_string(props, '$.k'))) "
                       f"AS attack_type, CAST(round(value * 100) AS DOUBLE) AS sum, {_parts('ts')} FROM events",
 }
@@ -365,6 +371,8 @@ def oracle_sql() -> dict[str, str]:
                                  f"SELECT {_PRED_COLS}, time_week, attack_type, real_count, predict_count, year "
                                  "FROM bf", _WEEK_SERIES + _WEEK_BF),
         "prediction_month": _prediction_sql("stat_orders", "month"),
+        "prediction_hour_hot": _prediction_sql("stat_events_hot", "hour", "inverse"),
+        "prediction_day_hot": _prediction_sql("stat_events_hot", "day"),
         "prediction_legacy_day": _with("stat_events", "day_count",
                                        f"SELECT {_PRED_COLS}, time_hour, attack_type, real_count, predict_count "
                                        "FROM lg", _LEGACY),

@@ -34,26 +34,32 @@ TIME_COL = {"hour": "time_hour", "day": "time_day", "week": "time_week",
 
 def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
                     ) -> tuple[DataFrame, SeriesSpec, DataFrame]:
-    """(prepared frame, its SeriesSpec, the rollup it came from) for a grain."""
+    """(prepared frame, its SeriesSpec, the rollup it came from) for a grain.
+
+    Series order is the period value, then the label: two raw spellings of one
+    period (``1`` and ``01``) stay distinct rollup rows as grouped, and the
+    label makes their order total, so a recomputed task (lost executor) numbers
+    the rows exactly as the first attempt did.
+    """
     if grain == "hour":
         r = R.rollup_hour(stat)
         period = cal.hour_start("year", "month", "day", "hour")
         prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period")).select(
             "*", cal.next_hour("_period").alias("_next"),
             (F.col("_period") + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
-        return prep, SeriesSpec(("_period",), "hour_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period", "hour_time"), "hour_time", "_next", "_next_key"), r
     if grain == "day":
         r = R.rollup_day(stat)
         prep = r.select(TYPE_COL, "acc", "day_time",
                         cal.day_date("year", "month", "day").alias("_period")).select(
             "*", cal.next_day("_period").alias("_next"), F.date_add("_period", 1).alias("_next_key"))
-        return prep, SeriesSpec(("_period",), "day_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period", "day_time"), "day_time", "_next", "_next_key"), r
     if grain == "month":
         r = R.rollup_month(stat)
         prep = r.select(TYPE_COL, "acc", "month_time",
                         cal.month_start("year", "month").alias("_period")).select(
             "*", cal.next_month("_period").alias("_next"), F.add_months("_period", 1).alias("_next_key"))
-        return prep, SeriesSpec(("_period",), "month_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period", "month_time"), "month_time", "_next", "_next_key"), r
     if grain == "week":
         r = R.rollup_week(stat, iso_year=iso_year)
         if iso_year:
@@ -105,7 +111,7 @@ def unmatched_forecasts(stat: DataFrame, grain: str, **options) -> DataFrame:
 def _legacy_rows(stat: DataFrame) -> DataFrame:
     r = R.rollup_day_count(stat)
     prep = r.withColumn("_day", cal.day_date("year", "month", "day"))
-    return legacy_growth(prep)
+    return legacy_growth(prep, order=("_day", "time_hour"))
 
 
 # ------------------------------------------------------------------ public jobs

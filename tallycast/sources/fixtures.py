@@ -70,9 +70,22 @@ def stat_user_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def stat_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``click`` and ``view`` merged into one series ``hot``
+    (about 40% of all rows): a skewed key for the same plans."""
+    ev = _table(spark, sf_dir, "events")
+    key = F.when(F.col("event_type").isin("click", "view"), F.lit("hot")).otherwise(F.col("event_type"))
+    return normalize(ev.select(
+        key.alias("attack_type"),
+        F.round(F.col("value") * 100).cast("double").alias("sum"),
+        *_parts(F.col("ts")),
+    ))
+
+
 FIXTURES = {
     "stat_events": stat_events,
     "stat_shipments": stat_shipments,
     "stat_orders": stat_orders,
     "stat_user_keys": stat_user_keys,
+    "stat_events_hot": stat_events_hot,
 }
