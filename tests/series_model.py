@@ -124,3 +124,42 @@ STARTS = {
     "week": dt.datetime(2016, 12, 5),
     "month": dt.datetime(2017, 10, 1),
 }
+
+
+def grouped_weeks(dates, xs, iso_year=False):
+    """Roll dated values up the way the weekly job keys them.
+
+    Default key: (calendar year, ISO week), so late-December days of ISO week 1
+    join that calendar year's week 1.  ``iso_year``: (ISO year, ISO week).
+    Returns [(year, week, sum)] in key order.
+    """
+    acc = {}
+    for d, x in zip(dates, xs):
+        iy, w, _ = d.isocalendar()
+        key = (str(iy) if iso_year else f"{d.year:04d}", w)
+        acc[key] = acc.get(key, 0.0) + x
+    return [(y, w, acc[(y, w)]) for y, w in sorted(acc)]
+
+
+def weekly_truth(dates, xs, iso_year=False):
+    """Backfilled weekly rows (label, real_count, predict_count, year)."""
+    weeks = grouped_weeks(dates, xs, iso_year)
+    vals = [a for _, _, a in weeks]
+    labels = [str(w) for _, w, _ in weeks]
+    years = [y for y, _, _ in weeks]
+    if not iso_year:
+        succ = [str((w + 1) % 52) for _, w, _ in weeks]
+        rows = predicted_rows(vals, labels, succ, "week", years)
+        return backfilled(rows, list(zip(labels, vals)))
+    # ISO mode: labels carry their own ISO year; the successor is the next ISO week
+    mondays = [dt.date.fromisocalendar(int(y), w, 1) for y, w, _ in weeks]
+    nxt = [m + dt.timedelta(days=7) for m in mondays]
+    succ = [str(n.isocalendar()[1]) for n in nxt]
+    rows = predicted_rows(vals, labels, succ, "week", years)
+    # seeds keep their own year; forecasts take the successor's ISO year
+    n_seed = min(len(vals), 4)
+    rows = [(lab, real, p, years[i]) for i, (lab, real, p, _) in enumerate(rows[:n_seed])] + \
+           [(lab, real, p, str(nxt[j].isocalendar()[0])) for j, (lab, real, p, _) in
+            zip(range(3, len(vals)), rows[n_seed:])]
+    actual = {(years[i], labels[i]): vals[i] for i in range(len(vals))}
+    return [(lab, to_int(actual[(y, lab)]) if (y, lab) in actual else real, p, y) for lab, real, p, y in rows]

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tallycast.plans import jobs
 from tests.conftest import stat_frame
 from tests.series_model import (STARTS, backfilled, label_of, legacy_rows, parts, periods,
-                                predicted_rows, succ_of)
+                                predicted_rows, succ_of, to_int)
 
 VALUES = st.one_of(st.integers(0, 50).map(float), st.sampled_from([0.0, 0.25, 2.5, 3e9, 7.75]),
                    st.integers(1, 10**6).map(float))
@@ -95,3 +95,72 @@ def test_legacy(spark, table):
         got.setdefault(r["attack_type"], []).append((r["time_hour"], r["real_count"], r["predict_count"]))
     for name, want in truth.items():
         assert Counter(got.get(name, [])) == Counter(want), name
+
+
+WEEKLY = st.lists(st.lists(st.tuples(VALUES, st.integers(1, 60)), min_size=1, max_size=9),
+                  min_size=1, max_size=20)
+
+
+def _check_weeks(spark, table, iso_year):
+    import datetime as dt
+    from tests.series_model import weekly_truth
+    rows, truth = [], {}
+    for i, series in enumerate(table):
+        d, dates = dt.date(2016, 12, 26), []
+        for _, gap in series:
+            dates.append(d)
+            d += dt.timedelta(days=gap)
+        xs = [v for v, _ in series]
+        rows += [(f"s{i}", x, f"{t.year:04d}", f"{t.month:02d}", f"{t.day:02d}", "00") for t, x in zip(dates, xs)]
+        truth[f"s{i}"] = weekly_truth(dates, xs, iso_year)
+    got = {}
+    for r in jobs.backfill(stat_frame(spark, rows), "week", iso_year=iso_year).collect():
+        got.setdefault(r["attack_type"], []).append((r["time_week"], r["real_count"], r["predict_count"], r["year"]))
+    for name, want in truth.items():
+        assert Counter(got.get(name, [])) == Counter(want), (name, want, got.get(name))
+
+
+@SETTINGS
+@given(WEEKLY)
+def test_week_multi_year(spark, table):
+    """Days scattered over several years: (calendar year, ISO week) keys that hold
+    two different weeks, week labels repeating across years, year-blind backfill."""
+    _check_weeks(spark, table, iso_year=False)
+
+
+@SETTINGS
+@given(WEEKLY)
+def test_week_iso_multi_year(spark, table):
+    _check_weeks(spark, table, iso_year=True)
+
+
+@SETTINGS
+@given(TABLE)
+def test_hour_forward_ratio(spark, table):
+    rows, truth = _layout("hour", table)
+    got = {}
+    for r in jobs.backfill(stat_frame(spark, rows), "hour", ratio="forward").collect():
+        got.setdefault(r["attack_type"], []).append((r["time_hour"], r["real_count"], r["predict_count"]))
+    for name, (xs, ts) in truth.items():
+        labels = [label_of("hour", t) for t in ts]
+        succ = [succ_of("hour", t) for t in ts]
+        want = [(a, b, c) for a, b, c, _ in predicted_rows(xs, labels, succ, "day")]  # forward rule
+        assert Counter(got.get(name, [])) == Counter(backfilled(want, list(zip(labels, xs)))), name
+
+
+@SETTINGS
+@given(TABLE)
+def test_month_dedup(spark, table):
+    rows, truth = _layout("month", table)
+    got = {}
+    for r in jobs.backfill(stat_frame(spark, rows), "month", dedupe_seeds=True).collect():
+        got.setdefault(r["attack_type"], []).append((r["time_month"], r["real_count"], r["predict_count"]))
+    for name, (xs, ts) in truth.items():
+        labels = [label_of("month", t) for t in ts]
+        succ = [succ_of("month", t) for t in ts]
+        # seeds once, with the fourth seed (the daily rule) ...
+        want = [(a, b, c) for a, b, c, _ in predicted_rows(xs, labels, succ, "day")]
+        # ... and forecast rows carry the provisional actual trunc(x[j]) until backfilled
+        n_seed = min(len(xs), 4)
+        want = want[:n_seed] + [(a, to_int(xs[j]), c) for j, (a, _, c) in zip(range(3, len(xs)), want[n_seed:])]
+        assert Counter(got.get(name, [])) == Counter(backfilled(want, list(zip(labels, xs)))), name
