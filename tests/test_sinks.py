@@ -49,3 +49,21 @@ def test_jdbc_options(spark, monkeypatch):
 def test_unknown_format(spark):
     with pytest.raises(ValueError):
         sinks.write_table(spark.range(1), "x", fmt="csvx")
+
+
+def test_refresh_jobs_write_prediction_tables(spark, scratch):
+    stat = fx.stat_events(spark, SF_SMALL)
+    root = os.path.join(scratch, "refresh")
+    one = jobs.refresh(stat, "hour", os.path.join(root, "hour_only"))
+    assert sorted(map(tuple, spark.read.parquet(os.path.join(root, "hour_only")).collect())) == \
+        sorted(map(tuple, one.collect()))
+    targets = {g: os.path.join(root, g) for g in ("day", "month", "legacy_day")}
+    jobs.refresh_all(stat, targets)
+    for g, path in targets.items():
+        back = sorted(map(tuple, spark.read.parquet(path).collect()))
+        assert back == sorted(map(tuple, jobs.predict(stat, g).collect())), g
+
+
+def test_unknown_option_is_rejected(spark):
+    with pytest.raises(ValueError):
+        jobs.predict_all(fx.stat_events(spark, SF_SMALL), ("day",), ratios="forward")
