@@ -46,10 +46,28 @@ def merge_partials(previous: DataFrame | None, delta: DataFrame) -> DataFrame:
     return both.groupBy(*PARTIAL_KEYS).agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
 
 
+def _drop_versions_before(spark: SparkSession, state_path: str, epoch: int) -> None:
+    """Delete partials versions older than ``epoch`` (a metadata operation on the
+    shared file system; a retried epoch only ever needs its predecessor)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("epoch=") and name[6:].isdigit() and int(name[6:]) < epoch:
+            fs.delete(status.getPath(), True)
+
+
 def refresh_batch(batch: DataFrame, epoch: int, *, state_path: str, sink_root: str,
                   grains=GRAINS, fmt: str = "parquet", sink_options: dict | None = None,
-                  **options) -> dict[str, DataFrame]:
-    """One micro-batch of the refresh (also usable directly, e.g. from a scheduler)."""
+                  keep_history: bool = False, **options) -> dict[str, DataFrame]:
+    """One micro-batch of the refresh (also usable directly, e.g. from a scheduler).
+
+    Unless ``keep_history``, versions older than ``epoch - 1`` are removed once
+    this epoch's tables are written.
+    """
     spark = batch.sparkSession
     delta = hour_partials(normalize(batch))
     previous = spark.read.parquet(_version(state_path, epoch - 1)) if epoch > 0 else None
@@ -63,6 +81,8 @@ def refresh_batch(batch: DataFrame, epoch: int, *, state_path: str, sink_root: s
         target = os.path.join(sink_root, g) if fmt == "parquet" else f"prediction_{g}"
         write_table(table, target, fmt=fmt, **(sink_options or {}))
         out[g] = table
+    if not keep_history:
+        _drop_versions_before(spark, state_path, epoch - 1)
     return out
 
 
@@ -71,7 +91,7 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
                   checkpoint_location: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, max_files_per_trigger: int | None = None,
                   fmt: str = "parquet", sink_options: dict | None = None,
-                  schema=STAT_SCHEMA, **options) -> StreamingQuery:
+                  schema=STAT_SCHEMA, keep_history: bool = False, **options) -> StreamingQuery:
     """Start the refresh stream over Parquet statistics files under ``source_path``
     (``schema``: the stored layout, by default the text-parts contract).
 
@@ -92,7 +112,7 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
 
     def run(batch: DataFrame, epoch: int) -> None:
         refresh_batch(batch, epoch, state_path=state_path, sink_root=sink_root, grains=grains,
-                      fmt=fmt, sink_options=sink_options, **options)
+                      fmt=fmt, sink_options=sink_options, keep_history=keep_history, **options)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     if processing_time:

@@ -39,6 +39,9 @@ def test_refresh_matches_batch(spark, scratch):
                       max_files_per_trigger=1, schema=stat.schema)
     q.awaitTermination()
 
+    # only the last two partials versions are kept (a retry needs the previous one)
+    assert sorted(os.listdir(state)) == ["epoch=1", "epoch=2"]
+
     everything = spark.read.parquet(source)  # the same rows a full batch run reads
     for g in grains:
         got = spark.read.parquet(os.path.join(sinks_root, g))
