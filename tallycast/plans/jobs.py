@@ -183,7 +183,8 @@ def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True,
     The hourly partials are the only thing shared; with ``materialize`` and a
     checkpoint directory configured (``spark.checkpoint.dir``) they are written
     there once (reliable checkpoint, survives executor loss) and every grain
-    reads that small table instead of the raw rows.
+    reads that small table instead of the raw rows.  Without a checkpoint
+    directory each grain re-reads the raw table.
     """
     base = R.hour_partials(stat)
     if materialize and checkpoint_dir(stat.sparkSession) is not None:
