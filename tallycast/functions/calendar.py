@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Label and successor formats of the prediction tables.
-HOUR_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DAY_FORMAT = "yyyy-MM-dd"
-MONTH_FORMAT = "yyyyMM"
+# Successor labels are rendered from zone-free values: CAST(timestamp_ntz AS
+# STRING) gives "yyyy-MM-dd HH:mm:ss" and CAST(date AS STRING) "yyyy-MM-dd"
+# without consulting the session time zone.  (date_format would first convert
+# to a zoned timestamp, and in a DST zone 02:00 on a spring-forward day does
+# not exist, so the label would come out as 03:00.)
 # Week numbers advance modulo 52 (51 -> 0, 52 -> 1, 53 -> 2) and keep the year.
 WEEK_MODULUS = 52
 
@@ -88,16 +89,18 @@ def iso_week_year(year, month, day) -> Column:
 # ---------------------------------------------------------------- successors
 
 def next_hour(hour_ts: Column | str) -> Column:
-    return F.date_format(_c(hour_ts) + F.expr("INTERVAL 1 HOUR"), HOUR_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss`` of the next hour of a ``timestamp_ntz``."""
+    return (_c(hour_ts) + F.expr("INTERVAL 1 HOUR")).cast("string")
 
 
 def next_day(d: Column | str) -> Column:
-    return F.date_format(F.date_add(_c(d), 1), DAY_FORMAT)
+    """``yyyy-MM-dd`` of the next day."""
+    return F.date_add(_c(d), 1).cast("string")
 
 
 def next_week_date(d: Column | str) -> Column:
     """Same weekday one week later, ``yyyy-MM-dd``."""
-    return F.date_format(F.date_add(_c(d), 7), DAY_FORMAT)
+    return F.date_add(_c(d), 7).cast("string")
 
 
 def next_week_number(week: Column | str) -> Column:
@@ -106,7 +109,9 @@ def next_week_number(week: Column | str) -> Column:
 
 
 def next_month(month_d: Column | str) -> Column:
-    return F.date_format(F.add_months(_c(month_d), 1), MONTH_FORMAT)
+    """``yyyyMM`` of the month after the month starting on ``month_d``."""
+    n = F.add_months(_c(month_d), 1)
+    return F.concat(F.lpad(F.year(n).cast("string"), 4, "0"), F.lpad(F.month(n).cast("string"), 2, "0"))
 
 
 def week_start(d: Column | str) -> Column:

@@ -54,3 +54,20 @@ def test_labels(spark):
     assert _one(spark, cal.day_label(F.lit("2024"), F.lit("01"), F.lit("02"))) == "2024-01-02"
     assert _one(spark, cal.midnight_label(F.lit("2024"), F.lit("01"), F.lit("02"))) == "2024-01-02 00:00:00"
     assert _one(spark, cal.month_label(F.lit("2024"), F.lit("01"))) == "202401"
+
+
+def test_successors_ignore_session_time_zone(spark):
+    """Labels are wall-clock values: a DST session zone must not move them."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 2024-03-10 02:00 does not exist in New York (clocks jump to 03:00)
+        ts = cal.hour_start(F.lit("2024"), F.lit("03"), F.lit("10"), F.lit("01"))
+        assert _one(spark, cal.next_hour(ts)) == "2024-03-10 02:00:00"
+        ts = cal.hour_start(F.lit("2024"), F.lit("11"), F.lit("03"), F.lit("01"))
+        assert _one(spark, cal.next_hour(ts)) == "2024-11-03 02:00:00"
+        d = cal.day_date(F.lit("2024"), F.lit("03"), F.lit("09"))
+        assert _one(spark, cal.next_day(d)) == "2024-03-10"
+        assert _one(spark, cal.next_month(cal.month_start(F.lit("2024"), F.lit("02")))) == "202403"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

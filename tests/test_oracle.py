@@ -28,3 +28,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id", "busiess_sys", "time_hour", "attack_type", "real_count", "predict_count"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["prediction_hour", "prediction_day", "next_month", "prediction_week_iso"])
+def test_results_do_not_depend_on_session_time_zone(spark, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        (res,) = compare(spark, SF, [key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["ok"], res
