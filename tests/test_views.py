@@ -1,0 +1,28 @@
+"""Catalog access: reading the statistics table by name, and the SQL views."""
+
+from tallycast.plans import jobs
+from tallycast.plans.views import register_views
+from tallycast.sources import fixtures as fx
+from tallycast.sources.tables import read_stat_table
+from tests.conftest import SF_SMALL
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_read_stat_table_by_name(spark):
+    stat = fx.stat_orders(spark, SF_SMALL)
+    stat.createOrReplaceTempView("tc_attacktypestat")
+    by_name = read_stat_table(spark, "tc_attacktypestat")
+    assert _rows(jobs.predict(by_name, "month")) == _rows(jobs.predict(stat, "month"))
+
+
+def test_register_views_every_grain(spark):
+    stat = fx.stat_events(spark, SF_SMALL)
+    names = register_views(stat, prefix="tcv_")
+    assert {"tcv_stat", "tcv_prediction_hour", "tcv_rollup_week", "tcv_prediction_legacy_day"} <= set(names)
+    for g in jobs.GRAINS:
+        assert _rows(spark.table(f"tcv_prediction_{g}")) == _rows(jobs.predict(stat, g)), g
+    n = spark.sql("SELECT count(DISTINCT attack_type) AS n FROM tcv_rollup_day").first()["n"]
+    assert n == 5
