@@ -30,10 +30,9 @@ def _run(df) -> None:
 
 
 def _all_grains(spark, sf):
-    """Every prediction table of the events fixture from one scan (predict_all)."""
-    tables = jobs.predict_all(fx.stat_events(spark, sf))
-    for df in tables.values():
-        _run(df)
+    """Every prediction table of the events fixture from one scan (refresh_all:
+    one checkpoint of the hourly partials, then five writes from 5 threads)."""
+    jobs.refresh_all(fx.stat_events(spark, sf), {g: g for g in jobs.GRAINS}, fmt="noop", parallel=5)
 
 
 QUERIES = {

@@ -14,6 +14,8 @@ them.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -215,9 +217,22 @@ def refresh(stat: DataFrame, grain: str, target: str, *, fmt: str = "parquet",
 
 
 def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet",
-                sink_options: dict | None = None, **options) -> dict[str, DataFrame]:
-    """Several grains from one scan (``predict_all``), each written to its target."""
+                sink_options: dict | None = None, parallel: int = 1,
+                **options) -> dict[str, DataFrame]:
+    """Several grains from one scan (``predict_all``), each written to its target.
+
+    The writes are independent Spark jobs; with ``parallel > 1`` they are
+    submitted from that many driver threads and share the executors.
+    """
     tables = predict_all(stat, tuple(targets), **options)
-    for g, table in tables.items():
-        write_table(table, targets[g], fmt=fmt, **(sink_options or {}))
+
+    def write(g: str) -> None:
+        write_table(tables[g], targets[g], fmt=fmt, **(sink_options or {}))
+
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(write, tables))
+    else:
+        for g in tables:
+            write(g)
     return tables

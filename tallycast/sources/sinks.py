@@ -38,7 +38,8 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None =
 
 def write_table(df: DataFrame, target: str, *, fmt: str = "parquet", **options) -> None:
     """Dispatch on ``fmt``: 'parquet' (target = path), 'jdbc' (target = table,
-    options url/properties), or 'table' (catalog table, ``saveAsTable``)."""
+    options url/properties), 'table' (catalog table, ``saveAsTable``) or 'noop'
+    (benchmarks)."""
     if fmt == "parquet":
         write_parquet(df, target, partition_by=options.get("partition_by"))
     elif fmt == "jdbc":
@@ -47,5 +48,7 @@ def write_table(df: DataFrame, target: str, *, fmt: str = "parquet", **options)
                    max_connections=options.get("max_connections", 8))
     elif fmt == "table":
         df.write.mode("overwrite").saveAsTable(target)
+    elif fmt == "noop":  # benchmarking: run the whole plan, keep nothing
+        df.write.format("noop").mode("overwrite").save()
     else:
         raise ValueError(f"unknown sink format {fmt!r}")

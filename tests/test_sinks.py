@@ -58,7 +58,7 @@ def test_refresh_jobs_write_prediction_tables(spark, scratch):
     assert sorted(map(tuple, spark.read.parquet(os.path.join(root, "hour_only")).collect())) == \
         sorted(map(tuple, one.collect()))
     targets = {g: os.path.join(root, g) for g in ("day", "month", "legacy_day")}
-    jobs.refresh_all(stat, targets)
+    jobs.refresh_all(stat, targets, parallel=3)
     for g, path in targets.items():
         back = sorted(map(tuple, spark.read.parquet(path).collect()))
         assert back == sorted(map(tuple, jobs.predict(stat, g).collect())), g
