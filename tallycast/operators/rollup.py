@@ -22,24 +22,17 @@ from ..sources.tables import MEASURE_COL, PART_COLS, TYPE_COL, part_text
 SUM, CNT = "_sum", "_cnt"
 
 
-def as_partials(stat: DataFrame) -> DataFrame:
-    """View raw statistics rows as partials (no aggregation, just a projection)."""
-    if CNT in stat.columns:
-        return stat
-    m = F.col(MEASURE_COL)
-    return stat.select(
-        TYPE_COL, *[c for c in PART_COLS if c in stat.columns],
-        m.alias(SUM), m.isNotNull().cast("long").alias(CNT),
-    )
-
-
 def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Reduce to one partial row per (series, *keys): ``_sum`` skips nulls, ``_cnt`` counts non-nulls.
 
     Groups on the parts as stored; the padded text form is rendered on the
     reduced rows.
     """
-    g = as_partials(stat).groupBy(TYPE_COL, *keys).agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
+    if CNT in stat.columns:  # merging partials
+        aggs = (F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
+    else:  # raw rows: sum skips nulls, count counts the non-null measures
+        aggs = (F.sum(MEASURE_COL).alias(SUM), F.count(MEASURE_COL).alias(CNT))
+    g = stat.groupBy(TYPE_COL, *keys).agg(*aggs)
     types = {f.name: f.dataType for f in g.schema.fields}
     return g.select(TYPE_COL, *[part_text(k, types[k]).alias(k) for k in keys], SUM, CNT)
 
