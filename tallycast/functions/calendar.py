@@ -1,12 +1,15 @@
 """Period labels and calendar successors as Column expressions.
 
-Input periods arrive as zero-padded string parts ``year`` (yyyy), ``month`` (MM),
-``day`` (dd) and ``hour`` (HH).  Labels are plain concatenations of those parts,
-so they only line up with the successor labels (which are formatted from a real
-date) when the parts are zero-padded: that is the input contract.
+Labels are plain concatenations of the period parts ``year`` (yyyy), ``month``
+(MM), ``day`` (dd) and ``hour`` (HH) as text.  Rollups hand them zero-padded
+(integer parts are padded after aggregation), which is what makes a label equal
+the successor label rendered from a real date.
 
 Ordering and successors use ``timestamp_ntz``/``date`` values built from the
-parts, so no session time zone or DST shift can move a label.
+parts, and successors are rendered from those zone-free values with
+``CAST(... AS STRING)``: ``date_format`` would first convert to a zoned
+timestamp, and in a DST zone 02:00 on a spring-forward day does not exist, so
+the label would come out as 03:00.
 """
 
 from __future__ import annotations
@@ -14,12 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Successor labels are rendered from zone-free values: CAST(timestamp_ntz AS
-# STRING) gives "yyyy-MM-dd HH:mm:ss" and CAST(date AS STRING) "yyyy-MM-dd"
-# without consulting the session time zone.  (date_format would first convert
-# to a zoned timestamp, and in a DST zone 02:00 on a spring-forward day does
-# not exist, so the label would come out as 03:00.)
-# Week numbers advance modulo 52 (51 -> 0, 52 -> 1, 53 -> 2) and keep the year.
+# Fixed value: week numbers advance modulo 52 (51 -> 0, 52 -> 1, 53 -> 2) and keep the year.
 WEEK_MODULUS = 52
 
 

@@ -1,9 +1,9 @@
 """Reading and normalising the attack-count statistics table.
 
-The input is one row per (attack type, hour part, measure), with the period
-split into zero-padded string parts.  Normalisation happens once, at load:
-the series key is trimmed and rows without a key are dropped, so every later
-grouping and equality works on clean keys.
+The input is one row per (attack type, measure, period), with the period split
+into parts ``year``/``month``/``day``/``hour``: zero-padded text, or integers.
+Normalisation happens once, at load: the series key is trimmed and rows without
+a key are dropped, so every later grouping and equality works on clean keys.
 """
 
 from __future__ import annotations
