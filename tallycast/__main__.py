@@ -1,6 +1,6 @@
-"""Command-line job: refresh prediction tables (for ``spark-submit`` or ``python -m``).
+"""Command-line job: refresh prediction tables (``spark-submit`` or ``python -m tallycast``).
 
-    spark-submit --py-files tallycast.zip -m tallycast \\
+    spark-submit --py-files tallycast.zip tallycast/__main__.py \\
         --source sheshou.attacktypestat --grain hour=prediction_hourly_stat \\
         --grain day=prediction_daily_stat --format jdbc --jdbc-url jdbc:mysql://host/db \\
         --jdbc-user-env DB_USER --jdbc-password-env DB_PASSWORD
@@ -18,8 +18,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans.jobs import GRAINS, refresh_all
-from .sources.tables import read_stat_parquet, read_stat_table, restrict_days
+from tallycast.plans.jobs import GRAINS, refresh_all
+from tallycast.sources.tables import read_stat_parquet, read_stat_table, restrict_days
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
