@@ -1,7 +1,7 @@
 """Command-line job: refresh prediction tables (``spark-submit`` or ``python -m tallycast``).
 
     spark-submit --py-files tallycast.zip tallycast/__main__.py \\
-        --source sheshou.attacktypestat --grain hour=prediction_hourly_stat \\
+        --source security.attack_type_stat --grain hour=prediction_hourly_stat \\
         --grain day=prediction_daily_stat --format jdbc --jdbc-url jdbc:mysql://host/db \\
         --jdbc-user-env DB_USER --jdbc-password-env DB_PASSWORD
 
