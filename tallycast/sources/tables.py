@@ -41,7 +41,8 @@ def validate(df: DataFrame) -> DataFrame:
 def normalize(df: DataFrame) -> DataFrame:
     """Project the six contract columns, trim the key, drop rows without a key.
 
-    The measure is cast to double (a string or integer column sums the same way).
+    The measure is cast to double (integer and text columns sum the same way;
+    text that is not a number counts as NULL).
     Period parts stay as stored, text or integers (integer parts also come from
     partition directories such as ``month=1``): rollups group on them as they
     are and render zero-padded text only after aggregation, once per (series,
@@ -50,13 +51,17 @@ def normalize(df: DataFrame) -> DataFrame:
     """
     validate(df)
     types = {f.name: f.dataType for f in df.schema.fields}
+    measure = F.col(MEASURE_COL)
+    # A text measure is summed the way Hive sums text: numbers count, anything
+    # else becomes NULL (ignored by the sums) instead of failing the job.
+    measure = measure.try_cast("double") if isinstance(types[MEASURE_COL], T.StringType) else measure.cast("double")
     parts = [F.col(c) if isinstance(types[c], (T.IntegralType, T.StringType)) else F.col(c).cast("string")
              for c in PART_COLS]
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
     # where Parquet can evaluate it (PushedFilters: IsNotNull(attack_type)).
     return df.where(F.col(TYPE_COL).isNotNull()).select(
         F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
-        F.col(MEASURE_COL).cast("double").alias(MEASURE_COL),
+        measure.alias(MEASURE_COL),
         *[p.alias(c) for p, c in zip(parts, PART_COLS)],
     )
 

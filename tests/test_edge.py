@@ -89,3 +89,14 @@ def test_ansi_off_gives_same_result(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert a == b
+
+
+def test_text_measure_sums_like_numbers(spark):
+    from pyspark.sql import types as T
+    from tallycast.sources.tables import normalize
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in
+                           ("attack_type", "sum", "year", "month", "day", "hour")])
+    raw = spark.createDataFrame([("a", "2.5", "2024", "01", "01", "00"), ("a", "junk", "2024", "01", "01", "00"),
+                                 ("a", "4", "2024", "01", "01", "01")], schema)
+    rows = sorted((r["hour_time"], r["acc"]) for r in R.rollup_hour(normalize(raw)).collect())
+    assert rows == [("2024-01-01 00:00:00", 2.5), ("2024-01-01 01:00:00", 4.0)]
