@@ -22,6 +22,7 @@ def test_prediction_plan_shape(spark, grain, options):
     assert plan.count("Exchange hashpartitioning") == 2, plan
     assert plan.count("FileScan parquet") == 1, plan
     assert "Join" not in plan and "BroadcastExchange" not in plan, plan
+    assert "EvalPython" not in plan and "PythonUDF" not in plan, plan  # JVM-side only
     assert "PushedFilters: [IsNotNull(o_orderpriority)]" in plan, plan
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
 
