@@ -136,6 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prediction_week": _q("stat_orders", lambda st: jobs.predict(st, "week")),
         "prediction_month": _q("stat_orders", lambda st: jobs.predict(st, "month")),
         "prediction_legacy_day": _q("stat_events", lambda st: jobs.predict(st, "legacy_day")),
+        # multi-year legacy counts; hourly series whose every successor hour is missing
+        "prediction_legacy_day_orders": _q("stat_orders", lambda st: jobs.predict(st, "legacy_day")),
+        "prediction_hour_orders": _q("stat_orders", lambda st: jobs.predict(st, "hour")),
         # a hot key holding ~40% of the rows
         "prediction_hour_hot": _q("stat_events_hot", lambda st: jobs.predict(st, "hour")),
         "prediction_day_hot": _q("stat_events_hot", lambda st: jobs.predict(st, "day")),
@@ -371,6 +374,10 @@ def oracle_sql() -> dict[str, str]:
                                  f"SELECT {_PRED_COLS}, time_week, attack_type, real_count, predict_count, year "
                                  "FROM bf", _WEEK_SERIES + _WEEK_BF),
         "prediction_month": _prediction_sql("stat_orders", "month"),
+        "prediction_legacy_day_orders": _with("stat_orders", "day_count",
+                                              f"SELECT {_PRED_COLS}, time_hour, attack_type, real_count, "
+                                              "predict_count FROM lg", _LEGACY),
+        "prediction_hour_orders": _prediction_sql("stat_orders", "hour", "inverse"),
         "prediction_hour_hot": _prediction_sql("stat_events_hot", "hour", "inverse"),
         "prediction_day_hot": _prediction_sql("stat_events_hot", "day"),
         "prediction_legacy_day": _with("stat_events", "day_count",
