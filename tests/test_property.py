@@ -4,6 +4,7 @@ Each example packs many random series (lengths 1..9, zeros, huge values,
 fractions, random gaps) into one table so one Spark run checks them all.
 """
 
+import os
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -18,7 +19,9 @@ VALUES = st.one_of(st.integers(0, 50).map(float), st.sampled_from([0.0, 0.25, 2.
                    st.integers(1, 10**6).map(float))
 SERIES = st.lists(st.tuples(VALUES, st.integers(1, 3)), min_size=1, max_size=9)
 TABLE = st.lists(SERIES, min_size=1, max_size=25)
-SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+# TALLYCAST_EXAMPLES=40 for a deeper search; each example is one Spark run over many series
+SETTINGS = settings(max_examples=int(os.environ.get("TALLYCAST_EXAMPLES", "6")), deadline=None,
+                    suppress_health_check=list(HealthCheck))
 
 
 def _layout(grain, table):
