@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..sources.tables import MEASURE_COL, PART_COLS, TYPE_COL, part_text
+from ..sources.tables import MEASURE_COL, PART_COLS, RAW_MEASURE_COL, TYPE_COL, part_text
 
 SUM, CNT = "_sum", "_cnt"
 
@@ -30,8 +30,9 @@ def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """
     if CNT in stat.columns:  # merging partials
         aggs = (F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
-    else:  # raw rows: sum skips nulls, count counts the non-null measures
-        aggs = (F.sum(MEASURE_COL).alias(SUM), F.count(MEASURE_COL).alias(CNT))
+    else:  # raw rows: sum skips nulls, count counts the non-null measures as stored
+        present = RAW_MEASURE_COL if RAW_MEASURE_COL in stat.columns else MEASURE_COL
+        aggs = (F.sum(MEASURE_COL).alias(SUM), F.count(present).alias(CNT))
     g = stat.groupBy(TYPE_COL, *keys).agg(*aggs)
     types = {f.name: f.dataType for f in g.schema.fields}
     return g.select(TYPE_COL, *[part_text(k, types[k]).alias(k) for k in keys], SUM, CNT)
@@ -43,8 +44,9 @@ def hour_partials(stat: DataFrame) -> DataFrame:
 
 
 def _measured(p: DataFrame) -> DataFrame:
-    """Groups with at least one non-null measure; their sum is the rollup value."""
-    return p.where(F.col(CNT) > 0).withColumnRenamed(SUM, "acc").drop(CNT)
+    """Groups with at least one numeric measure (their sum is not NULL); the sum
+    is the rollup value."""
+    return p.where(F.col(SUM).isNotNull()).withColumnRenamed(SUM, "acc").drop(CNT)
 
 
 # ------------------------------------------------------------------ TYP-1 / FLT-1

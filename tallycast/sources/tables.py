@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 TYPE_COL = "attack_type"
 MEASURE_COL = "sum"
+RAW_MEASURE_COL = "_raw_measure"  # text sources only: the measure before the numeric cast
 PART_COLS = ("year", "month", "day", "hour")
 # Zero-padded width of each period part.
 PART_WIDTH = {"year": 4, "month": 2, "day": 2, "hour": 2}
@@ -42,7 +43,8 @@ def normalize(df: DataFrame) -> DataFrame:
     """Project the six contract columns, trim the key, drop rows without a key.
 
     The measure is cast to double (integer and text columns sum the same way;
-    text that is not a number counts as NULL).
+    text that is not a number sums as NULL but still counts as present for the
+    legacy count, kept in ``_raw_measure``).
     Period parts stay as stored, text or integers (integer parts also come from
     partition directories such as ``month=1``): rollups group on them as they
     are and render zero-padded text only after aggregation, once per (series,
@@ -52,9 +54,13 @@ def normalize(df: DataFrame) -> DataFrame:
     validate(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     measure = F.col(MEASURE_COL)
+    text_measure = isinstance(types[MEASURE_COL], T.StringType)
     # A text measure is summed the way Hive sums text: numbers count, anything
-    # else becomes NULL (ignored by the sums) instead of failing the job.
-    measure = measure.try_cast("double") if isinstance(types[MEASURE_COL], T.StringType) else measure.cast("double")
+    # else becomes NULL (ignored by the sums) instead of failing the job.  The
+    # legacy count, like Hive's count(sum), counts every non-null raw value, so
+    # the raw text is kept alongside for it.
+    extra = [measure.alias(RAW_MEASURE_COL)] if text_measure else []
+    measure = measure.try_cast("double") if text_measure else measure.cast("double")
     parts = [F.col(c) if isinstance(types[c], (T.IntegralType, T.StringType)) else F.col(c).cast("string")
              for c in PART_COLS]
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
@@ -63,6 +69,7 @@ def normalize(df: DataFrame) -> DataFrame:
         F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
         measure.alias(MEASURE_COL),
         *[p.alias(c) for p, c in zip(parts, PART_COLS)],
+        *extra,
     )
 
 

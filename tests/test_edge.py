@@ -100,3 +100,19 @@ def test_text_measure_sums_like_numbers(spark):
                                  ("a", "4", "2024", "01", "01", "01")], schema)
     rows = sorted((r["hour_time"], r["acc"]) for r in R.rollup_hour(normalize(raw)).collect())
     assert rows == [("2024-01-01 00:00:00", 2.5), ("2024-01-01 01:00:00", 4.0)]
+
+
+def test_text_measure_counts_like_hive(spark):
+    """Hive's count(sum) counts every non-null text value; only sums cast it."""
+    from pyspark.sql import types as T
+    from tallycast.sources.tables import normalize
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in
+                           ("attack_type", "sum", "year", "month", "day", "hour")])
+    raw = spark.createDataFrame([("a", "4", "2024", "01", "01", "00"), ("a", "n/a", "2024", "01", "01", "05"),
+                                 ("a", "n/a", "2024", "01", "02", "00"), ("a", None, "2024", "01", "02", "00")],
+                                schema)
+    st = normalize(raw)
+    counts = sorted((r["time_hour"], r["acc"]) for r in R.rollup_day_count(st).collect())
+    assert counts == [("2024-01-01 00:00:00", 2), ("2024-01-02 00:00:00", 1)]
+    sums = sorted((r["day_time"], r["acc"]) for r in R.rollup_day(st).collect())
+    assert sums == [("2024-01-01", 4.0)]  # 2024-01-02 has no number: no rollup row
