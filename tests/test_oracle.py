@@ -39,3 +39,19 @@ def test_results_do_not_depend_on_session_time_zone(spark, key):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("key", ["prediction_hour", "prediction_day", "prediction_week", "prediction_month",
+                                 "prediction_legacy_day", "growth_inverse"])
+def test_results_do_not_depend_on_ansi_aqe_or_partitions(spark, key):
+    conf = {"spark.sql.ansi.enabled": "false", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "3"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        (res,) = compare(spark, SF, [key])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert res["ok"], res
