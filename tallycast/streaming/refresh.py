@@ -1,7 +1,8 @@
 """Incremental refresh of the prediction tables with Structured Streaming.
 
 The batch jobs read the whole statistics history every run.  Here a file
-stream delivers only new statistics rows, and each micro-batch
+stream (Parquet, ORC, JSON or CSV) delivers only new statistics rows, and each
+micro-batch
 
 1. reduces the new rows to hourly partials (one partial-aggregated shuffle of
    the new data only),
@@ -91,9 +92,14 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
                   checkpoint_location: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, max_files_per_trigger: int | None = None,
                   fmt: str = "parquet", sink_options: dict | None = None,
-                  schema=STAT_SCHEMA, keep_history: bool = False, **options) -> StreamingQuery:
-    """Start the refresh stream over Parquet statistics files under ``source_path``
-    (``schema``: the stored layout, by default the text-parts contract).
+                  schema=STAT_SCHEMA, source_format: str = "parquet",
+                  source_options: dict | None = None, keep_history: bool = False,
+                  **options) -> StreamingQuery:
+    """Start the refresh stream over statistics files under ``source_path``.
+
+    ``source_format`` is any file format of Structured Streaming's file source
+    (parquet, orc, json, csv) with ``source_options``; ``schema`` is the stored
+    layout, by default the text-parts contract.
 
     ``state_path`` (partials versions) and ``checkpoint_location`` default to
     folders under the session's ``spark.checkpoint.dir``; one of the two must be
@@ -105,10 +111,10 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
             raise ValueError("set spark.checkpoint.dir or pass state_path and checkpoint_location")
         state_path = state_path or os.path.join(base, "tallycast-refresh", "partials")
         checkpoint_location = checkpoint_location or os.path.join(base, "tallycast-refresh", "stream")
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.format(source_format).schema(schema).options(**(source_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_path)
+    stream = reader.load(source_path)
 
     def run(batch: DataFrame, epoch: int) -> None:
         refresh_batch(batch, epoch, state_path=state_path, sink_root=sink_root, grains=grains,

@@ -46,3 +46,14 @@ def test_refresh_matches_batch(spark, scratch):
     for g in grains:
         got = spark.read.parquet(os.path.join(sinks_root, g))
         assert _rows(got) == _rows(jobs.predict(everything, g)), g
+
+
+def test_refresh_reads_other_file_formats(spark, scratch):
+    run = os.path.join(scratch, "stream_orc")
+    source, sinks_root = os.path.join(run, "source"), os.path.join(run, "sinks")
+    stat = fx.stat_orders(spark, SF_SMALL)
+    stat.write.mode("append").orc(source)
+    q = start_refresh(spark, source, sinks_root, grains=("month",), state_path=os.path.join(run, "state"),
+                      checkpoint_location=os.path.join(run, "ckpt"), schema=stat.schema, source_format="orc")
+    q.awaitTermination()
+    assert _rows(spark.read.parquet(os.path.join(sinks_root, "month"))) == _rows(jobs.predict(stat, "month"))
