@@ -39,6 +39,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--iso-year", action="store_true", help="weeks keyed by ISO week-year")
     p.add_argument("--parallel", type=int, default=1, help="table writes submitted concurrently")
     p.add_argument("--hive", action="store_true", help="bind the session to the Hive metastore")
+    p.add_argument("--keys-trimmed", action="store_true",
+                   help="stored attack types carry no blanks: skip trim() so key filters reach the scan")
     return p.parse_args(argv)
 
 
@@ -59,8 +61,9 @@ def main(argv: list[str] | None = None) -> dict:
     if args.hive:
         builder = builder.enableHiveSupport()
     spark = builder.getOrCreate()
-    stat = (read_stat_parquet(spark, args.source) if args.source_format == "parquet"
-            else read_stat_table(spark, args.source))
+    trim_keys = not args.keys_trimmed
+    stat = (read_stat_parquet(spark, args.source, trim_keys=trim_keys) if args.source_format == "parquet"
+            else read_stat_table(spark, args.source, trim_keys=trim_keys))
     stat = restrict_days(stat, args.first_day, args.last_day)
     options = {}
     if args.ratio:

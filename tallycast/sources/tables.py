@@ -39,7 +39,7 @@ def validate(df: DataFrame) -> DataFrame:
     return df
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, trim_keys: bool = True) -> DataFrame:
     """Project the six contract columns, trim the key, drop rows without a key.
 
     The measure is cast to double (integer and text columns sum the same way;
@@ -50,9 +50,15 @@ def normalize(df: DataFrame) -> DataFrame:
     are and render zero-padded text only after aggregation, once per (series,
     period) instead of once per raw row.  Nothing else is filtered: null
     measures are kept because the legacy count rollup must see their groups.
+
+    ``trim_keys=False`` is for tables whose stored keys are already trimmed: the
+    key then stays a plain column, so a filter on one series (even one applied
+    to a finished prediction table, which Catalyst moves below the per-series
+    window) reaches the Parquet reader as a pushed equality.
     """
     validate(df)
     types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.trim(F.col(TYPE_COL)) if trim_keys else F.col(TYPE_COL)
     measure = F.col(MEASURE_COL)
     text_measure = isinstance(types[MEASURE_COL], T.StringType)
     # A text measure is summed the way Hive sums text: numbers count, anything
@@ -66,7 +72,7 @@ def normalize(df: DataFrame) -> DataFrame:
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
     # where Parquet can evaluate it (PushedFilters: IsNotNull(attack_type)).
     return df.where(F.col(TYPE_COL).isNotNull()).select(
-        F.trim(F.col(TYPE_COL)).alias(TYPE_COL),
+        key.alias(TYPE_COL),
         measure.alias(MEASURE_COL),
         *[p.alias(c) for p, c in zip(parts, PART_COLS)],
         *extra,
@@ -81,14 +87,14 @@ def part_text(name: str, dtype: T.DataType):
     return F.col(name).cast("string")
 
 
-def read_stat_parquet(spark: SparkSession, path: str) -> DataFrame:
+def read_stat_parquet(spark: SparkSession, path: str, *, trim_keys: bool = True) -> DataFrame:
     """Parquet statistics table (column pruning and pushdown come from the scan)."""
-    return normalize(spark.read.parquet(path))
+    return normalize(spark.read.parquet(path), trim_keys=trim_keys)
 
 
-def read_stat_table(spark: SparkSession, name: str) -> DataFrame:
+def read_stat_table(spark: SparkSession, name: str, *, trim_keys: bool = True) -> DataFrame:
     """Catalog table (Hive or any other catalog the caller's session is bound to)."""
-    return normalize(spark.table(name))
+    return normalize(spark.table(name), trim_keys=trim_keys)
 
 
 def restrict_days(df: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
