@@ -22,7 +22,7 @@ no shuffle; a (series, label) group holds at most two rows per year.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import trunc_int
@@ -30,19 +30,29 @@ from ..sources.tables import TYPE_COL
 from .forecast import ACTUAL, MARK_YEAR
 
 
+def positional_real() -> Column:
+    """real_count := trunc(_actual) where the label has a measured period."""
+    return F.coalesce(trunc_int(F.col(ACTUAL)), F.col("real_count"))
+
+
 def backfill_positional(rows: DataFrame) -> DataFrame:
-    """real_count := trunc(actual) where the label has a measured period."""
-    real = F.coalesce(trunc_int(F.col(ACTUAL)), F.col("real_count")).alias("real_count")
     keep = [c for c in rows.columns if c not in ("real_count", ACTUAL)]
-    return rows.select(*keep, real)
+    return rows.select(*keep, positional_real().alias("real_count"))
 
 
-def backfill_by_label(rows: DataFrame) -> DataFrame:
-    """real_count := trunc(value of the latest-year marker with the same label)."""
+def with_latest_by_label(rows: DataFrame) -> DataFrame:
+    """Forecast rows (markers dropped) with ``_latest``: the value of the
+    latest-year marker carrying the same label."""
     same_label = Window.partitionBy(TYPE_COL, "time")
     latest = F.max_by(F.col(ACTUAL), F.col(MARK_YEAR)).over(same_label)
-    real = F.coalesce(trunc_int(F.col("_latest")), F.col("real_count")).alias("real_count")
+    return rows.select("*", latest.alias("_latest")).where(F.col(MARK_YEAR).isNull())
+
+
+def label_real() -> Column:
+    """real_count := trunc(_latest) where some year has the label's week."""
+    return F.coalesce(trunc_int(F.col("_latest")), F.col("real_count"))
+
+
+def backfill_by_label(rows: DataFrame) -> DataFrame:
     keep = [c for c in rows.columns if c not in ("real_count", ACTUAL, MARK_YEAR)]
-    return (rows.select("*", latest.alias("_latest"))
-            .where(F.col(MARK_YEAR).isNull())
-            .select(*keep, real))
+    return with_latest_by_label(rows).select(*keep, label_real().alias("real_count"))

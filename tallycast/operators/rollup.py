@@ -45,8 +45,12 @@ def hour_partials(stat: DataFrame) -> DataFrame:
 
 def _measured(p: DataFrame) -> DataFrame:
     """Groups with at least one numeric measure (their sum is not NULL); the sum
-    is the rollup value."""
-    return p.where(F.col(SUM).isNotNull()).withColumnRenamed(SUM, "acc").drop(CNT)
+    (column ``_sum``) is the rollup value, selected as ``acc`` by the callers."""
+    return p.where(F.col(SUM).isNotNull())
+
+
+def _acc():
+    return F.col(SUM).alias("acc")
 
 
 # ------------------------------------------------------------------ TYP-1 / FLT-1
@@ -72,14 +76,14 @@ def series_filter(stat: DataFrame, attack_type: str) -> DataFrame:
 def rollup_hour(stat: DataFrame) -> DataFrame:
     """(attack_type, acc, year, month, day, hour, hour_time)."""
     r = _measured(partials(stat, PART_COLS))
-    return r.select(TYPE_COL, "acc", *PART_COLS,
+    return r.select(TYPE_COL, _acc(), *PART_COLS,
                     cal.hour_label("year", "month", "day", "hour").alias("hour_time"))
 
 
 def rollup_day(stat: DataFrame) -> DataFrame:
     """(attack_type, acc, day_time, year, month, day)."""
     r = _measured(partials(stat, ("year", "month", "day")))
-    return r.select(TYPE_COL, "acc", cal.day_label("year", "month", "day").alias("day_time"),
+    return r.select(TYPE_COL, _acc(), cal.day_label("year", "month", "day").alias("day_time"),
                     "year", "month", "day")
 
 
@@ -102,17 +106,17 @@ def rollup_week(stat: DataFrame, iso_year: bool = False) -> DataFrame:
         r = _measured(p.groupBy(TYPE_COL, monday.alias("week_start"))
                       .agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)))
         iso_y, iso_w = cal.iso_week_of("week_start")
-        return r.select(TYPE_COL, iso_w.alias("week_time"), "acc", iso_y.alias("year"), "week_start")
+        return r.select(TYPE_COL, iso_w.alias("week_time"), _acc(), iso_y.alias("year"), "week_start")
     week = cal.week_of_year("year", "month", "day")
     r = _measured(p.groupBy(TYPE_COL, "year", week.alias("week_time"))
                   .agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)))
-    return r.select(TYPE_COL, "week_time", "acc", "year")
+    return r.select(TYPE_COL, "week_time", _acc(), "year")
 
 
 def rollup_month(stat: DataFrame) -> DataFrame:
     """(attack_type, year, acc, month, month_time)."""
     r = _measured(partials(stat, ("year", "month")))
-    return r.select(TYPE_COL, "year", "acc", "month", cal.month_label("year", "month").alias("month_time"))
+    return r.select(TYPE_COL, "year", _acc(), "month", cal.month_label("year", "month").alias("month_time"))
 
 
 def rollup_day_count(stat: DataFrame) -> DataFrame:

@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import rollup as R
-from ..operators.backfill import backfill_by_label, backfill_positional
+from ..operators.backfill import label_real, positional_real, with_latest_by_label
 from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
 from ..sources.tables import TYPE_COL
 from ..sources.sinks import write_table
@@ -46,21 +46,21 @@ def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
     if grain == "hour":
         r = R.rollup_hour(stat)
         period = cal.hour_start("year", "month", "day", "hour")
-        prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period")).select(
-            "*", cal.next_hour("_period").alias("_next"),
-            (F.col("_period") + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
+        prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period"),
+                        cal.next_hour(period).alias("_next"),
+                        (period + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
         return prep, SeriesSpec(("_period", "hour_time"), "hour_time", "_next", "_next_key"), r
     if grain == "day":
         r = R.rollup_day(stat)
-        prep = r.select(TYPE_COL, "acc", "day_time",
-                        cal.day_date("year", "month", "day").alias("_period")).select(
-            "*", cal.next_day("_period").alias("_next"), F.date_add("_period", 1).alias("_next_key"))
+        period = cal.day_date("year", "month", "day")
+        prep = r.select(TYPE_COL, "acc", "day_time", period.alias("_period"),
+                        cal.next_day(period).alias("_next"), F.date_add(period, 1).alias("_next_key"))
         return prep, SeriesSpec(("_period", "day_time"), "day_time", "_next", "_next_key"), r
     if grain == "month":
         r = R.rollup_month(stat)
-        prep = r.select(TYPE_COL, "acc", "month_time",
-                        cal.month_start("year", "month").alias("_period")).select(
-            "*", cal.next_month("_period").alias("_next"), F.add_months("_period", 1).alias("_next_key"))
+        period = cal.month_start("year", "month")
+        prep = r.select(TYPE_COL, "acc", "month_time", period.alias("_period"),
+                        cal.next_month(period).alias("_next"), F.add_months(period, 1).alias("_next_key"))
         return prep, SeriesSpec(("_period", "month_time"), "month_time", "_next", "_next_key"), r
     if grain == "week":
         r = R.rollup_week(stat, iso_year=iso_year)
@@ -140,27 +140,38 @@ def forecast(stat: DataFrame, grain: str, *, ratio: str | None = None,
     if grain == "legacy_day":
         return _legacy_rows(stat)
     rows, _ = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds, iso_year=iso_year)
-    return _finish(rows.drop(ACTUAL), grain)
+    return _finish(rows, grain)
 
 
-def _finish(rows: DataFrame, grain: str) -> DataFrame:
-    cols = [TYPE_COL, F.col("time").alias(TIME_COL[grain]), "real_count", "predict_count"]
-    if "year" in rows.columns:
-        cols.append("year")
-    return rows.select(*cols)
+def _finish(rows: DataFrame, grain: str, real: Column | None = None, sink: bool = False) -> DataFrame:
+    """One projection to the output layout: forecast/backfill columns, or with
+    ``sink`` the prediction table's (id, busiess_sys, time_<grain>, ...)."""
+    real = (F.col("real_count") if real is None else real).alias("real_count")
+    time = F.col("time").alias(TIME_COL[grain])
+    year = ["year"] if "year" in rows.columns else []
+    if sink:
+        return rows.select(F.lit(0).alias("id"), F.lit("0").alias("busiess_sys"), time, TYPE_COL,
+                           real, "predict_count", *year)
+    return rows.select(TYPE_COL, time, real, "predict_count", *year)
 
 
-def backfill(stat: DataFrame, grain: str, *, ratio: str | None = None,
-             dedupe_seeds: bool = False, iso_year: bool = False) -> DataFrame:
-    """Forecast rows with actuals filled in (same columns as ``forecast``)."""
+def _backfilled(stat: DataFrame, grain: str, *, sink: bool, ratio: str | None = None,
+                dedupe_seeds: bool = False, iso_year: bool = False) -> DataFrame:
     _check(grain)
-    if grain == "legacy_day":
-        return _legacy_rows(stat)  # the legacy job never backfills
+    if grain == "legacy_day":  # the legacy job never backfills
+        rows = _legacy_rows(stat)
+        return prediction_table(rows, grain) if sink else rows
     by_label = grain == "week" and not iso_year
     rows, _ = forecast_rows(stat, grain, ratio=ratio, dedupe_seeds=dedupe_seeds,
                             iso_year=iso_year, markers=by_label)
-    filled = backfill_by_label(rows) if by_label else backfill_positional(rows)
-    return _finish(filled, grain)
+    if by_label:
+        return _finish(with_latest_by_label(rows), grain, label_real(), sink)
+    return _finish(rows, grain, positional_real(), sink)
+
+
+def backfill(stat: DataFrame, grain: str, **options) -> DataFrame:
+    """Forecast rows with actuals filled in (same columns as ``forecast``)."""
+    return _backfilled(stat, grain, sink=False, **options)
 
 
 def prediction_table(filled: DataFrame, grain: str) -> DataFrame:
@@ -175,7 +186,7 @@ def prediction_table(filled: DataFrame, grain: str) -> DataFrame:
 
 def predict(stat: DataFrame, grain: str, **options) -> DataFrame:
     """The full prediction table of one grain, ready for ``sinks.write_table``."""
-    return prediction_table(backfill(stat, grain, **options), grain)
+    return _backfilled(stat, grain, sink=True, **options)
 
 
 def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True,
