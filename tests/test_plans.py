@@ -85,3 +85,38 @@ def test_series_filter_reaches_the_scan(spark, scratch):
     assert "EqualTo(attack_type,R)" in plan.split("PushedFilters: [")[1].split("]")[0], plan
     full = {tuple(r) for r in jobs.predict(read_stat_parquet(spark, path), "day").collect() if r["attack_type"] == "R"}
     assert {tuple(r) for r in one.collect()} == full
+
+
+def _exchanges(plan):
+    """(partitioning text, records written) of every shuffle in an executed plan."""
+    out, stack = [], [plan]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):  # shuffle and result stages
+            stack.append(node.plan())
+            continue
+        if name == "Exchange":
+            m = node.metrics()
+            out.append((node.outputPartitioning().toString(), m.apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return out
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """A key holding ~40% of the rows crosses the first exchange as partial
+    aggregates: one row per (map task, series, hour), not one per raw row."""
+    from tests.conftest import SF_ORACLE
+    stat = fx.stat_events_hot(spark, SF_ORACLE)
+    raw = stat.count()
+    keys = stat.select("attack_type", "year", "month", "day", "hour").distinct().count()
+    maps = stat.rdd.getNumPartitions()
+    df = jobs.predict(stat, "hour")
+    df.collect()
+    shuffles = _exchanges(df._jdf.queryExecution().executedPlan())
+    first = [n for p, n in shuffles if p.count(",") >= 4]  # keyed on (series, y, m, d, h)
+    assert len(first) == 1 and first[0] <= keys * maps < raw, (shuffles, keys, maps, raw)
