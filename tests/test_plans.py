@@ -120,3 +120,6 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     shuffles = _exchanges(df._jdf.queryExecution().executedPlan())
     first = [n for p, n in shuffles if p.count(",") >= 4]  # keyed on (series, y, m, d, h)
     assert len(first) == 1 and first[0] <= keys * maps < raw, (shuffles, keys, maps, raw)
+    # the second exchange (series only) carries exactly one row per (series, hour)
+    second = [n for p, n in shuffles if p.count(",") == 1]
+    assert second == [keys], (shuffles, keys)
