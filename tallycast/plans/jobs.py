@@ -66,14 +66,14 @@ def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
         r = R.rollup_week(stat, iso_year=iso_year)
         if iso_year:
             nxt_year, nxt_week = cal.next_iso_week("week_start")
-            prep = r.select(TYPE_COL, "acc", "year", F.col("week_time").cast("string").alias("_label"),
+            prep = r.select(TYPE_COL, "acc", "year", cal.week_label("week_time").alias("_label"),
                             "week_start", nxt_week.cast("string").alias("_next"),
                             nxt_year.alias("_next_year"), F.date_add("week_start", 7).alias("_next_key"))
             spec = SeriesSpec(("week_start",), "_label", "_next", "_next_key",
                               year="year", next_year="_next_year")
             return prep, spec, r
         prep = r.select(TYPE_COL, "acc", "year", "week_time",
-                        F.col("week_time").cast("string").alias("_label"),
+                        cal.week_label("week_time").alias("_label"),
                         cal.next_week_number("week_time").cast("string").alias("_next"))
         spec = SeriesSpec(("year", "week_time"), "_label", "_next", year="year", seed_year_first=True)
         return prep, spec, r
