@@ -123,3 +123,11 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     # the second exchange (series only) carries exactly one row per (series, hour)
     second = [n for p, n in shuffles if p.count(",") == 1]
     assert second == [keys], (shuffles, keys)
+
+
+@pytest.mark.parametrize("grain", ["hour", "day", "month"])
+def test_forecast_window_computes_each_lag_once(spark, grain):
+    plan = _plan(jobs.predict(fx.stat_orders(spark, SF_SMALL), grain))
+    window = [line for line in plan.split("\n") if "Window [" in line]
+    assert len(window) == 1, plan
+    assert window[0].count("lag(") == 3 and window[0].count("lead(") == 2, window[0]
