@@ -25,61 +25,68 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _as_stat(df: DataFrame, key: Column, measure: Column, ts: Column) -> DataFrame:
+    return normalize(df.select(key.alias("attack_type"), measure.cast("double").alias("sum"), *_parts(ts)))
+
+
+def _cents(c: str) -> Column:
+    return F.round(F.col(c) * 100)
+
+
+# DataFrame -> statistics rows; usable as the ``transform`` of a streaming refresh
+
+def events_as_stat(ev: DataFrame) -> DataFrame:
     """``events``: key ``event_type``, measure ``round(value*100)`` (whole numbers)."""
-    ev = _table(spark, sf_dir, "events")
-    return normalize(ev.select(
-        F.col("event_type").alias("attack_type"),
-        F.round(F.col("value") * 100).cast("double").alias("sum"),
-        *_parts(F.col("ts")),
-    ))
+    return _as_stat(ev, F.col("event_type"), _cents("value"), F.col("ts"))
 
 
-def stat_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_as_stat(li: DataFrame) -> DataFrame:
     """``lineitem``: key ``l_returnflag``, measure ``l_quantity``, period ``l_shipdate``."""
-    li = _table(spark, sf_dir, "lineitem")
-    return normalize(li.select(
-        F.col("l_returnflag").alias("attack_type"),
-        F.col("l_quantity").cast("double").alias("sum"),
-        *_parts(F.col("l_shipdate")),
-    ))
+    return _as_stat(li, F.col("l_returnflag"), F.col("l_quantity"), F.col("l_shipdate"))
 
 
-def stat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_as_stat(od: DataFrame) -> DataFrame:
     """``orders``: key ``o_orderpriority``, measure ``round(o_totalprice*100)``."""
-    od = _table(spark, sf_dir, "orders")
-    return normalize(od.select(
-        F.col("o_orderpriority").alias("attack_type"),
-        F.round(F.col("o_totalprice") * 100).cast("double").alias("sum"),
-        *_parts(F.col("o_orderdate")),
-    ))
+    return _as_stat(od, F.col("o_orderpriority"), _cents("o_totalprice"), F.col("o_orderdate"))
 
 
-def stat_user_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_as_user_keys(ev: DataFrame) -> DataFrame:
     """``events`` keyed by ``user_id/k`` (``k`` from ``props``): thousands of short series.
 
     Most keys occur once or twice, so series of length 1, 2 and 3 arise from the
     whole table without any prefix or row cap.
     """
-    ev = _table(spark, sf_dir, "events")
     key = F.concat_ws("/", F.col("user_id").cast("string"), F.get_json_object("props", "$.k"))
-    return normalize(ev.select(
-        key.alias("attack_type"),
-        F.round(F.col("value") * 100).cast("double").alias("sum"),
-        *_parts(F.col("ts")),
-    ))
+    return _as_stat(ev, key, _cents("value"), F.col("ts"))
 
 
-def stat_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_as_hot(ev: DataFrame) -> DataFrame:
     """``events`` with ``click`` and ``view`` merged into one series ``hot``
     (about 40% of all rows): a skewed key for the same plans."""
-    ev = _table(spark, sf_dir, "events")
     key = F.when(F.col("event_type").isin("click", "view"), F.lit("hot")).otherwise(F.col("event_type"))
-    return normalize(ev.select(
-        key.alias("attack_type"),
-        F.round(F.col("value") * 100).cast("double").alias("sum"),
-        *_parts(F.col("ts")),
-    ))
+    return _as_stat(ev, key, _cents("value"), F.col("ts"))
+
+
+# (spark, sf_dir) -> statistics rows over the driver's tables
+
+def stat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_stat(_table(spark, sf_dir, "events"))
+
+
+def stat_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem_as_stat(_table(spark, sf_dir, "lineitem"))
+
+
+def stat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_as_stat(_table(spark, sf_dir, "orders"))
+
+
+def stat_user_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_user_keys(_table(spark, sf_dir, "events"))
+
+
+def stat_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_hot(_table(spark, sf_dir, "events"))
 
 
 FIXTURES = {

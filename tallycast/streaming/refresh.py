@@ -63,14 +63,16 @@ def _drop_versions_before(spark: SparkSession, state_path: str, epoch: int) -> N
 
 def refresh_batch(batch: DataFrame, epoch: int, *, state_path: str, sink_root: str,
                   grains=GRAINS, fmt: str = "parquet", sink_options: dict | None = None,
-                  keep_history: bool = False, **options) -> dict[str, DataFrame]:
+                  keep_history: bool = False, transform=None, **options) -> dict[str, DataFrame]:
     """One micro-batch of the refresh (also usable directly, e.g. from a scheduler).
 
-    Unless ``keep_history``, versions older than ``epoch - 1`` are removed once
-    this epoch's tables are written.
+    ``transform`` maps the batch's rows to statistics rows first (e.g. raw
+    events -> (attack_type, sum, year, month, day, hour)); without it the batch
+    already has the statistics layout.  Unless ``keep_history``, versions older
+    than ``epoch - 1`` are removed once this epoch's tables are written.
     """
     spark = batch.sparkSession
-    delta = hour_partials(normalize(batch))
+    delta = hour_partials(transform(batch) if transform else normalize(batch))
     previous = spark.read.parquet(_version(state_path, epoch - 1)) if epoch > 0 else None
     merged_path = _version(state_path, epoch)
     merge_partials(previous, delta).write.mode("overwrite").parquet(merged_path)
@@ -94,12 +96,14 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
                   fmt: str = "parquet", sink_options: dict | None = None,
                   schema=STAT_SCHEMA, source_format: str = "parquet",
                   source_options: dict | None = None, keep_history: bool = False,
-                  **options) -> StreamingQuery:
+                  transform=None, **options) -> StreamingQuery:
     """Start the refresh stream over statistics files under ``source_path``.
 
     ``source_format`` is any file format of Structured Streaming's file source
     (parquet, orc, json, csv) with ``source_options``; ``schema`` is the stored
-    layout, by default the text-parts contract.
+    layout, by default the text-parts contract.  ``transform`` maps other
+    layouts (raw events) to statistics rows per micro-batch, e.g.
+    ``fixtures.events_as_stat``.
 
     ``state_path`` (partials versions) and ``checkpoint_location`` default to
     folders under the session's ``spark.checkpoint.dir``; one of the two must be
@@ -118,7 +122,8 @@ def start_refresh(spark: SparkSession, source_path: str, sink_root: str, *,
 
     def run(batch: DataFrame, epoch: int) -> None:
         refresh_batch(batch, epoch, state_path=state_path, sink_root=sink_root, grains=grains,
-                      fmt=fmt, sink_options=sink_options, keep_history=keep_history, **options)
+                      fmt=fmt, sink_options=sink_options, keep_history=keep_history,
+                      transform=transform, **options)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     if processing_time:

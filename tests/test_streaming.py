@@ -57,3 +57,19 @@ def test_refresh_reads_other_file_formats(spark, scratch):
                       checkpoint_location=os.path.join(run, "ckpt"), schema=stat.schema, source_format="orc")
     q.awaitTermination()
     assert _rows(spark.read.parquet(os.path.join(sinks_root, "month"))) == _rows(jobs.predict(stat, "month"))
+
+
+def test_refresh_from_raw_events(spark, scratch):
+    """A raw event stream, mapped to statistics rows per micro-batch."""
+    run = os.path.join(scratch, "stream_raw")
+    source, sinks_root = os.path.join(run, "source"), os.path.join(run, "sinks")
+    events = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    events.where("dayofmonth(ts) <= 15").write.mode("append").parquet(source)
+    events.where("dayofmonth(ts) > 15").write.mode("append").parquet(source)
+    q = start_refresh(spark, source, sinks_root, grains=("hour", "day"), state_path=os.path.join(run, "state"),
+                      checkpoint_location=os.path.join(run, "ckpt"), schema=events.schema,
+                      transform=fx.events_as_stat, max_files_per_trigger=1)
+    q.awaitTermination()
+    for g in ("hour", "day"):
+        got = spark.read.parquet(os.path.join(sinks_root, g))
+        assert _rows(got) == _rows(jobs.predict(fx.stat_events(spark, SF_SMALL), g)), g
