@@ -68,11 +68,12 @@ def refresh_batch(batch: DataFrame, epoch: int, *, state_path: str, sink_root: s
 
     ``transform`` maps the batch's rows to statistics rows first (e.g. raw
     events -> (attack_type, sum, year, month, day, hour)); without it the batch
-    already has the statistics layout.  Unless ``keep_history``, versions older
+    already has the statistics layout.  Either way the rows are normalised
+    (idempotent) before aggregating.  Unless ``keep_history``, versions older
     than ``epoch - 1`` are removed once this epoch's tables are written.
     """
     spark = batch.sparkSession
-    delta = hour_partials(transform(batch) if transform else normalize(batch))
+    delta = hour_partials(normalize(transform(batch) if transform else batch))
     previous = spark.read.parquet(_version(state_path, epoch - 1)) if epoch > 0 else None
     merged_path = _version(state_path, epoch)
     merge_partials(previous, delta).write.mode("overwrite").parquet(merged_path)
