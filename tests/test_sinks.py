@@ -67,3 +67,11 @@ def test_refresh_jobs_write_prediction_tables(spark, scratch):
 def test_unknown_option_is_rejected(spark):
     with pytest.raises(ValueError):
         jobs.predict_all(fx.stat_events(spark, SF_SMALL), ("day",), ratios="forward")
+
+
+def test_catalog_table_refresh(spark):
+    table = jobs.predict(fx.stat_events(spark, SF_SMALL), "month")
+    sinks.write_table(table, "tc_prediction_monthly_stat", fmt="table")
+    sinks.write_table(table, "tc_prediction_monthly_stat", fmt="table")  # refresh replaces
+    back = spark.table("tc_prediction_monthly_stat")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
