@@ -4,7 +4,7 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8) and prints one JSON line.  Each query is
 executed in full through the ``noop`` sink (every row is produced, nothing is
 collected to the driver); the reported time per query is the median of
-``$BENCH_REPEATS`` (default 3) runs after one warm-up run of the whole set.
+``$BENCH_REPEATS`` (default 5) runs after one warm-up run of the whole set.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ QUERIES = {
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     scratch = tempfile.mkdtemp(prefix="bench-")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, scratch=scratch)
     for q in QUERIES.values():  # warm-up: JIT, file listing, codegen caches
