@@ -150,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_hour_forward": _q("stat_events", lambda st: jobs.forecast(st, "hour", ratio="forward")),
         "forecast_month_dedup": _q("stat_shipments", lambda st: jobs.forecast(st, "month", dedupe_seeds=True)),
         "prediction_week_iso": _q("stat_shipments", lambda st: jobs.predict(st, "week", iso_year=True)),
+        "forecast_week_iso": _q("stat_orders", lambda st: jobs.forecast(st, "week", iso_year=True)),
         # positional lag with calendar labels
         "forecast_unmatched": _q("stat_events", lambda st: jobs.unmatched_forecasts(st, "hour")),
     }
@@ -388,6 +389,9 @@ def oracle_sql() -> dict[str, str]:
         "prediction_week_iso": _with("stat_shipments", "week_iso",
                                      f"SELECT {_PRED_COLS}, time_week, attack_type, real_count, predict_count, year "
                                      "FROM bf", _WEEK_ISO),
+        "forecast_week_iso": _with("stat_orders", "week_iso",
+                                   "SELECT attack_type, time AS time_week, real_count, predict_count, year FROM fc",
+                                   _WEEK_ISO),
         "forecast_unmatched": _with("stat_events", "hour",
                                     "SELECT attack_type, nxt AS time_hour, " + _steady("inverse") +
                                     " AS predict_count FROM s WHERE rn >= 3 AND NOT EXISTS (SELECT 1 FROM roll r "
