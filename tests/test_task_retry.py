@@ -35,7 +35,7 @@ SCRIPT = textwrap.dedent("""
 
     stat = fx.stat_shipments(spark, "/root/testdata/sf0.001")
     rows = lambda df: sorted(map(tuple, df.collect()))
-    for grain in ("day", "week", "month"):
+    for grain in ("hour", "day", "week", "month", "legacy_day"):
         clean = rows(jobs.predict(stat, grain))
         upstream = rows(jobs.predict(stat.mapInPandas(flaky, stat.schema), grain))
         table = jobs.predict(stat, grain)
@@ -51,4 +51,4 @@ def test_failed_tasks_recompute_identically():
                           text=True, timeout=600, cwd=ROOT)
     assert proc.returncode == 0, proc.stderr[-3000:]
     assert [line.split()[1] for line in proc.stdout.splitlines() if line.startswith("ok ")] == \
-        ["day", "week", "month"]
+        ["hour", "day", "week", "month", "legacy_day"]
