@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -197,11 +198,17 @@ def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True,
     checkpoint directory configured (``spark.checkpoint.dir``) they are written
     there once (reliable checkpoint, survives executor loss) and every grain
     reads that small table instead of the raw rows.  Without a checkpoint
-    directory each grain re-reads the raw table.
+    directory the partials are persisted (memory and disk) instead; release
+    them with ``spark.catalog.clearCache()`` or let ``refresh_all`` do it.
     """
     base = R.hour_partials(stat)
-    if materialize and checkpoint_dir(stat.sparkSession) is not None:
-        base = base.checkpoint(eager=True)
+    if materialize:
+        if checkpoint_dir(stat.sparkSession) is not None:
+            base = base.checkpoint(eager=True)
+        else:
+            # No shared checkpoint folder: keep the small partials cached instead
+            # (recomputed from lineage if an executor holding them is lost).
+            base = base.persist(StorageLevel.MEMORY_AND_DISK)
     return {g: predict(base, g, **options_for(g, options)) for g in grains}
 
 
@@ -240,10 +247,13 @@ def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet
     def write(g: str) -> None:
         write_table(tables[g], targets[g], fmt=fmt, **(sink_options or {}))
 
-    if parallel > 1:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            list(pool.map(write, tables))
-    else:
-        for g in tables:
-            write(g)
+    try:
+        if parallel > 1:
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                list(pool.map(write, tables))
+        else:
+            for g in tables:
+                write(g)
+    finally:
+        R.hour_partials(stat).unpersist()  # the cached partials, when no checkpoint dir was set
     return tables

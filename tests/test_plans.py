@@ -131,3 +131,16 @@ def test_forecast_window_computes_each_lag_once(spark, grain):
     window = [line for line in plan.split("\n") if "Window [" in line]
     assert len(window) == 1, plan
     assert window[0].count("lag(") == 3 and window[0].count("lead(") == 2, window[0]
+
+
+def test_predict_all_without_checkpoint_dir_caches_partials(spark, monkeypatch):
+    """With no shared checkpoint folder the partials are cached, not re-read per grain."""
+    monkeypatch.setattr(jobs, "checkpoint_dir", lambda s: None)
+    stat = fx.stat_events(spark, SF_SMALL)
+    tables = jobs.predict_all(stat, ("day", "month"))
+    try:
+        for g, df in tables.items():
+            assert "InMemoryTableScan" in _plan(df), g
+            assert sorted(map(tuple, df.collect())) == sorted(map(tuple, jobs.predict(stat, g).collect())), g
+    finally:
+        spark.catalog.clearCache()
