@@ -18,7 +18,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tallycast.plans.jobs import GRAINS, refresh_all
+from tallycast.plans.jobs import GRAINS, predict_all, refresh_all
 from tallycast.sources.tables import read_stat_parquet, read_stat_table, restrict_days
 
 
@@ -39,6 +39,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--iso-year", action="store_true", help="weeks keyed by ISO week-year")
     p.add_argument("--parallel", type=int, default=1, help="table writes submitted concurrently")
     p.add_argument("--hive", action="store_true", help="bind the session to the Hive metastore")
+    p.add_argument("--explain", action="store_true",
+                   help="print each grain's physical plan and exit without running a job")
     p.add_argument("--keys-trimmed", action="store_true",
                    help="stored attack types carry no blanks: skip trim() so key filters reach the scan")
     return p.parse_args(argv)
@@ -72,6 +74,12 @@ def main(argv: list[str] | None = None) -> dict:
         options["dedupe_seeds"] = True
     if args.iso_year:
         options["iso_year"] = True
+    if args.explain:
+        tables = predict_all(stat, tuple(targets), materialize=False, **options)
+        for g, table in tables.items():
+            print(f"== {g} -> {targets[g]}")
+            table.explain("formatted")
+        return tables
     sink_options = {}
     if args.format == "jdbc":
         if not args.jdbc_url:

@@ -28,3 +28,13 @@ def test_cli_rejects_bad_grain_spec():
         targets_of(["hourly=x"])
     with pytest.raises(SystemExit):
         targets_of(["hour"])
+
+
+def test_cli_explain_runs_no_job(spark, scratch, capsys):
+    src = os.path.join(scratch, "cli_source_explain")
+    fx.stat_orders(spark, SF_SMALL).write.mode("overwrite").parquet(src)
+    out = os.path.join(scratch, "cli_explain_out")
+    main(["--source", src, "--source-format", "parquet", "--grain", f"day={out}/day", "--explain"])
+    printed = capsys.readouterr().out
+    assert "== day" in printed and "Window" in printed
+    assert not os.path.exists(out)
