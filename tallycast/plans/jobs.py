@@ -8,8 +8,8 @@ with the number of series.
 
 ``predict_all`` refreshes every grain from one scan: the raw table is reduced
 once to hourly partials (one row per series and hour), which are checkpointed
-when the session names a checkpoint directory, and each grain rolls up from
-them.
+when the session names a checkpoint directory (persisted otherwise), and each
+grain rolls up from them.
 """
 
 from __future__ import annotations
