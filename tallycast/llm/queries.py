@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallycast.llm.common import read
 from tallycast.llm.decontaminate import contained_items
 from tallycast.llm.jaccard_join import similar_groups
+from tallycast.llm.lang_id import identify
 from tallycast.llm.packing import pack
+from tallycast.llm.secret_scan import report, scan
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +19,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by Kneser-Ney models of the training folds."""
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of power-of-two length."""
     return pack(read(spark, sf_dir, "documents"))
@@ -27,11 +34,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document, by pattern and by randomness."""
+    return report(scan(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_language_id": op6_language_id,
         "op7_packing": op7_packing,
         "op9_decontamination": op9_decontamination,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
