@@ -309,4 +309,4 @@ def without_rejected(docs: DataFrame) -> DataFrame:
             held = batch.filter(pa.array([not r for *_, r in found], pa.bool_()))
             yield pa.RecordBatch.from_arrays(held.columns[:-1], schema=pa.schema(list(held.schema)[:-1]))
 
-    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(kept, docs.schema)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias("text to judge")).mapInArrow(kept, docs.schema)

@@ -12,6 +12,15 @@ from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.packing import pack
 from tallycast.llm.secret_scan import report, scan
+from tallycast.llm.url_filter import judge
+from tallycast.llm.warc_zip import round_trip
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP packages, read back by range."""
+    return round_trip(read(spark, sf_dir, "pages")).drop("url")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +38,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) of which the document holds 80 percent of the item's 5-word shingles."""
     return contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -41,9 +55,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_warc_zip": op3_warc_zip,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_language_id": op6_language_id,
         "op7_packing": op7_packing,
+        "op8_url_filter": op8_url_filter,
         "op9_decontamination": op9_decontamination,
         "op10_secret_scan": op10_secret_scan,
     }
@@ -62,6 +78,12 @@ def oracle_sql() -> dict[str, str]:
     alnum = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     sets = _SHINGLES.format(name="s", id="doc_id", table="documents", n=4, word=spaces)
     return {
+        "op3_warc_zip": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+  d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+  f AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
         "op5_jaccard_join": f"""
 WITH RECURSIVE {sets},
   sizes AS (SELECT id, count(*) AS n FROM s GROUP BY id),

@@ -197,18 +197,18 @@ def redacted(docs: DataFrame) -> DataFrame:
     The texts are scanned twice, for the thresholds and for the spans, and never
     shuffled.  Texts without a span, null ones too, stay as they are.
     """
-    columns = docs.columns
-    texts = docs.withColumn("_t", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    own = texts.select("_t")
-    seen = stored(candidates(own).select(F.explode("tokens").alias("c")).select("c.class", "c.p"), "tokens")
-    df = candidates(texts).withColumn("_all", F.array_sort(F.concat("base", _reported(thresholds(seen)))))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
+    seen = stored(candidates(whole.select("_t")).select(F.explode("tokens").alias("c")).select("c.class", "c.p"), "tokens")
+    df = candidates(whole).withColumn("_all", F.array_sort(F.concat("base", _reported(thresholds(seen)))))
+    piece = lambda at, n: F.substring(F.col("_t"), (at + 1).cast("int"), n.cast("int"))
     clear = F.aggregate(
         "_all", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, c: F.struct(
-            F.when(c["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("_t"), (acc["at"] + 1).cast("int"), (c["start"] - acc["at"]).cast("int")), F.lit(SECRET)))
-            .otherwise(acc["out"]).alias("out"),
+            F.when(c["start"] >= acc["at"], F.concat(acc["out"], piece(acc["at"], c["start"] - acc["at"]), F.lit(SECRET))).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], c["end"]).alias("at")),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("_t"), (acc["at"] + 1).cast("int"), F.length("_t"))))
-    df = df.withColumn("_new", F.when(F.size("_all") > 0, clear))
-    changed = {"text": F.coalesce("_new", "text"), "n_chars": F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in columns else None}
-    return df.select(*[changed[c].alias(c) if changed.get(c) is not None else F.col(c) for c in columns])
+        lambda acc: F.concat(acc["out"], piece(acc["at"], F.length("_t"))))
+    df = df.withColumn("_new", F.when(F.size("_all") > 0, clear)).select("_row", "_new")
+    after = {"text": F.coalesce("_new", "_row.text")}
+    if "n_chars" in docs.columns:
+        after["n_chars"] = F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return df.select(*[after.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
