@@ -7,13 +7,16 @@
 2. Equal shingle sets are one class.  A class posts only its prefix, the first
    n - ceil(t n) + 1 shingles; similar classes share one of them.
 3. Lists of two classes or more are stored.  Pairs pass the length and positional
-   filters in the join and the suffix filter (partitioned sizes bound the
-   symmetric difference from below), and are verified once on the whole sets.
-4. To stay linear inside large groups, a first round verifies each list's
-   members against its smallest member only.  A second round compares what the
-   first left in different components: per list, members outside the largest
-   component against all.  No pair of different components is left out, so the
-   components are those of all links.
+   filters in the join and the suffix filter (the bits in which two parity
+   bitmaps differ bound the symmetric difference from below), and are verified
+   once on the whole sets.
+4. To stay linear inside large groups, ``ROUNDS`` rounds first verify one pair per
+   class: the class and, of the lists' leaders, the one it shares most lists with.
+   The leader of a list is the class with most shared tokens (a text whose copies
+   were edited has them all), later one drawn by hash.  A last round compares
+   what these left in different components: per list, classes outside the
+   largest component against all.  No pair of different components is left
+   out, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from tallycast.llm.common import filter_ids, stored
 from tallycast.llm.components import connected_components
 
 SKETCH_BITS = 18
-ROW_SCHEMA = "doc_id long, n_shingles long, cls long, parts_a long, parts_b long, prefix array<long>"
+ROUNDS = 2
+MAPS = ("m0", "m1", "m2", "m3")
+ROW_SCHEMA = "doc_id long, n_shingles long, cls long, m0 long, m1 long, m2 long, m3 long, prefix array<long>"
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -50,10 +55,10 @@ def _class(shingles: np.ndarray) -> int:
     return int(H.mix(np.array([h], dtype=H.U)).view(np.int64)[0])
 
 
-def _parts(shingles: np.ndarray) -> tuple[int, int]:
-    """The set's sizes in 8 hash partitions, each held at 32,767 at most, four to a long."""
-    sizes = np.minimum(np.bincount((shingles >> H.U(40)).astype(np.int64) & 7, minlength=8), 32_767).tolist()
-    return tuple(sum(s << 16 * i for i, s in enumerate(four)) for four in (sizes[:4], sizes[4:]))
+def _bitmap(shingles: np.ndarray) -> list[int]:
+    """For each of 256 hash slots the parity of the set's shingles there, as four longs."""
+    odd = (np.bincount(((shingles >> H.U(24)) & H.U(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
 
 
 def sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -84,24 +89,27 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """A stored row per document: shingles, class, partition sizes, and the prefix where its task met the class first."""
+    """A stored row per document: shingles, class, bitmap, and the prefix where its task met the class first."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, n))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, met = counts.value, set()
         for batch in batches:
-            sizes, classes, a, b, prefixes = [], [], [], [], []
+            sizes, classes, maps, prefixes = [], [], [], []
             for s in _sets(batch.column(1), n):
                 c, prefix = _class(s), None
                 if len(s) and c not in met:
                     met.add(c)
                     order = np.argsort(slots[(s >> H.U(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                     prefix = s[order[:len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64)
-                pa_, pb_ = _parts(s)
-                sizes.append(len(s)), classes.append(c), a.append(pa_), b.append(pb_), prefixes.append(prefix)
+                sizes.append(len(s))
+                classes.append(c)
+                maps.append(_bitmap(s))
+                prefixes.append(prefix)
+            four = zip(*maps, strict=True) if maps else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, classes, a, b)), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "cls", "parts_a", "parts_b", "prefix"])
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, classes, *four)), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "cls", *MAPS, "prefix"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stored(ids.mapInArrow(rows, ROW_SCHEMA), "shingles")
@@ -122,19 +130,18 @@ def _may_match(x: str, y: str, percent: int) -> Column:
     return F.expr(f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size) AND {rest} >= {need}")
 
 
-def _distance(a: str, b: str) -> Column:
-    """The least size of the symmetric difference that the partition sizes of two classes allow."""
-    field = lambda c, i: f"(shiftright({c}, {16 * i}) & 65535)"
-    return F.expr(" + ".join(f"abs({field(f'{a}.{p}', i)} - {field(f'{b}.{p}', i)})" for p in ("parts_a", "parts_b") for i in range(4)))
+def _near(x: str, y: str, percent: int) -> Column:
+    """Suffix filter of the rows x and y: their bitmaps differ in no more bits than similar sets differ in shingles."""
+    bits = " + ".join(f"bit_count({x}.{m} ^ {y}.{m})" for m in MAPS)
+    total = f"({x}.size + {y}.size)"
+    return F.expr(f"{bits} <= {total} - 2 * (({percent} * {total} + {99 + percent}) div {100 + percent})")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Stored (x, y, u, v, linked): the pairs of classes that pass the suffix filter, whether they are similar, and their smallest ids."""
     a, b = classes.alias("a"), classes.alias("b")
-    kept = pairs.join(a, F.expr("x = a.cls")).join(b, F.expr("y = b.cls"))
-    total = "(a.size + b.size)"
-    slack = F.expr(f"{total} - 2 * (({percent} * {total} + {99 + percent}) div {100 + percent})")
-    kept = stored(kept.where(_distance("a", "b") <= slack).selectExpr("x", "y", "a.rep AS u", "b.rep AS v"), "candidates")
+    kept = pairs.join(a, F.expr("x = a.cls")).join(b, F.expr("y = b.cls")).where(_near("a", "b", percent))
+    kept = stored(kept.selectExpr("x", "y", "a.rep AS u", "b.rep AS v"), "candidates")
     wanted = stored(kept.selectExpr("u AS id").unionByName(kept.selectExpr("v AS id")).distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +167,21 @@ def _labels(links: list[DataFrame]) -> DataFrame:
     return connected_components(edges.where("linked AND u <> v").select("u", "v"))
 
 
+def _untried(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
+    for earlier in done:
+        pairs = pairs.join(earlier.select("x", "y"), ["x", "y"], "left_anti")
+    return pairs
+
+
+def _with_component(posts: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The postings of classes with an id, with their component so far."""
+    nodes = classes.where("rep IS NOT NULL").select("cls", "rep")
+    if labels is None:
+        return posts.join(nodes.withColumnRenamed("rep", "comp"), "cls")
+    nodes = nodes.join(labels, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("label", "rep").alias("comp"))
+    return posts.join(nodes, "cls")
+
+
 def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
@@ -174,25 +196,32 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """
     rows = describe(docs, n, percent)
     classes = rows.where("n_shingles > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), F.max("parts_a").alias("parts_a"), F.max("parts_b").alias("parts_b"))
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), *[F.max(m).alias(m) for m in MAPS])
     classes = stored(classes, "classes")
     posts = shared_postings(rows)
-
-    smallest = posts.groupBy("token").agg(F.min(F.struct("size", "cls", "pos")).alias("l")).selectExpr("token", "l.size AS size", "l.cls AS cls", "l.pos AS pos")
-    star = posts.alias("p").join(smallest.alias("q"), F.expr("p.token = q.token AND p.cls <> q.cls") & _may_match("p", "q", percent))
-    star = star.select(F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y")).distinct()
-    first = verified(star, classes, docs, n, percent)
-    labels = _labels([first])
-
-    nodes = classes.select("cls", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("label", "rep").alias("comp"))
-    posts = posts.join(nodes, "cls")
-    sizes = posts.groupBy("token", "comp").agg(F.count("*").alias("n"))
+    shares = stored(posts.groupBy("cls").agg(F.count("*").alias("shares")), "shares")
+    pair = (F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y"))
+
+    done, labels = [], None
+    for turn in range(ROUNDS):
+        rank = F.col("shares") if turn == 0 else F.xxhash64("cls", F.lit(turn))
+        own = _with_component(posts, classes, labels).join(shares, "cls").withColumn("rank", rank).drop("shares")
+        leader = own.groupBy("token").agg(F.max(F.struct("rank", "cls", "size", "pos", "comp")).alias("l")).select("token", "l.*")
+        tried = own.alias("p").join(leader.alias("q"), F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent))
+        tried = tried.groupBy("p.cls", F.col("q.cls").alias("to")).agg(F.count("*").alias("n")).groupBy("cls").agg(F.max(F.struct("n", "to")).alias("t"))
+        tried = tried.select(F.least("cls", "t.to").alias("x"), F.greatest("cls", "t.to").alias("y")).distinct()
+        done.append(verified(_untried(tried, done), classes, docs, n, percent))
+        labels = _labels(done)
+
+    own = _with_component(posts, classes, labels)
+    sizes = own.groupBy("token", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    left = stored(posts.join(mixed.selectExpr("token", "m.comp AS main"), "token"), "mixed")
-    cross = left.where("comp <> main").alias("p").join(left.alias("q"), F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent))
-    cross = cross.select(F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y")).distinct()
-    second = verified(cross.join(first.select("x", "y"), ["x", "y"], "left_anti"), classes, docs, n, percent)
-    labels = _labels([first, second])
+    left = own.join(mixed.selectExpr("token", "m.comp AS main"), "token").join(classes.select("cls", *MAPS), "cls")
+    left = stored(left, "mixed")
+    differ = F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent) & _near("p", "q", percent)
+    cross = left.where("comp <> main").alias("p").join(left.alias("q"), differ).select(*pair).distinct()
+    done.append(verified(_untried(cross, done), classes, docs, n, percent))
+    labels = _labels(done)
 
     groups = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("label", "rep").alias("component"))
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
