@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.llm.common import read
 from tallycast.llm.decontaminate import contained_items
+from tallycast.llm.fingerprints import edited_fingerprints
 from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.packing import pack
@@ -18,6 +19,11 @@ from tallycast.llm.warc_zip import round_trip
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text, and their likeness."""
+    return edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record in ZIP packages, read back by range."""
     return round_trip(read(spark, sf_dir, "pages")).drop("url")
@@ -55,6 +61,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_winnowing": op1_winnowing,
         "op3_warc_zip": op3_warc_zip,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_language_id": op6_language_id,
