@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.llm.common import read
+from tallycast.llm.crf_extract import extract
 from tallycast.llm.decontaminate import contained_items
 from tallycast.llm.fingerprints import edited_fingerprints
 from tallycast.llm.jaccard_join import similar_groups
@@ -24,6 +25,11 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op2_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record in ZIP packages, read back by range."""
     return round_trip(read(spark, sf_dir, "pages")).drop("url")
@@ -62,6 +68,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_winnowing": op1_winnowing,
+        "op2_html_crf": op2_html_crf,
         "op3_warc_zip": op3_warc_zip,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_language_id": op6_language_id,
