@@ -13,6 +13,7 @@ from tallycast.llm.fingerprints import edited_fingerprints
 from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.packing import pack
+from tallycast.llm.repeats import without_repeats
 from tallycast.llm.secret_scan import report, scan
 from tallycast.llm.url_filter import judge
 from tallycast.llm.warc_zip import round_trip
@@ -35,6 +36,11 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "pages")).drop("url")
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 100-byte strings that also start earlier."""
+    return without_repeats(read(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents by exact 4-word shingle likeness of 0.85 or more."""
     return similar_groups(read(spark, sf_dir, "documents"), n=4, percent=85)
@@ -70,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_winnowing": op1_winnowing,
         "op2_html_crf": op2_html_crf,
         "op3_warc_zip": op3_warc_zip,
+        "op4_suffix_repeats": op4_suffix_repeats,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_language_id": op6_language_id,
         "op7_packing": op7_packing,
