@@ -10,13 +10,13 @@
    filters in the join and the suffix filter (the bits in which two parity
    bitmaps differ bound the symmetric difference from below), and are verified
    once on the whole sets.
-4. To stay linear inside large groups, ``ROUNDS`` rounds first verify one pair per
-   class: the class and, of the lists' leaders, the one it shares most lists with.
-   The leader of a list is the class with most shared tokens (a text whose copies
-   were edited has them all), later one drawn by hash.  A last round compares
-   what these left in different components: per list, classes outside the
-   largest component against all.  No pair of different components is left
-   out, so the components are those of all links.
+4. To stay linear inside large groups, a first round verifies one pair per class:
+   the class and, of the lists' leaders, the one it shares most lists with.  The
+   leader of a list is the class with most shared tokens (a text whose copies were
+   edited has them all).  A second round compares what the first left in different
+   components: per list, classes outside the largest component against all.
+   No pair of different components is left out, so the components are those of
+   all links.
 """
 
 from __future__ import annotations
@@ -33,9 +33,10 @@ from tallycast.llm.common import filter_ids, stored
 from tallycast.llm.components import connected_components
 
 SKETCH_BITS = 18
-ROUNDS = 2
 MAPS = ("m0", "m1", "m2", "m3")
-ROW_SCHEMA = "doc_id long, n_shingles long, cls long, m0 long, m1 long, m2 long, m3 long, prefix array<long>"
+#: Longs of the wide bitmap, which candidate pairs are held against before whole sets move.
+WIDE = 64
+ROW_SCHEMA = "doc_id long, n_shingles long, cls long, m0 long, m1 long, m2 long, m3 long, prefix array<long>, wide array<long>"
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -55,10 +56,11 @@ def _class(shingles: np.ndarray) -> int:
     return int(H.mix(np.array([h], dtype=H.U)).view(np.int64)[0])
 
 
-def _bitmap(shingles: np.ndarray) -> list[int]:
-    """For each of 256 hash slots the parity of the set's shingles there, as four longs."""
-    odd = (np.bincount(((shingles >> H.U(24)) & H.U(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).tolist()
+def _bitmap(shingles: np.ndarray, longs: int) -> np.ndarray:
+    """For each of 64 * longs hash slots the parity of the set's shingles there."""
+    slots = 64 * longs
+    odd = (np.bincount(((shingles >> H.U(24)) & H.U(slots - 1)).astype(np.int64), minlength=slots) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
 def sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -95,21 +97,23 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, met = counts.value, set()
         for batch in batches:
-            sizes, classes, maps, prefixes = [], [], [], []
+            sizes, classes, maps, prefixes, wide = [], [], [], [], []
             for s in _sets(batch.column(1), n):
-                c, prefix = _class(s), None
+                c, prefix, bits = _class(s), None, None
                 if len(s) and c not in met:
                     met.add(c)
                     order = np.argsort(slots[(s >> H.U(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                     prefix = s[order[:len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64)
+                    bits = _bitmap(s, WIDE)
                 sizes.append(len(s))
                 classes.append(c)
-                maps.append(_bitmap(s))
+                maps.append(_bitmap(s, len(MAPS)).tolist())
                 prefixes.append(prefix)
+                wide.append(bits)
             four = zip(*maps, strict=True) if maps else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, classes, *four)), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "cls", *MAPS, "prefix"])
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, classes, *four)), *(pa.array(x, pa.list_(pa.int64())) for x in (prefixes, wide))],
+                names=["doc_id", "n_shingles", "cls", *MAPS, "prefix", "wide"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stored(ids.mapInArrow(rows, ROW_SCHEMA), "shingles")
@@ -133,15 +137,30 @@ def _may_match(x: str, y: str, percent: int) -> Column:
 def _near(x: str, y: str, percent: int) -> Column:
     """Suffix filter of the rows x and y: their bitmaps differ in no more bits than similar sets differ in shingles."""
     bits = " + ".join(f"bit_count({x}.{m} ^ {y}.{m})" for m in MAPS)
-    total = f"({x}.size + {y}.size)"
-    return F.expr(f"{bits} <= {total} - 2 * (({percent} * {total} + {99 + percent}) div {100 + percent})")
+    return F.expr(f"{bits} <= {_slack(f'({x}.size + {y}.size)', percent)}")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Stored (x, y, u, v, linked): the pairs of classes that pass the suffix filter, whether they are similar, and their smallest ids."""
+def _slack(total: str, percent: int) -> str:
+    """The most shingles that two similar sets of ``total`` together may not share."""
+    return f"{total} - 2 * (({percent} * {total} + {99 + percent}) div {100 + percent})"
+
+
+def _candidates(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Stored (x, y, u, v): the pairs of classes that pass the suffix filter by both bitmaps, and their smallest ids."""
     a, b = classes.alias("a"), classes.alias("b")
-    kept = pairs.join(a, F.expr("x = a.cls")).join(b, F.expr("y = b.cls")).where(_near("a", "b", percent))
-    kept = stored(kept.selectExpr("x", "y", "a.rep AS u", "b.rep AS v"), "candidates")
+    near = pairs.join(a, F.expr("x = a.cls")).join(b, F.expr("y = b.cls")).where(_near("a", "b", percent))
+    near = stored(near.selectExpr("x", "y", "a.rep AS u", "b.rep AS v", "a.size + b.size AS total"), "candidates")
+    wanted = stored(near.selectExpr("x AS cls").unionByName(near.selectExpr("y AS cls")).distinct(), "wanted")
+    wide = rows.where("wide IS NOT NULL").select("cls", "wide")
+    wide = filter_ids(wide, wanted, "cls", keep=True).groupBy("cls").agg(F.first("wide").alias("wide"))
+    both = near.join(wide.selectExpr("cls AS x", "wide AS s"), "x").join(wide.selectExpr("cls AS y", "wide AS t"), "y")
+    bits = F.aggregate(F.zip_with("s", "t", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, n: total + n)
+    return stored(both.where(bits <= F.expr(_slack("total", percent))).select("x", "y", "u", "v"), "candidates")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Stored (x, y, u, v, linked): the pairs of classes that pass the suffix filter, whether they are similar, and their smallest ids."""
+    kept = _candidates(pairs, rows, classes, percent)
     wanted = stored(kept.selectExpr("u AS id").unionByName(kept.selectExpr("v AS id")).distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,21 +186,6 @@ def _labels(links: list[DataFrame]) -> DataFrame:
     return connected_components(edges.where("linked AND u <> v").select("u", "v"))
 
 
-def _untried(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
-    for earlier in done:
-        pairs = pairs.join(earlier.select("x", "y"), ["x", "y"], "left_anti")
-    return pairs
-
-
-def _with_component(posts: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The postings of classes with an id, with their component so far."""
-    nodes = classes.where("rep IS NOT NULL").select("cls", "rep")
-    if labels is None:
-        return posts.join(nodes.withColumnRenamed("rep", "comp"), "cls")
-    nodes = nodes.join(labels, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("label", "rep").alias("comp"))
-    return posts.join(nodes, "cls")
-
-
 def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
@@ -202,26 +206,23 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     shares = stored(posts.groupBy("cls").agg(F.count("*").alias("shares")), "shares")
     pair = (F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y"))
 
-    done, labels = [], None
-    for turn in range(ROUNDS):
-        rank = F.col("shares") if turn == 0 else F.xxhash64("cls", F.lit(turn))
-        own = _with_component(posts, classes, labels).join(shares, "cls").withColumn("rank", rank).drop("shares")
-        leader = own.groupBy("token").agg(F.max(F.struct("rank", "cls", "size", "pos", "comp")).alias("l")).select("token", "l.*")
-        tried = own.alias("p").join(leader.alias("q"), F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent))
-        tried = tried.groupBy("p.cls", F.col("q.cls").alias("to")).agg(F.count("*").alias("n")).groupBy("cls").agg(F.max(F.struct("n", "to")).alias("t"))
-        tried = tried.select(F.least("cls", "t.to").alias("x"), F.greatest("cls", "t.to").alias("y")).distinct()
-        done.append(verified(_untried(tried, done), classes, docs, n, percent))
-        labels = _labels(done)
-
-    own = _with_component(posts, classes, labels)
+    ranked = posts.join(shares, "cls")
+    leader = ranked.groupBy("token").agg(F.max(F.struct("shares", "cls", "size", "pos")).alias("l")).select("token", "l.*")
+    star = posts.alias("p").join(leader.alias("q"), F.expr("p.token = q.token AND p.cls <> q.cls") & _may_match("p", "q", percent))
+    star = star.groupBy("p.cls", F.col("q.cls").alias("to")).agg(F.count("*").alias("n")).groupBy("cls").agg(F.max(F.struct("n", "to")).alias("t"))
+    star = star.select(F.least("cls", "t.to").alias("x"), F.greatest("cls", "t.to").alias("y")).distinct()
+    first = verified(star, rows, classes, docs, n, percent)
+
+    nodes = classes.select("cls", "rep").join(_labels([first]), F.col("rep") == F.col("node"), "left")
+    own = posts.join(nodes.select("cls", F.coalesce("label", "rep").alias("comp")), "cls")
     sizes = own.groupBy("token", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1")
     left = own.join(mixed.selectExpr("token", "m.comp AS main"), "token").join(classes.select("cls", *MAPS), "cls")
     left = stored(left, "mixed")
     differ = F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent) & _near("p", "q", percent)
     cross = left.where("comp <> main").alias("p").join(left.alias("q"), differ).select(*pair).distinct()
-    done.append(verified(_untried(cross, done), classes, docs, n, percent))
-    labels = _labels(done)
+    second = verified(cross.join(first.select("x", "y"), ["x", "y"], "left_anti"), rows, classes, docs, n, percent)
+    labels = _labels([first, second])
 
     groups = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("label", "rep").alias("component"))
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
