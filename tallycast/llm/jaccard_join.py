@@ -152,7 +152,7 @@ def _candidates(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent:
     near = stored(near.selectExpr("x", "y", "a.rep AS u", "b.rep AS v", "a.size + b.size AS total"), "candidates")
     wanted = stored(near.selectExpr("x AS cls").unionByName(near.selectExpr("y AS cls")).distinct(), "wanted")
     wide = rows.where("wide IS NOT NULL").select("cls", "wide")
-    wide = filter_ids(wide, wanted, "cls", keep=True).groupBy("cls").agg(F.first("wide").alias("wide"))
+    wide = stored(filter_ids(wide, wanted, "cls", keep=True).groupBy("cls").agg(F.first("wide").alias("wide")), "wide")
     both = near.join(wide.selectExpr("cls AS x", "wide AS s"), "x").join(wide.selectExpr("cls AS y", "wide AS t"), "y")
     bits = F.aggregate(F.zip_with("s", "t", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, n: total + n)
     return stored(both.where(bits <= F.expr(_slack("total", percent))).select("x", "y", "u", "v"), "candidates")
@@ -179,10 +179,17 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFr
     return stored(both.select("x", "y", "u", "v", linked.alias("linked")), "verified")
 
 
+def _same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Stored (u, v, linked): ids that several classes have, each linked to the smallest id of these classes."""
+    several = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
+    ids = rows.where("n_shingles > 0").join(several.select("doc_id"), "doc_id").join(classes.select("cls", "rep"), "cls")
+    return stored(ids.select(F.col("rep").alias("u"), F.col("doc_id").alias("v"), F.lit(True).alias("linked")), "ids")
+
+
 def _labels(links: list[DataFrame]) -> DataFrame:
-    edges = links[0]
+    edges = links[0].select("u", "v", "linked")
     for more in links[1:]:
-        edges = edges.unionByName(more)
+        edges = edges.unionByName(more.select("u", "v", "linked"))
     return connected_components(edges.where("linked AND u <> v").select("u", "v"))
 
 
@@ -213,7 +220,8 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     star = star.select(F.least("cls", "t.to").alias("x"), F.greatest("cls", "t.to").alias("y")).distinct()
     first = verified(star, rows, classes, docs, n, percent)
 
-    nodes = classes.select("cls", "rep").join(_labels([first]), F.col("rep") == F.col("node"), "left")
+    same = _same_ids(rows, classes)
+    nodes = classes.select("cls", "rep").join(_labels([first, same]), F.col("rep") == F.col("node"), "left")
     own = posts.join(nodes.select("cls", F.coalesce("label", "rep").alias("comp")), "cls")
     sizes = own.groupBy("token", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1")
@@ -222,7 +230,7 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     differ = F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent) & _near("p", "q", percent)
     cross = left.where("comp <> main").alias("p").join(left.alias("q"), differ).select(*pair).distinct()
     second = verified(cross.join(first.select("x", "y"), ["x", "y"], "left_anti"), rows, classes, docs, n, percent)
-    labels = _labels([first, second])
+    labels = _labels([first, second, same])
 
     groups = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("label", "rep").alias("component"))
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))

@@ -20,8 +20,9 @@ sampled and partitioned such that no repeat is lost:
    bytes; if the bytes before them differ it is a maximal repeat.  Sorted by what
    stands before, each occurrence gets the longest left extension that it shares
    with an earlier one, and with it the strings that it repeats.
-4. Runs with more than ``HOT`` contexts are not gathered in a task: each string of
-   their contexts is hashed, and all but the first occurrence of a hash go.
+4. Runs with more than ``HOT`` contexts are counted out beforehand and never
+   gathered in a task: each string of their contexts is hashed where its text is,
+   and all but the first occurrence of a hash go.
 
 Texts move once, to be joined with the anchors and again, from the same exchange,
 with the spans.
@@ -31,7 +32,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing as H
-from tallycast.llm.common import stored
+from tallycast.llm.common import filter_ids, stored
 
 LENGTH, K = 100, 32
 BEFORE = LENGTH - K
@@ -51,6 +51,7 @@ ANCHOR_SCHEMA = "run long, context long, did long, sub int, pos int, before int,
 FOUND_SCHEMA = "did long, sub int, pos int, size int, run long"
 CONTEXT_SCHEMA = "run long, did long, sub int, pos int, before int, bytes binary"
 SPAN_SCHEMA = "did long, sub int, pos int, size int"
+STRING_SCHEMA = "h1 long, h2 long, did long, sub int, pos int"
 
 
 # ---------------------------------------------------------------- anchors
@@ -260,69 +261,66 @@ def repeated(contexts: list[tuple[bytes, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _runs(hot: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[list[tuple]]]]:
-    """The sorted contexts by run, each as pieces of at most ``hot`` rows; an unread rest is skipped."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-    ahead = next(rows, None)
-
-    def pieces(run: int) -> Iterator[list[tuple]]:
-        nonlocal ahead
-        piece = []
-        while ahead is not None and ahead[0] == run:
-            piece.append(ahead)
-            ahead = next(rows, None)
-            if len(piece) == hot:
-                yield piece
-                piece = []
-        if piece:
-            yield piece
-
-    while ahead is not None:
-        run = ahead[0]
-        group = pieces(run)
-        yield run, group
-        for _ in group:
-            pass
-
-
-def _tree_spans(hot: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of the runs of at most ``hot`` contexts, by suffix array."""
-    names = [x.split()[0] for x in SPAN_SCHEMA.split(", ")]
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The sorted contexts of one run after the other."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and row[0] != held[0][0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
+
+
+def _tree_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans that the suffix array of each run gives."""
     rows: list[tuple] = []
-    flush = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=names)
-    for _, group in _runs(hot, batches):
-        members = next(group)
-        if len(members) == hot and next(group, None) is not None:
-            continue
+    for members in _runs(batches):
         for m, b, a in repeated([(r[5], r[4]) for r in members]) if len(members) > 1 else []:
             _, did, sub, pos, _, _ = members[m]
             rows.append((did, sub, pos - b, b + a))
         if len(rows) >= 10_000:
-            yield flush()
+            yield _batch(rows, SPAN_SCHEMA)
             rows = []
     if rows:
-        yield flush()
-
-
-def _string_hashes(hot: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The strings of LENGTH bytes in the contexts of larger runs: two hashes and the place of each."""
-    for _, group in _runs(hot, batches):
-        first, second = next(group), next(group, None)
-        if second is None:
-            continue
-        for piece in _chain(first, second, group):
-            for _, did, sub, pos, b, data in piece:
-                n = len(data) - LENGTH + 1
-                digests = np.frombuffer(b"".join(hashlib.blake2b(data[i:i + LENGTH], digest_size=16).digest() for i in range(n)), dtype=np.int64).reshape(n, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), pa.array([did] * n, pa.int64()), pa.array([sub] * n, pa.int32()),
-                     pa.array(np.arange(pos - b, pos - b + n, dtype=np.int32))], names=["h1", "h2", "did", "sub", "pos"])
+        yield _batch(rows, SPAN_SCHEMA)
 
 
-def _chain(first: list, second: list, rest: Iterator[list]) -> Iterator[list]:
-    yield first
-    yield second
-    yield from rest
+def _string_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of LENGTH bytes in contexts: a hash of 128 bits and the place of each."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for _, did, sub, pos, b, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i in range(len(data) - LENGTH + 1):
+                h = hashlib.blake2b(data[i:i + LENGTH], digest_size=16).digest()
+                rows.append((int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), did, sub, pos - b + i))
+            if len(rows) >= 20_000:
+                yield _batch(rows, STRING_SCHEMA)
+                rows = []
+        if rows:
+            yield _batch(rows, STRING_SCHEMA)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """did, sub, text, at (position and run of its anchors) to the bytes around each anchor."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for did, sub, text, at in zip(*batch.columns, strict=True):
+            data, d, s = text.as_py().encode(), did.as_py(), sub.as_py()
+            rows += [(x["run"], d, s, x["pos"], min(BEFORE, x["pos"]), data[max(0, x["pos"] - BEFORE):x["pos"] + LENGTH]) for x in at.as_py()]
+            if len(rows) >= 20_000:
+                yield _batch(rows, CONTEXT_SCHEMA)
+                rows = []
+        if rows:
+            yield _batch(rows, CONTEXT_SCHEMA)
 
 
 # ---------------------------------------------------------------- the operator
@@ -343,30 +341,25 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     anchors = anchors.repartitionByRange("run", "context").sortWithinPartitions("run", "context", "did", "sub", "pos")
     found = stored(anchors.mapInArrow(_settled, FOUND_SCHEMA), "anchors")
 
-    wanted = found.where("size = 0").groupBy("did", "sub").agg(F.collect_list(F.struct("pos", "run")).alias("at"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in CONTEXT_SCHEMA.split(", ")]
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        for batch in batches:
-            out: list[tuple] = []
-            for did, sub, text, at in zip(*batch.columns, strict=True):
-                data, d, s = text.as_py().encode(), did.as_py(), sub.as_py()
-                out += [(x["run"], d, s, x["pos"], min(BEFORE, x["pos"]), data[max(0, x["pos"] - BEFORE):x["pos"] + LENGTH]) for x in at.as_py()]
-                if len(out) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-
     texts = rows.select("doc_id", "did", "sub", "text")
-    contexts = texts.join(wanted, ["did", "sub"]).select("did", "sub", "text", "at").mapInArrow(cut, CONTEXT_SCHEMA)
-    contexts = contexts.repartition("run").sortWithinPartitions("run", "did", "sub", "pos")
-    by_tree = contexts.mapInArrow(partial(_tree_spans, hot), SPAN_SCHEMA)
-    strings = contexts.mapInArrow(partial(_string_hashes, hot), "h1 long, h2 long, did long, sub int, pos int")
-    firsts = strings.groupBy("h1", "h2").agg(F.min(F.struct("did", "sub", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    by_hash = strings.join(firsts, ["h1", "h2"]).where(F.struct("did", "sub", "pos") != F.col("first")).select("did", "sub", "pos", F.lit(LENGTH).alias("size"))
-    spans = found.where("size > 0").select("did", "sub", "pos", "size").unionByName(by_tree).unionByName(by_hash)
+    wanted = found.where("size = 0").select("run", "did", "sub", "pos")
+    frequent = stored(wanted.groupBy("run").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("run"), "frequent")
+
+    def contexts(anchors: DataFrame) -> DataFrame:
+        anchors = anchors.groupBy("did", "sub").agg(F.collect_list(F.struct("pos", "run")).alias("at"))
+        return texts.join(anchors, ["did", "sub"]).select("did", "sub", "text", "at").mapInArrow(_contexts, CONTEXT_SCHEMA)
+
+    spans = found.where("size > 0").select("did", "sub", "pos", "size")
+    if frequent.isEmpty():
+        rare = contexts(wanted)
+    else:
+        rare = contexts(filter_ids(wanted, frequent, "run", keep=False))
+        strings = contexts(filter_ids(wanted, frequent, "run", keep=True)).mapInArrow(_string_hashes, STRING_SCHEMA)
+        place = F.struct("did", "sub", "pos")
+        firsts = strings.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+        spans = spans.unionByName(strings.join(firsts, ["h1", "h2"]).where(place != F.col("first")).select("did", "sub", "pos", F.lit(LENGTH).alias("size")))
+    rare = rare.repartition("run").sortWithinPartitions("run", "did", "sub", "pos")
+    spans = spans.unionByName(rare.mapInArrow(_tree_spans, SPAN_SCHEMA))
     spans = spans.groupBy("did", "sub").agg(F.collect_list(F.struct("pos", "size")).alias("spans"))
     return texts.join(spans, ["did", "sub"], "left")
 

@@ -99,7 +99,7 @@ _NAME = re.compile(r"[^\W_]+")
 
 
 def url_words(segmenter: Segmenter, host: str, path: str, memory: dict[str, list[str]]) -> tuple[list[str], list[str]]:
-    """The segmented words of the host and of the path.  Names of over 64 characters are left whole."""
+    """The segmented words of the host, without its last label, and of the path.  Names of over 64 characters are left whole."""
     def split(text: str) -> list[str]:
         out = []
         for name in _NAME.findall(text.lower()):
@@ -110,7 +110,7 @@ def url_words(segmenter: Segmenter, host: str, path: str, memory: dict[str, list
             out += memory[name]
         return out
 
-    return split(host), split(path)
+    return split(host.rpartition(".")[0]), split(path)
 
 
 def unigram_counts(parts: DataFrame) -> dict[str, int]:
@@ -141,7 +141,7 @@ class Bayes:
         self.prior = math.log(blocked_urls + 1) - math.log(allowed_urls + 1)
 
     def score(self, words: list[str]) -> float:
-        return self.prior + sum(self.odds.get(w, 0.0) for w in words)
+        return self.prior + sum(self.odds.get(w, 0.0) for w in sorted(set(words)))
 
 
 def train(parts: DataFrame, segmenter: Segmenter) -> Bayes:
@@ -156,7 +156,7 @@ def train(parts: DataFrame, segmenter: Segmenter) -> Bayes:
                 own, rest = url_words(shared.value, host, path, memory)
                 label = 0 if STRONG_WORDS.intersection(own) else 1
                 held[None][label] += 1
-                for w in own + rest:
+                for w in {*own, *rest}:  # once for each URL, so that no long one outweighs the others
                     held.setdefault(w, [0, 0])[label] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.string()), pa.array([n[0] for n in held.values()], pa.int64()), pa.array([n[1] for n in held.values()], pa.int64())],

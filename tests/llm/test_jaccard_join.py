@@ -1,0 +1,85 @@
+import random
+import re
+
+from tallycast.llm import jaccard_join as J
+from tallycast.llm.components import connected_components
+from tests.llm.conftest import prose
+
+
+def sets(text, n):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
+
+
+def brute(rows, n, percent):
+    """doc_id, set size, smallest id reachable; rows without an id take that of an equal set."""
+    nodes = [(i, sets(t, n)) for i, t in rows]
+    label = {i: i for i, _ in nodes if i is not None}
+    links = [(a, b) for k, (a, s) in enumerate(nodes) for b, t in nodes[:k]
+             if a is not None and b is not None and s and t and 100 * len(s & t) >= percent * len(s | t)]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            least = min(label[a], label[b])
+            changed |= label[a] != least or label[b] != least
+            label[a] = label[b] = least
+    out = []
+    for i, s in nodes:
+        same = [label[j] for j, t in nodes if t == s and j is not None]
+        out.append((i, len(s), i if not s else label[i] if i is not None else min(same, default=None)))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=str)
+
+
+def near_copies(seed, groups, copies):
+    """Groups of texts with a few words changed each, cut ends and small unions of common lines."""
+    rng, i = random.Random(seed), 0
+    lines = [prose(rng, 6) for _ in range(5)]
+    for _ in range(groups):
+        base = prose(rng, rng.choice((3, 12, 60, 150))).split()
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 3, 5))):
+                words[rng.randrange(len(words))] = prose(rng, 1)
+            words = words[:len(words) - rng.choice((0, 0, 0, 1, 5))]
+            i += rng.randint(1, 3)
+            yield i, " ".join(words).title() if rng.random() < 0.2 else "\n".join(words)
+        i += 1
+        yield i, " ".join(rng.sample(lines, rng.randint(1, 3)))
+
+
+def test_against_brute_force(spark):
+    rows = list(near_copies(5, 8, 25))
+    random.Random(6).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for n, percent in ((4, 85), (5, 80), (2, 60)):
+        assert rows_of(J.similar_groups(df, n, percent)) == brute(rows, n, percent), (n, percent)
+
+
+def test_hard_rows(hard, none):
+    rows = [(r.doc_id, r.text) for r in hard.collect()]
+    assert rows_of(J.similar_groups(hard, 4, 85)) == brute(rows, 4, 85)
+    assert J.similar_groups(none, 4, 85).collect() == []
+    kept = J.without_near_copies(hard)
+    assert kept.columns == hard.columns
+    groups = {r[0]: r[2] for r in brute(rows, 5, 80) if r[0] is not None}
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, _ in rows if i is None or groups[i] == i), key=str)
+    assert J.without_near_copies(none).collect() == []
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(None, 3), (5, None), (300, 300)]
+    got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    label = {x: x for e in edges if None not in e for x in e}
+    for _ in label:
+        for u, v in edges:
+            if u is not None and v is not None:
+                label[u] = label[v] = min(label[u], label[v])
+    assert got == label
+    assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []

@@ -1,0 +1,119 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+
+from tallycast.llm import lang_id as L
+from tests.llm.conftest import prose
+
+
+def _symbols(text):
+    out = ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            out += c
+        elif out and out[-1] != " ":
+            out += " "
+    return out
+
+
+def test_probabilities_sum_to_one():
+    rng = random.Random(1)
+    texts = [prose(rng, 200), prose(rng, 100)]
+    model = L.build(["a"], *[[x] for x in L._tally(*L.symbols(texts))])
+    alphabet = sorted({g & 0xFFFF for g in model.keys[0].tolist()})
+    for context in ("   ", " ba", "tew", "xyz", "zba"):
+        base = sum(ord(c) << 16 * (3 - i) for i, c in enumerate(context))
+        total = 0.0
+        for s in alphabet:
+            p, key, order = 0.0, base | s, L.ORDER
+            while True:
+                keys = model.keys[order - 1]
+                at = int(np.searchsorted(keys, key))
+                if at < len(keys) and keys[at] == key:
+                    p += float(model.logp[order - 1][at, 0])
+                    break
+                ctx, known = key >> 16, model.contexts[order - 1]
+                at = int(np.searchsorted(known, ctx))
+                p += float(model.backoff[order - 1][at, 0]) if at < len(known) and known[at] == ctx else 0.0
+                order -= 1
+                key &= (1 << 16 * order) - 1
+                if not order:
+                    p += model.floor
+                    break
+            total += 2 ** p
+        # what is missing is the share of the one symbol never seen
+        assert 0.9 < total <= 1 + 1e-6, (context, total)
+
+
+def test_top_counts_and_order_of_scores():
+    grams, bounds = L._grams(*L.symbols(["Ab c", "", None, "é!é"]))
+    unpack = lambda g: "".join(chr(int(g) >> 16 * i & 0xFFFF) for i in (3, 2, 1, 0))
+    assert [unpack(g) for g in grams] == ["   a", "  ab", " ab ", "ab c", "b c ", "   é", "  é ", " é é", "é é "]
+    assert bounds.tolist() == [0, 5, 5, 5, 9]
+    for alphabet in ("abc", "".join(chr(200 + i) for i in range(90))):  # both ways of counting
+        text = "".join(random.Random(2).choices(alphabet + " ", k=400))
+        keys, n = L._tally(*L.symbols([text]))
+        want = Counter(L._grams(*L.symbols([text]))[0].tolist())
+        assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == want
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = L.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(held) > 100 and sum(r.lang == r.lang_pred for r in held) >= 0.99 * len(held)
+    assert not any(r.rejected for r in got)  # clean documents stay
+    import zlib
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+
+
+def test_rejection(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(3)
+    odd = [(10_000 + i, "".join(rng.choices("qxzjkvwç漢字仮名", k=300)), None, "s", 300) for i in range(5)] + [(20_000, "12 34", "en", "s", 5), (20_001, None, None, None, None)]
+    both = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    kept = {r.doc_id for r in L.without_rejected(both).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_hard_rows(hard, none):
+    got = L.identify(hard).collect()
+    assert len(got) == hard.count()
+    for r in got:
+        assert 0 <= r.score <= 1 and r.lang_pred in ("en", "und")
+    blank = [r for r in got if r.doc_id in (2, 3, 6, 12)]
+    assert all(r.lang_pred == "und" and r.rejected and r.score == 0 for r in blank)
+    assert L.identify(none).collect() == [] and L.without_rejected(none).collect() == []
+    assert L.without_rejected(hard).columns == hard.columns
+    unlabelled = L.identify(hard.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")).collect()
+    assert {r.lang_pred for r in unlabelled} == {"und"}
+
+
+def test_kneser_ney_against_its_definition():
+    rng = random.Random(5)
+    texts = [prose(rng, 60)]
+    model = L.build(["a"], *[[x] for x in L._tally(*L.symbols(texts))])
+    line = "   " + _symbols(texts[0])
+    raw = Counter(line[i - 3:i + 1] for i in range(3, len(line)))
+    tables = {4: raw}
+    for n in (3, 2, 1):
+        tables[n] = Counter(k[1:] for k in tables[n + 1])  # distinct symbols before each n-gram
+    alphabet = len(tables[1]) + 1
+
+    def p(gram):
+        n = len(gram)
+        if not n:
+            return 1 / alphabet
+        table = tables[n]
+        ones, twos = (sum(c == v for c in table.values()) for v in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        same = [c for g, c in table.items() if g[:-1] == gram[:-1]]
+        return p(gram[1:]) if not same else max(table[gram] - d, 0) / sum(same) + d * len(same) / sum(same) * p(gram[1:])
+
+    probe = prose(random.Random(9), 12)
+    line = "   " + _symbols(probe)
+    want = -sum(math.log2(p(line[i - 3:i + 1])) for i in range(3, len(line))) / (len(line) - 3)
+    bits, n = model.entropies([probe])
+    assert n[0] == len(line) - 3 and abs(bits[0, 0] - want) < 1e-4

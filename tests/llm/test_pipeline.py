@@ -1,0 +1,42 @@
+import corpus_pipeline as C
+from tallycast.llm.common import stored
+from tallycast.llm.decontaminate import contained_items
+from tallycast.llm.jaccard_join import similar_groups
+from tallycast.llm.lang_id import identify
+from tallycast.llm.secret_scan import redacted
+from tests.llm.conftest import SF
+
+
+def test_stages(spark):
+    assert [n for n, _ in C.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "packing"]
+    docs = C.read(spark, SF, "documents")
+    columns = docs.columns
+    for name, stage in C.STAGES[:-1]:
+        after = stored(stage(spark, docs, SF), name)
+        assert after.columns == columns and after.dtypes == docs.dtypes
+        before, left = {r.doc_id: r for r in docs.collect()}, {r.doc_id: r for r in after.collect()}
+        if name == "language":
+            assert set(left) == {r.doc_id for r in identify(docs).collect() if not r.rejected}
+        elif name == "near_duplicates":
+            assert set(left) == {r.doc_id for r in similar_groups(docs, 5, 80).collect() if r.doc_id == r.component_id}
+            assert len(left) < len(before)
+        elif name == "decontamination":
+            assert set(before) - set(left) == {r.doc_id for r in contained_items(docs, C.read(spark, SF, "benchmark")).collect()}
+        else:
+            assert set(left) == set(before) and left == {r.doc_id: r for r in redacted(docs).collect()}
+        if name != "secrets":
+            assert all(left[i] == before[i] for i in left)
+        docs = after
+    pieces = C.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
+    key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
+    assert sorted(map(key, C.run(spark, SF).collect())) == sorted(map(key, pieces))
+
+
+def test_hard_rows_and_empty_tables(spark, hard, none):
+    for docs in (hard, none):
+        for _, stage in C.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert out.columns == docs.columns
+            assert out.count() <= docs.count()
+        assert (C.STAGES[-1][1](spark, docs, SF).count() == 0) == (docs.count() == 0)
