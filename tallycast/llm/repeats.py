@@ -313,7 +313,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """did, sub, text, at (position and run of its anchors) to the bytes around each anchor."""
     for batch in batches:
         rows: list[tuple] = []
-        for did, sub, text, at in zip(*batch.columns, strict=True):
+        for did, sub, text, at in zip(*batch.columns[:4], strict=True):
             data, d, s = text.as_py().encode(), did.as_py(), sub.as_py()
             rows += [(x["run"], d, s, x["pos"], min(BEFORE, x["pos"]), data[max(0, x["pos"] - BEFORE):x["pos"] + LENGTH]) for x in at.as_py()]
             if len(rows) >= 20_000:
@@ -347,7 +347,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     def contexts(anchors: DataFrame) -> DataFrame:
         anchors = anchors.groupBy("did", "sub").agg(F.collect_list(F.struct("pos", "run")).alias("at"))
-        return texts.join(anchors, ["did", "sub"]).select("did", "sub", "text", "at").mapInArrow(_contexts, CONTEXT_SCHEMA)
+        both = texts.join(anchors, ["did", "sub"])  # all columns of texts: the last join then finds the same exchange
+        return both.select("did", "sub", "text", "at", "doc_id").mapInArrow(_contexts, CONTEXT_SCHEMA)
 
     spans = found.where("size > 0").select("did", "sub", "pos", "size")
     if frequent.isEmpty():
