@@ -50,6 +50,13 @@ def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield np.unique(H.row_grams(words, bounds, grams, r, n))
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of 500 rows, whose sets are held together."""
+    for batch in batches:
+        for lo in range(0, max(len(batch), 1), 500):
+            yield batch.slice(lo, 500)
+
+
 def _class(shingles: np.ndarray) -> int:
     """The hash of a whole set, as a signed 64-bit value."""
     h = np.sum(H.mix(shingles * H.U(0xA24BAED4963EE407)), dtype=H.U) + H.U(len(shingles))
@@ -96,7 +103,7 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, met = counts.value, set()
-        for batch in batches:
+        for batch in _small(batches):
             sizes, classes, maps, prefixes, wide = [], [], [], [], []
             for s in _sets(batch.column(1), n):
                 c, prefix, bits = _class(s), None, None
@@ -164,7 +171,7 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFr
     wanted = stored(kept.selectExpr("u AS id").unionByName(kept.selectExpr("v AS id")).distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             found = list(_sets(batch.column(0), n))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tallycast.llm.common import stored
 
 ORDER = 4
+#: Characters of a text that are looked at together; a longer one is counted and scored in stretches.
+STRETCH = 1 << 20
 #: The model's size: n-grams kept per language (the most frequent), and n-grams times languages in all.
 LANGUAGE_GRAMS, MODEL_CELLS = 300_000, 20_000_000
 #: Labelled training texts on which rejection is calibrated, and their longest together (characters).
@@ -90,10 +92,16 @@ def _tally(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys, n[held]
 
 
-def _pieces(texts: list[str | None], size: int = 1 << 20) -> Iterator[slice]:
+def _stretches(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """The texts cut to ``STRETCH`` characters, and the text that each stretch is of."""
+    parts = [(t[lo:lo + STRETCH], i) for i, t in enumerate(x or "" for x in texts) for lo in range(0, max(len(t), 1), STRETCH)]
+    return [t for t, _ in parts], np.array([i for _, i in parts], dtype=np.int64)
+
+
+def _pieces(texts: list[str], size: int = 1 << 20) -> Iterator[slice]:
     lo, total = 0, 0
     for i, t in enumerate(texts):
-        total += len(t or "")
+        total += len(t)
         if total >= size:
             yield slice(lo, i + 1)
             lo, total = i + 1, 0
@@ -115,7 +123,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             texts = np.array(batch.column(0).to_pylist(), dtype=object)
             for lang in set(langs):
-                own = texts[langs == lang].tolist()
+                own, _ = _stretches(texts[langs == lang].tolist())
                 for part in _pieces(own, 4 << 20):
                     held.setdefault(lang, []).append(_tally(*symbols(own[part])))
                     if len(held[lang]) > 16:
@@ -147,6 +155,16 @@ class Model:
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Bits per symbol (texts x languages) and the number of symbols of each text."""
+        parts, owner = _stretches(texts)
+        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), dtype=np.int64)
+        for part in _pieces(parts):
+            bits, k = self._bits(parts[part])
+            np.add.at(total, owner[part], bits)
+            np.add.at(n, owner[part], k)
+        return total / np.maximum(n, 1)[:, None], n
+
+    def _bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits (texts x languages) and the number of symbols of each text."""
         grams, bounds = _grams(*symbols(texts))
         bits = np.zeros((len(grams), len(self.langs)), dtype=np.float32)
         todo, keys = np.arange(len(grams)), grams
@@ -168,23 +186,21 @@ class Model:
         full = np.flatnonzero(n)
         if len(full):
             total[full] = np.add.reduceat(bits.astype(np.float64), bounds[:-1][full], axis=0)
-        return total / np.maximum(n, 1)[:, None], n
+        return total, n
 
     def judge(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
         """(language, score, cross-entropy, rejected) of each text; ties go to the first language by name."""
         out = []
         if not self.langs:
             return [(UNDETERMINED, 0.0, None, True)] * len(texts)
-        for part in _pieces(texts):
-            bits, n = self.entropies(texts[part])
-            best = bits.argmin(axis=1)
-            for row, b, k in zip(bits, best.tolist(), n.tolist(), strict=True):
-                if not k:
-                    out.append((UNDETERMINED, 0.0, None, True))
-                    continue
-                score = 1 / float(np.exp2((row[b] - row) * min(k, 20)).sum())
-                far = self.centre is not None and row[b] > self.centre[b] + 8 * np.hypot(self.spread[b], self.per_symbol[b] / k ** 0.5) + 1
-                out.append((self.langs[b], score, float(row[b]), bool(far)))
+        bits, n = self.entropies(texts)
+        for row, b, k in zip(bits, bits.argmin(axis=1).tolist(), n.tolist(), strict=True):
+            if not k:
+                out.append((UNDETERMINED, 0.0, None, True))
+                continue
+            score = 1 / float(np.exp2((row[b] - row) * min(k, 20)).sum())
+            far = self.centre is not None and row[b] > self.centre[b] + 8 * np.hypot(self.spread[b], self.per_symbol[b] / k ** 0.5) + 1
+            out.append((self.langs[b], score, float(row[b]), bool(far)))
         return out
 
 

@@ -117,3 +117,13 @@ def test_kneser_ney_against_its_definition():
     want = -sum(math.log2(p(line[i - 3:i + 1])) for i in range(3, len(line))) / (len(line) - 3)
     bits, n = model.entropies([probe])
     assert n[0] == len(line) - 3 and abs(bits[0, 0] - want) < 1e-4
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    rng = random.Random(6)
+    model = L.build(["a", "b"], *zip(L._tally(*L.symbols([prose(rng, 80)])), L._tally(*L.symbols(["xyz zyx " * 30])), strict=True))
+    texts = [prose(rng, 400), "", None, "q"]
+    whole, n = model.entropies(texts)
+    monkeypatch.setattr(L, "STRETCH", 100)
+    parts, m = model.entropies(texts)
+    assert abs(n - m).max() < 60 and abs(whole - parts).max() < 0.4 and (whole.argmin(1) == parts.argmin(1)).all()
