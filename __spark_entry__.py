@@ -23,6 +23,7 @@ from tallycast.functions import calendar as cal  # noqa: E402
 from tallycast.operators import rollup as R  # noqa: E402
 from tallycast.plans import jobs  # noqa: E402
 from tallycast.sources import fixtures as fx  # noqa: E402
+from tallycast.sources.tables import restrict_days  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +83,20 @@ def _seed_rows(st):
     return rows.select("attack_type", F.col("time").alias("time_day"), "predict_count")
 
 
+def _growth_classes(st):
+    """How many of each series' forecast ratios are infinite, NaN or finite, by ratio."""
+    out = None
+    for ratio in ("forward", "inverse"):
+        g = jobs.growth(st, "hour", ratio=ratio)
+        inf, nan = F.col("growth").isin(float("inf"), float("-inf")), F.isnan("growth")
+        part = g.groupBy("attack_type").agg(
+            F.sum(inf.cast("long")).alias("n_infinite"), F.sum(nan.cast("long")).alias("n_nan"),
+            F.sum((~inf & ~nan).cast("long")).alias("n_finite"), F.sum(F.col("predict_count").cast("long")).alias("predicted"),
+        ).select("attack_type", F.lit(ratio).alias("ratio"), "n_infinite", "n_nan", "n_finite", "predicted")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _growth(ratio):
     def build(st):
         return jobs.growth(st, "hour", ratio=ratio).withColumnRenamed("time", "time_hour")
@@ -168,6 +183,21 @@ def _engine_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prediction_day_from_hours": _q("stat_shipments", lambda st: jobs.predict(R.hour_partials(st), "day")),
         "prediction_week_from_hours": _q("stat_orders", lambda st: jobs.predict(R.hour_partials(st), "week")),
         "prediction_month_from_hours": _q("stat_orders", lambda st: jobs.predict(R.hour_partials(st), "month")),
+        # text parts, null and blank keys, null measures, zero sums, counts and divisors
+        "series_types_guarded": _q("stat_events_guarded", R.series_types),
+        "rollup_hour_guarded": _q("stat_events_guarded", R.rollup_hour),
+        "rollup_day_guarded": _q("stat_events_guarded", R.rollup_day),
+        "rollup_day_count_guarded": _q("stat_events_guarded", R.rollup_day_count),
+        "growth_classes_guarded": _q("stat_events_guarded", _growth_classes),
+        "forecast_hour_guarded": _q("stat_events_guarded", lambda st: jobs.forecast(st, "hour")),
+        "prediction_hour_guarded": _q("stat_events_guarded", lambda st: jobs.predict(st, "hour")),
+        "prediction_day_guarded": _q("stat_events_guarded", lambda st: jobs.predict(st, "day")),
+        "prediction_legacy_day_guarded": _q("stat_events_guarded", lambda st: jobs.predict(st, "legacy_day")),
+        # two spellings of a period; a day range; one series of trimmed keys; decimal sums
+        "prediction_day_spelled": _q("stat_events_spelled", lambda st: jobs.predict(st, "day")),
+        "prediction_hour_spelled": _q("stat_events_spelled", lambda st: jobs.predict(st, "hour")),
+        "prediction_day_range": _q("stat_shipments", lambda st: jobs.predict(restrict_days(st, "1994-03-01", "1996-02-15"), "day")),
+        "prediction_hour_exact": _q("stat_events_exact", lambda st: jobs.predict(st, "hour")),
         # options
         "forecast_hour_forward": _q("stat_events", lambda st: jobs.forecast(st, "hour", ratio="forward")),
         "forecast_month_dedup": _q("stat_shipments", lambda st: jobs.forecast(st, "month", dedupe_seeds=True)),
@@ -201,6 +231,17 @@ _FIX = {
     "stat_events_hot": "SELECT CASE WHEN event_type IN ('click', 'view') THEN 'hot' ELSE trim(event_type) END "
                        f"AS attack_type, CAST(round(value * 100) AS DOUBLE) AS sum, {_parts('ts')} FROM events "
                        "WHERE event_type IS NOT NULL",
+    "stat_events_guarded": "SELECT trim(attack_type) AS attack_type, CASE WHEN day(ts) % 7 = 3 THEN NULL WHEN day(ts) % 5 = 2 THEN 0 "
+                           "WHEN user_id % 13 = 0 THEN NULL ELSE CAST(round(value * 100) AS DOUBLE) END AS sum, "
+                           f"{_parts('ts')} FROM (SELECT *, CASE WHEN user_id % 11 = 0 THEN NULL WHEN user_id % 5 = 0 "
+                           "THEN '  ' || event_type || ' ' ELSE event_type END AS attack_type FROM events) e WHERE attack_type IS NOT NULL",
+    "stat_events_spelled": "SELECT trim(event_type) AS attack_type, CAST(round(value * 100) AS DOUBLE) AS sum, "
+                           f"{_parts('ts')} FROM events WHERE event_type IS NOT NULL",
+    "stat_events_exact": "SELECT trim(event_type) AS attack_type, CAST(value AS DECIMAL(28,6)) AS sum, "
+                         f"{_parts('ts')} FROM events WHERE event_type IS NOT NULL",
+    "stat_shipments_range": "SELECT trim(l_returnflag) AS attack_type, CAST(l_quantity AS DOUBLE) AS sum, "
+                            f"{_parts('l_shipdate')} FROM lineitem WHERE l_returnflag IS NOT NULL "
+                            "AND CAST(l_shipdate AS DATE) BETWEEN DATE '1994-03-01' AND DATE '1996-02-15'",
     "stat_user_keys": "SELECT trim(concat_ws('/', CAST(user_id AS VARCHAR), json_extract_string(props, '$.k'))) "
                       f"AS attack_type, CAST(round(value * 100) AS DOUBLE) AS sum, {_parts('ts')} FROM events",
 }
@@ -398,14 +439,14 @@ def oracle_sql() -> dict[str, str]:
                                  "FROM bf", _WEEK_SERIES + _WEEK_BF),
         "prediction_month": _prediction_sql("stat_orders", "month"),
         "prediction_legacy_day_orders": _with("stat_orders", "day_count",
-                                              f"SELECT {_PRED_COLS}, time_hour, attack_type, real_count, "
-                                              "predict_count FROM lg", _LEGACY),
+                                              f"SELECT {_PRED_COLS}, time_hour, attack_type, "
+                                              f"{_ti('real_count')} AS real_count, predict_count FROM lg", _LEGACY),
         "prediction_hour_orders": _prediction_sql("stat_orders", "hour", "inverse"),
         "prediction_hour_hot": _prediction_sql("stat_events_hot", "hour", "inverse"),
         "prediction_day_hot": _prediction_sql("stat_events_hot", "day"),
         "prediction_legacy_day": _with("stat_events", "day_count",
-                                       f"SELECT {_PRED_COLS}, time_hour, attack_type, real_count, predict_count "
-                                       "FROM lg", _LEGACY),
+                                       f"SELECT {_PRED_COLS}, time_hour, attack_type, {_ti('real_count')} AS real_count, "
+                                       "predict_count FROM lg", _LEGACY),
         "forecast_hour_forward": _forecast_sql("stat_events", "hour", "forward"),
         "forecast_month_dedup": _forecast_sql("stat_shipments", "month", dedupe=True),
         "prediction_week_iso": _with("stat_shipments", "week_iso",
@@ -420,6 +461,25 @@ def oracle_sql() -> dict[str, str]:
                                     "WHERE r.attack_type = s.attack_type AND r.hour_time = s.nxt)",
                                     _series("hour")),
     }
+    guarded = "stat_events_guarded"
+    sql["series_types_guarded"] = f"WITH fix AS ({_FIX[guarded]}) SELECT DISTINCT attack_type FROM fix"
+    sql["rollup_hour_guarded"] = roll(guarded, "hour")
+    sql["rollup_day_guarded"] = roll(guarded, "day")
+    sql["rollup_day_count_guarded"] = roll(guarded, "day_count")
+    sql["forecast_hour_guarded"] = _forecast_sql(guarded, "hour", "inverse")
+    sql["prediction_hour_guarded"] = _prediction_sql(guarded, "hour", "inverse")
+    sql["prediction_day_guarded"] = _prediction_sql(guarded, "day")
+    sql["prediction_legacy_day_guarded"] = sql["prediction_legacy_day"].replace(_FIX["stat_events"], _FIX[guarded])
+    sql["growth_classes_guarded"] = " UNION ALL ".join(
+        f"SELECT attack_type, '{ratio}' AS ratio, CAST(count(*) FILTER (isinf(g)) AS BIGINT) AS n_infinite, "
+        "CAST(count(*) FILTER (isnan(g)) AS BIGINT) AS n_nan, CAST(count(*) FILTER (isfinite(g)) AS BIGINT) AS n_finite, "
+        f"CAST(sum(p) AS BIGINT) AS predicted FROM ({_with(guarded, 'hour', f'SELECT attack_type, {terms} AS g, {_steady(ratio)} AS p FROM s WHERE rn >= 3', _series('hour'))}) t "
+        "GROUP BY attack_type" for ratio, terms in (("forward", "l1 / l2 + l2 / l3"), ("inverse", "l2 / l1 + l3 / l2")))
+    sql["prediction_day_spelled"] = _prediction_sql("stat_events_spelled", "day")
+    sql["prediction_hour_spelled"] = _prediction_sql("stat_events_spelled", "hour", "inverse")
+    sql["prediction_day_range"] = _prediction_sql("stat_shipments_range", "day")
+    exact = _prediction_sql("stat_events_exact", "hour", "inverse")
+    sql["prediction_hour_exact"] = exact.replace("sum(sum) AS acc", "CAST(sum(sum) AS DOUBLE) AS acc")
     sql["prediction_day_from_hours"] = sql["prediction_day"]
     sql["prediction_week_from_hours"] = sql["prediction_week"]
     sql["prediction_month_from_hours"] = sql["prediction_month"]

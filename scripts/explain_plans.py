@@ -35,7 +35,8 @@ def main() -> None:
            "stripped.", ""]
     for name, fixture, grain, opts in JOBS:
         df = jobs.predict(fixture(spark, sf), grain, **opts)
-        df.collect()  # runs this QueryExecution, so its AQE plan becomes final
+        rows = df._jdf.queryExecution().toRdd()
+        rows.count()  # runs this QueryExecution where the rows are, so its AQE plan becomes final
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = re.sub(r"#\d+L?", "", plan)
         out += [f"## {name}", "", "```", plan.rstrip(), "```", ""]

@@ -6,10 +6,9 @@ from .plans.jobs import (GRAINS, backfill, forecast, predict, predict_all, predi
                          refresh_all)
 from .plans.views import register_views
 from .sources.tables import STAT_SCHEMA, normalize, read_stat_parquet, read_stat_table, restrict_days
-from .streaming.refresh import start_refresh
 
 __all__ = [
     "GRAINS", "STAT_SCHEMA", "backfill", "forecast", "normalize", "predict", "predict_all",
     "prediction_table", "read_stat_parquet", "read_stat_table", "refresh", "refresh_all",
-    "register_views", "restrict_days", "start_refresh",
+    "register_views", "restrict_days",
 ]

@@ -33,34 +33,18 @@ def trunc_int_sql(d: str) -> str:
             f"WHEN {d} <= {INT_MIN} THEN {INT_MIN} ELSE CAST({d} AS INT) END AS INT)")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def ieee_div(a: Column | str, b: Column | str) -> Column:
-    """``a / b`` on doubles with IEEE-754 results for a zero divisor.
+def ieee_div(a: str, b: str) -> Column:
+    """``a / b`` on doubles with IEEE-754 results for a zero divisor (operands: column names or SQL).
 
     x/0 is +Infinity for x > 0, -Infinity for x < 0 and NaN for 0/0 or NaN/0.
     The sign of a negative zero divisor is not tracked (sums here are never -0.0).
     """
-    a, b = _col(a).cast("double"), _col(b).cast("double")
-    on_zero = (
-        F.when(a > 0, F.lit(float("inf")))
-        .when(a < 0, F.lit(float("-inf")))
-        .otherwise(F.lit(float("nan")))
-    )
-    return F.when(b == 0, on_zero).otherwise(a / b)
+    return F.expr(ieee_div_sql(a, b))
 
 
-def trunc_int(d: Column | str) -> Column:
+def trunc_int(d: str) -> Column:
     """Double -> int, truncating toward zero and saturating; NaN -> 0; NULL stays NULL.
 
     NaN is tested first because Spark orders NaN above every other double.
     """
-    d = _col(d).cast("double")
-    return (
-        F.when(F.isnan(d), F.lit(0))
-        .when(d >= INT_MAX, F.lit(INT_MAX))
-        .when(d <= INT_MIN, F.lit(INT_MIN))
-        .otherwise(d.cast("int"))
-    )
+    return F.expr(trunc_int_sql(d))

@@ -5,9 +5,10 @@ the last actual for months) and then every row whose label has a measured
 period takes ``trunc(acc)`` of that period.  That is a left join of forecast
 rows to rollup rows on (series, label).
 
-For hour, day, month (and ISO weeks) the join is positional instead: a seed
-row's period is its own rollup row, and a forecast row's successor period is
-either the very next row of the series or absent (a gap).  The forecast window
+For hour, day, month (and ISO weeks) the join is positional instead: rollups
+hold one row per period (they group on integer parts), so a seed row's period is
+its own rollup row, and a forecast row's successor period is either the very
+next row of the series or absent (a gap).  The forecast window
 already carries ``lead`` of the next row, so backfill is a projection: no join,
 no shuffle.
 
@@ -32,12 +33,7 @@ from .forecast import ACTUAL, MARK_YEAR
 
 def positional_real() -> Column:
     """real_count := trunc(_actual) where the label has a measured period."""
-    return F.coalesce(trunc_int(F.col(ACTUAL)), F.col("real_count"))
-
-
-def backfill_positional(rows: DataFrame) -> DataFrame:
-    keep = [c for c in rows.columns if c not in ("real_count", ACTUAL)]
-    return rows.select(*keep, positional_real().alias("real_count"))
+    return F.coalesce(trunc_int(ACTUAL), F.col("real_count"))
 
 
 def with_latest_by_label(rows: DataFrame) -> DataFrame:
@@ -50,9 +46,4 @@ def with_latest_by_label(rows: DataFrame) -> DataFrame:
 
 def label_real() -> Column:
     """real_count := trunc(_latest) where some year has the label's week."""
-    return F.coalesce(trunc_int(F.col("_latest")), F.col("real_count"))
-
-
-def backfill_by_label(rows: DataFrame) -> DataFrame:
-    keep = [c for c in rows.columns if c not in ("real_count", ACTUAL, MARK_YEAR)]
-    return with_latest_by_label(rows).select(*keep, label_real().alias("real_count"))
+    return F.coalesce(trunc_int("_latest"), F.col("real_count"))

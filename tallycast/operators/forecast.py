@@ -31,10 +31,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.numeric import ieee_div, ieee_div_sql, trunc_int, trunc_int_sql
+from ..functions.numeric import ieee_div_sql, trunc_int_sql
 from ..sources.tables import TYPE_COL
 
 ACTUAL = "_actual"  # measured value of the row's label, carried to backfill.py
@@ -183,19 +182,11 @@ def legacy_growth(rollup_count: DataFrame, *, order: tuple[str, ...] = ("_day",)
     A series with a single period predicts persistence: (label, x[0], x[0]).
     Output: (attack_type, time_hour, real_count, predict_count).
     """
-    w = Window.partitionBy(TYPE_COL).orderBy(*order)
-    cur = F.col(x)
-    win = rollup_count.select(
-        TYPE_COL, F.col(label).alias("_label"), cur.alias("_x"),
-        F.lag(cur, 1).over(w).alias("_prev"),
-        F.lead(cur, 1).over(w).alias("_next_x"),
-        (F.row_number().over(w) - 1).alias("_rn"),
-    )
-    xd, prev = F.col("_x").cast("double"), F.col("_prev")
-    growth = ieee_div((F.col("_x") - prev).cast("double"), prev.cast("double"))
-    step = (F.col("_rn") >= 1) & (prev != 0)
-    single = (F.col("_rn") == 0) & F.col("_next_x").isNull()
-    predict = F.when(single, trunc_int(xd)).otherwise(trunc_int(xd * (F.lit(1.0) + growth)))
-    return win.where(step | single).select(
-        TYPE_COL, F.col("_label").alias(label), F.col("_x").alias("real_count"),
-        predict.alias("predict_count"))
+    over = f"OVER (PARTITION BY {TYPE_COL} ORDER BY {', '.join(order)})"
+    win = rollup_count.selectExpr(TYPE_COL, f"{label} AS _label", f"{x} AS _x", f"lag({x}, 1) {over} AS _prev",
+                                  f"lead({x}, 1) {over} AS _next_x", f"row_number() {over} - 1 AS _rn")
+    single = "_rn = 0 AND _next_x IS NULL"
+    grown = f"_x * (1.0D + {ieee_div_sql('_x - _prev', '_prev')})"
+    predict = f"CASE WHEN {single} THEN {trunc_int_sql('_x')} ELSE {trunc_int_sql(grown)} END"
+    return win.where(f"(_rn >= 1 AND _prev <> 0) OR ({single})").selectExpr(
+        TYPE_COL, f"_label AS {label}", "_x AS real_count", f"{predict} AS predict_count")

@@ -17,25 +17,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..sources.tables import MEASURE_COL, PART_COLS, RAW_MEASURE_COL, TYPE_COL, part_text
+from ..sources.tables import MEASURE_COL, PART_COLS, RAW_MEASURE_COL, TYPE_COL, part_int, part_text
 
 SUM, CNT = "_sum", "_cnt"
 
 
+def _sums(stat: DataFrame) -> tuple:
+    """Aggregates of raw rows, or of partials to merge: ``_sum`` skips nulls, ``_cnt`` counts non-nulls."""
+    if CNT in stat.columns:
+        return F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)
+    present = RAW_MEASURE_COL if RAW_MEASURE_COL in stat.columns else MEASURE_COL
+    return F.sum(MEASURE_COL).alias(SUM), F.count(present).alias(CNT)
+
+
 def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Reduce to one partial row per (series, *keys): ``_sum`` skips nulls, ``_cnt`` counts non-nulls.
+    """Reduce to one partial row per (series, *keys).
 
-    Groups on the parts as stored; the padded text form is rendered on the
-    reduced rows.
+    Groups on the parts' integer values, so each period is one row however its
+    parts are spelled; the padded text form is rendered on the reduced rows.
     """
-    if CNT in stat.columns:  # merging partials
-        aggs = (F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
-    else:  # raw rows: sum skips nulls, count counts the non-null measures as stored
-        present = RAW_MEASURE_COL if RAW_MEASURE_COL in stat.columns else MEASURE_COL
-        aggs = (F.sum(MEASURE_COL).alias(SUM), F.count(present).alias(CNT))
-    g = stat.groupBy(TYPE_COL, *keys).agg(*aggs)
-    types = {f.name: f.dataType for f in g.schema.fields}
-    return g.select(TYPE_COL, *[part_text(k, types[k]).alias(k) for k in keys], SUM, CNT)
+    g = stat.groupBy(TYPE_COL, *[part_int(stat, k).alias(k) for k in keys]).agg(*_sums(stat))
+    return g.select(TYPE_COL, *[part_text(k).alias(k) for k in keys], SUM, CNT)
 
 
 def hour_partials(stat: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def _measured(p: DataFrame) -> DataFrame:
 
 
 def _acc():
-    return F.col(SUM).alias("acc")
+    return F.col(SUM).cast("double").alias("acc")
 
 
 # ------------------------------------------------------------------ TYP-1 / FLT-1
@@ -64,9 +66,8 @@ def series_filter(stat: DataFrame, attack_type: str) -> DataFrame:
     """Rows of one series.
 
     On a normalised frame the key is ``trim(raw)``, which Parquet cannot filter
-    on.  When the stored keys are known to be trimmed, filter the raw source
-    with ``F.col('attack_type') == name`` before ``normalize`` to get a pushed
-    filter instead.
+    on.  When the stored keys are known to be trimmed, ``normalize`` with
+    ``trim_keys=False`` and the filter is pushed.
     """
     return stat.where(F.col(TYPE_COL) == F.lit(attack_type))
 
@@ -94,23 +95,13 @@ def rollup_week(stat: DataFrame, iso_year: bool = False) -> DataFrame:
     it, so 2017-01-01 lands in (2017, 52).  ``iso_year=True`` groups by the ISO
     week itself (its Monday) and reports the ISO year, so (2016, 52).
     """
-    # Raw rows are first reduced per day on plain source columns (cheap hashing,
-    # map-side combined), so the calendar math runs once per (series, day), not
-    # once per raw row.  The day rows are then hash-partitioned by series: that
-    # partitioning already satisfies both the (series, year, week) aggregation
-    # below and the per-series forecast window, so neither adds a shuffle.
-    p = stat if CNT in stat.columns else partials(stat, ("year", "month", "day"))
-    p = p.repartition(TYPE_COL)
+    day = cal.day_date(*[part_int(stat, k) for k in ("year", "month", "day")])
     if iso_year:
-        monday = cal.week_start(cal.day_date("year", "month", "day"))
-        r = _measured(p.groupBy(TYPE_COL, monday.alias("week_start"))
-                      .agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)))
+        r = _measured(stat.groupBy(TYPE_COL, cal.week_start(day).alias("week_start")).agg(*_sums(stat)))
         iso_y, iso_w = cal.iso_week_of("week_start")
         return r.select(TYPE_COL, iso_w.alias("week_time"), _acc(), iso_y.alias("year"), "week_start")
-    week = cal.week_of_year("year", "month", "day")
-    r = _measured(p.groupBy(TYPE_COL, "year", week.alias("week_time"))
-                  .agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)))
-    return r.select(TYPE_COL, "week_time", _acc(), "year")
+    g = stat.groupBy(TYPE_COL, part_int(stat, "year").alias("year"), F.weekofyear(day).alias("week_time"))
+    return _measured(g.agg(*_sums(stat))).select(TYPE_COL, "week_time", _acc(), part_text("year").alias("year"))
 
 
 def rollup_month(stat: DataFrame) -> DataFrame:

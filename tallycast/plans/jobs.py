@@ -6,14 +6,17 @@ exchange(series) -> sort -> window -> generate -> project.  The only action is
 the caller's (a write or a collect), so the number of Spark jobs does not grow
 with the number of series.
 
-``predict_all`` refreshes every grain from one scan: the raw table is reduced
-once to hourly partials (one row per series and hour), which are checkpointed
-when the session names a checkpoint directory (persisted otherwise), and each
-grain rolls up from them.
+``predict_all`` refreshes several grains from one scan: the raw table is reduced
+once to partials of the finest grain asked for (one row per series and hour, or
+day), which are written to the cluster's checkpoint directory (persisted where
+none is set), and each grain rolls up from them with one exchange, on the
+series, that serves its aggregation and its window.  A single grain goes
+straight to ``predict``.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -21,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..functions.numeric import trunc_int
 from ..operators import rollup as R
 from ..operators.backfill import label_real, positional_real, with_latest_by_label
 from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
-from ..sources.tables import TYPE_COL
 from ..sources.sinks import write_table
-from .session import checkpoint_dir
+from ..sources.tables import PART_COLS, TYPE_COL
+from .session import checkpoint_dir, drop_folder
 
 GRAINS = ("hour", "day", "week", "month", "legacy_day")
 TIME_COL = {"hour": "time_hour", "day": "time_day", "week": "time_week",
@@ -39,30 +43,52 @@ def prepared_series(stat: DataFrame, grain: str, *, iso_year: bool = False
                     ) -> tuple[DataFrame, SeriesSpec, DataFrame]:
     """(prepared frame, its SeriesSpec, the rollup it came from) for a grain.
 
-    Series order is the period value, then the label: two raw spellings of one
-    period (``1`` and ``01``) stay distinct rollup rows as grouped, and the
-    label makes their order total, so a recomputed task (lost executor) numbers
-    the rows exactly as the first attempt did.
+    Series order is the period value; a rollup has one row per period, so the
+    order is total and a recomputed task (lost executor) numbers the rows exactly
+    as the first attempt did.  Periods that name no calendar date are left out
+    of the series; ``rejected_periods`` lists them.
     """
+    prep, spec, r = _ordered_series(stat, grain, iso_year)
+    return _dated(prep, spec.order[-1]), spec, r
+
+
+def _dated(prep: DataFrame, period: str) -> DataFrame:
+    """The rows that have a period.  The test is on the summed value, or Catalyst
+    would move it, and the calendar work with it, below the aggregation to every raw row."""
+    acc = F.when(F.col(period).isNotNull(), F.col("acc"))
+    counts = dict(prep.dtypes)["acc"] == "bigint"  # never null, so only a comparison holds on to the sum
+    return prep.withColumn("acc", acc).where("acc >= 0" if counts else "acc IS NOT NULL")
+
+
+def rejected_periods(stat: DataFrame, grain: str) -> DataFrame:
+    """Rollup rows of a grain that no series holds, for their parts name no calendar date."""
+    if grain == "legacy_day":
+        r = R.rollup_day_count(stat)
+        return r.where(cal.day_date("year", "month", "day").isNull())
+    prep, spec, _ = _ordered_series(stat, grain, False)
+    return prep.where(F.col(spec.order[-1]).isNull()).select(TYPE_COL, "acc", F.col(spec.label).alias("label"))
+
+
+def _ordered_series(stat: DataFrame, grain: str, iso_year: bool) -> tuple[DataFrame, SeriesSpec, DataFrame]:
     if grain == "hour":
         r = R.rollup_hour(stat)
         period = cal.hour_start("year", "month", "day", "hour")
         prep = r.select(TYPE_COL, "acc", "hour_time", period.alias("_period"),
                         cal.next_hour(period).alias("_next"),
                         (period + F.expr("INTERVAL 1 HOUR")).alias("_next_key"))
-        return prep, SeriesSpec(("_period", "hour_time"), "hour_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period",), "hour_time", "_next", "_next_key"), r
     if grain == "day":
         r = R.rollup_day(stat)
         period = cal.day_date("year", "month", "day")
         prep = r.select(TYPE_COL, "acc", "day_time", period.alias("_period"),
                         cal.next_day(period).alias("_next"), F.date_add(period, 1).alias("_next_key"))
-        return prep, SeriesSpec(("_period", "day_time"), "day_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period",), "day_time", "_next", "_next_key"), r
     if grain == "month":
         r = R.rollup_month(stat)
         period = cal.month_start("year", "month")
         prep = r.select(TYPE_COL, "acc", "month_time", period.alias("_period"),
                         cal.next_month(period).alias("_next"), F.add_months(period, 1).alias("_next_key"))
-        return prep, SeriesSpec(("_period", "month_time"), "month_time", "_next", "_next_key"), r
+        return prep, SeriesSpec(("_period",), "month_time", "_next", "_next_key"), r
     if grain == "week":
         r = R.rollup_week(stat, iso_year=iso_year)
         if iso_year:
@@ -114,7 +140,7 @@ def unmatched_forecasts(stat: DataFrame, grain: str, **options) -> DataFrame:
 def _legacy_rows(stat: DataFrame) -> DataFrame:
     r = R.rollup_day_count(stat)
     prep = r.withColumn("_day", cal.day_date("year", "month", "day"))
-    return legacy_growth(prep, order=("_day", "time_hour"))
+    return legacy_growth(_dated(prep, "_day"), order=("_day",))
 
 
 # ------------------------------------------------------------------ public jobs
@@ -178,8 +204,10 @@ def backfill(stat: DataFrame, grain: str, **options) -> DataFrame:
 def prediction_table(filled: DataFrame, grain: str) -> DataFrame:
     """Sink layout: id, busiess_sys, time_<grain>, attack_type, real_count, predict_count[, year]."""
     t = TIME_COL[grain]
-    cols = [F.lit(0).alias("id"), F.lit("0").alias("busiess_sys"), t, TYPE_COL,
-            "real_count", "predict_count"]
+    real = "real_count"
+    if dict(filled.dtypes)[real] == "bigint":  # legacy counts: the sink's column is an int like the other grains'
+        real = trunc_int(real).alias(real)
+    cols = [F.lit(0).alias("id"), F.lit("0").alias("busiess_sys"), t, TYPE_COL, real, "predict_count"]
     if "year" in filled.columns:
         cols.append("year")
     return filled.select(*cols)
@@ -190,26 +218,39 @@ def predict(stat: DataFrame, grain: str, **options) -> DataFrame:
     return _backfilled(stat, grain, sink=True, **options)
 
 
-def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True,
-                **options) -> dict[str, DataFrame]:
+class Tables(dict):
+    """Prediction tables by grain, and ``release()`` for the partials that they share."""
+
+    def __init__(self, tables: dict[str, DataFrame], release=lambda: None):
+        super().__init__(tables)
+        self.release = release
+
+
+def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True, **options) -> Tables:
     """Prediction tables of several grains from a single scan of ``stat``.
 
-    The hourly partials are the only thing shared; with ``materialize`` and a
-    checkpoint directory configured (``spark.checkpoint.dir``) they are written
-    there once (reliable checkpoint, survives executor loss) and every grain
-    reads that small table instead of the raw rows.  Without a checkpoint
-    directory the partials are persisted (memory and disk) instead; release
-    them with ``spark.catalog.clearCache()`` or let ``refresh_all`` do it.
+    The partials are the only thing shared.  With a checkpoint directory
+    configured (``spark.checkpoint.dir``) they are written there once (any
+    executor can be lost) and every grain reads that small table instead of the
+    raw rows; without one they are persisted (memory and disk).  Call
+    ``release()`` when the tables have been written.  ``materialize=False``
+    gives the plans alone.  One grain shares nothing: it is ``predict``.
     """
-    base = R.hour_partials(stat)
-    if materialize:
-        if checkpoint_dir(stat.sparkSession) is not None:
-            base = base.checkpoint(eager=True)
-        else:
-            # No shared checkpoint folder: keep the small partials cached instead
-            # (recomputed from lineage if an executor holding them is lost).
-            base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    return {g: predict(base, g, **options_for(g, options)) for g in grains}
+    grains = tuple(grains)
+    chosen = {g: options_for(g, options) for g in grains}
+    if len(grains) == 1:
+        return Tables({g: predict(stat, g, **chosen[g]) for g in grains})
+    base, release = R.partials(stat, PART_COLS if "hour" in grains else PART_COLS[:3]), lambda: None
+    spark = stat.sparkSession
+    if materialize and (root := checkpoint_dir(spark)) is not None:
+        path = f"{root}/partials-{uuid.uuid4().hex}"
+        base.write.parquet(path)
+        base, release = spark.read.schema(base.schema).parquet(path), lambda: drop_folder(spark, path)
+    elif materialize:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        release = base.unpersist
+    shared = base.repartition(TYPE_COL)
+    return Tables({g: predict(shared, g, **chosen[g]) for g in grains}, release)
 
 
 # which grain each option applies to
@@ -240,7 +281,9 @@ def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet
     """Several grains from one scan (``predict_all``), each written to its target.
 
     The writes are independent Spark jobs; with ``parallel > 1`` they are
-    submitted from that many driver threads and share the executors.
+    submitted from that many driver threads and share the executors.  The shared
+    partials and their files are removed at the end.  Returns the tables' plans
+    over ``stat``.
     """
     tables = predict_all(stat, tuple(targets), **options)
 
@@ -255,5 +298,5 @@ def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet
             for g in tables:
                 write(g)
     finally:
-        R.hour_partials(stat).unpersist()  # the cached partials, when no checkpoint dir was set
-    return tables
+        tables.release()
+    return {g: predict(stat, g, **options_for(g, options)) for g in targets}

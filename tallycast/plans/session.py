@@ -26,6 +26,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on the file system its path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   scratch: str | None = None, app: str = "tallycast") -> SparkSession:
     """A local[N] session with the UI off, AQE on and a scratch checkpoint dir."""

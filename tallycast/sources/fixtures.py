@@ -33,7 +33,7 @@ def _cents(c: str) -> Column:
     return F.round(F.col(c) * 100)
 
 
-# DataFrame -> statistics rows; usable as the ``transform`` of a streaming refresh
+# DataFrame -> statistics rows
 
 def events_as_stat(ev: DataFrame) -> DataFrame:
     """``events``: key ``event_type``, measure ``round(value*100)`` (whole numbers)."""
@@ -67,6 +67,34 @@ def events_as_hot(ev: DataFrame) -> DataFrame:
     return _as_stat(ev, key, _cents("value"), F.col("ts"))
 
 
+def _text_parts(ts: Column, padded: Column) -> list[Column]:
+    """The parts as text: four and two digits where ``padded``, else without leading zeros."""
+    return [F.when(padded, F.lpad(p.cast("string"), n, "0")).otherwise(p.cast("string")).alias(name)
+            for p, n, name in ((F.year(ts), 4, "year"), (F.month(ts), 2, "month"), (F.dayofmonth(ts), 2, "day"), (F.hour(ts), 2, "hour"))]
+
+
+def events_as_guarded(ev: DataFrame) -> DataFrame:
+    """``events`` in the text-parts layout with what the jobs guard against: null
+    and blank-padded keys, null measures, days of nulls only (zero counts), days of
+    zeros only (zero sums, zero divisors and predecessors)."""
+    user, day = F.col("user_id"), F.dayofmonth("ts")
+    key = F.when(user % 11 == 0, None).when(user % 5 == 0, F.concat(F.lit("  "), "event_type", F.lit(" "))).otherwise(F.col("event_type"))
+    measure = F.when(day % 7 == 3, None).when(day % 5 == 2, 0.0).when(user % 13 == 0, None).otherwise(_cents("value"))
+    return normalize(ev.select(key.alias("attack_type"), measure.cast("double").alias("sum"), *_text_parts(F.col("ts"), F.lit(True))))
+
+
+def events_as_spelled(ev: DataFrame) -> DataFrame:
+    """``events`` in the text-parts layout, the parts of odd users without leading zeros."""
+    return normalize(ev.select(F.col("event_type").alias("attack_type"), _cents("value").alias("sum"),
+                               *_text_parts(F.col("ts"), F.col("user_id") % 2 == 0)))
+
+
+def events_as_exact(ev: DataFrame) -> DataFrame:
+    """``events`` with the unrounded ``value``, summed as decimals of six digits."""
+    ts = F.col("ts")
+    return normalize(ev.select(F.col("event_type").alias("attack_type"), F.col("value").alias("sum"), *_parts(ts)), exact_scale=6)
+
+
 # (spark, sf_dir) -> statistics rows over the driver's tables
 
 def stat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +117,25 @@ def stat_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_hot(_table(spark, sf_dir, "events"))
 
 
+def stat_events_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_guarded(_table(spark, sf_dir, "events"))
+
+
+def stat_events_spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_spelled(_table(spark, sf_dir, "events"))
+
+
+def stat_events_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_exact(_table(spark, sf_dir, "events"))
+
+
 FIXTURES = {
     "stat_events": stat_events,
     "stat_shipments": stat_shipments,
     "stat_orders": stat_orders,
     "stat_user_keys": stat_user_keys,
     "stat_events_hot": stat_events_hot,
+    "stat_events_guarded": stat_events_guarded,
+    "stat_events_spelled": stat_events_spelled,
+    "stat_events_exact": stat_events_exact,
 }

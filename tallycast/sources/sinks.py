@@ -5,8 +5,10 @@ final rows are computed first and written once, in parallel from the
 executors:
 
 * JDBC: ``mode("overwrite")`` with ``truncate=true`` keeps the table definition
-  (indexes, grants) and replaces its rows; inserts are batched per partition
-  and ``numPartitions`` bounds the concurrent connections the database sees.
+  (indexes, grants) and replaces its rows; inserts are batched per partition.
+  The finished rows are dealt into ``max_connections`` partitions by an exchange
+  first, so the database's limit bounds the inserts alone and the stages that
+  compute the rows keep their own partitions.
 * Parquet: ``mode("overwrite")`` of a directory; Spark's commit protocol makes
   a retried task (lost executor) write its output exactly once.
 
@@ -17,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .tables import TYPE_COL
+
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, *,
                batch_size: int = 10000, max_connections: int = 8) -> None:
@@ -25,7 +29,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     props.setdefault("truncate", "true")
     props.setdefault("batchsize", str(batch_size))
     props.setdefault("numPartitions", str(max_connections))
-    df.write.jdbc(url=url, table=table, mode="overwrite", properties=props)
+    keys = [c for c in df.columns if c == TYPE_COL or c.startswith("time_")]
+    df.repartition(int(props["numPartitions"]), *keys).write.jdbc(url=url, table=table, mode="overwrite", properties=props)
 
 
 def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:

@@ -39,18 +39,24 @@ def validate(df: DataFrame) -> DataFrame:
     return df
 
 
-def normalize(df: DataFrame, trim_keys: bool = True) -> DataFrame:
+def normalize(df: DataFrame, trim_keys: bool = True, exact_scale: int | None = None) -> DataFrame:
     """Project the six contract columns, trim the key, drop rows without a key.
 
     The measure is cast to double (integer and text columns sum the same way;
     text that is not a number sums as NULL but still counts as present for the
     legacy count, kept in ``_raw_measure``).
     Period parts stay as stored, text or integers (integer parts also come from
-    partition directories such as ``month=1``): rollups group on them as they
-    are and render zero-padded text only after aggregation, once per (series,
-    period) instead of once per raw row.  Nothing else is filtered: null
+    partition directories such as ``month=1``): rollups group on
+    their integer values, so ``1`` and ``01`` are one period, and render
+    zero-padded text only after aggregation, once per (series, period) instead
+    of once per raw row.  Nothing else is filtered: null
     measures are kept because the legacy count rollup must see their groups.
 
+    A sum of doubles depends in its last bits on the order of its terms, and with
+    fractional measures a truncated forecast may then differ by one between task
+    layouts.  ``exact_scale`` sums decimals of that many digits after the point
+    instead: the sums, cast to double at the end, are the same for every layout.
+
     ``trim_keys=False`` is for tables whose stored keys are already trimmed: the
     key then stays a plain column, so a filter on one series (even one applied
     to a finished prediction table, which Catalyst moves below the per-series
@@ -66,7 +72,8 @@ def normalize(df: DataFrame, trim_keys: bool = True) -> DataFrame:
     # legacy count, like Hive's count(sum), counts every non-null raw value, so
     # the raw text is kept alongside for it.
     extra = [measure.alias(RAW_MEASURE_COL)] if text_measure else []
-    measure = measure.try_cast("double") if text_measure else measure.cast("double")
+    kind = "double" if exact_scale is None else f"decimal(28,{exact_scale})"
+    measure = measure.cast(kind) if kind == "double" and not text_measure else measure.try_cast(kind)
     parts = [F.col(c) if isinstance(types[c], (T.IntegralType, T.StringType)) else F.col(c).cast("string")
              for c in PART_COLS]
     # trim(x) is null exactly when x is, so the null test goes on the raw column,
@@ -79,34 +86,44 @@ def normalize(df: DataFrame, trim_keys: bool = True) -> DataFrame:
     )
 
 
-def part_text(name: str, dtype: T.DataType):
-    """A period part as text: integer parts are zero-padded to the contract
-    width, text parts are kept as they are."""
-    if isinstance(dtype, T.IntegralType):
-        return F.lpad(F.col(name).cast("string"), PART_WIDTH[name], "0")
-    return F.col(name).cast("string")
+def part_int(df: DataFrame, name: str):
+    """A period part as an integer; text that is none is NULL."""
+    part = F.col(name)
+    return part.try_cast("int") if isinstance(df.schema[name].dataType, T.StringType) else part.cast("int")
+
+
+def part_text(name: str):
+    """An integer period part as text, zero-padded to the contract width."""
+    return F.lpad(F.col(name).cast("string"), PART_WIDTH[name], "0")
 
 
-def read_stat_parquet(spark: SparkSession, path: str, *, trim_keys: bool = True) -> DataFrame:
+def read_stat_parquet(spark: SparkSession, path: str, *, trim_keys: bool = True,
+                      exact_scale: int | None = None) -> DataFrame:
     """Parquet statistics table (column pruning and pushdown come from the scan)."""
-    return normalize(spark.read.parquet(path), trim_keys=trim_keys)
+    return normalize(spark.read.parquet(path), trim_keys=trim_keys, exact_scale=exact_scale)
 
 
-def read_stat_table(spark: SparkSession, name: str, *, trim_keys: bool = True) -> DataFrame:
+def read_stat_table(spark: SparkSession, name: str, *, trim_keys: bool = True,
+                    exact_scale: int | None = None) -> DataFrame:
     """Catalog table (Hive or any other catalog the caller's session is bound to)."""
-    return normalize(spark.table(name), trim_keys=trim_keys)
+    return normalize(spark.table(name), trim_keys=trim_keys, exact_scale=exact_scale)
 
 
 def restrict_days(df: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Keep rows whose day lies in [first_day, last_day] (``yyyy-MM-dd``).
 
-    The year bound is a plain comparison on a source column, so it reaches the
-    Parquet scan (row-group skipping) or prunes ``year`` partitions; the exact
-    day bound is applied after it.
+    The year bound compares the ``year`` column as it is stored, a text year (four
+    digits by contract) with text and an integer year with an integer, so it reaches
+    the Parquet scan (``PushedFilters``, row-group skipping) or prunes ``year``
+    partitions; the exact day bound is applied after it.  Rows whose parts are
+    no calendar date are left out.
     """
-    day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    text = isinstance(df.schema["year"].dataType, T.StringType)
+    year = lambda d: F.lit(d[:4] if text else int(d[:4]))
+    day = F.try_make_timestamp_ntz(part_int(df, "year"), part_int(df, "month"), part_int(df, "day"),
+                                   F.lit(0), F.lit(0), F.lit(0)).cast("date")
     if first_day is not None:
-        df = df.where((F.col("year").cast("int") >= int(first_day[:4])) & (day >= F.lit(first_day).cast("date")))
+        df = df.where((F.col("year") >= year(first_day)) & (day >= F.lit(first_day).cast("date")))
     if last_day is not None:
-        df = df.where((F.col("year").cast("int") <= int(last_day[:4])) & (day <= F.lit(last_day).cast("date")))
+        df = df.where((F.col("year") <= year(last_day)) & (day <= F.lit(last_day).cast("date")))
     return df

@@ -1,5 +1,7 @@
 """Edge cases of FIXTURES.md §4."""
 
+import pytest
+
 from tallycast.operators import rollup as R
 from tallycast.plans import jobs
 from tests.conftest import stat_frame
@@ -116,3 +118,54 @@ def test_text_measure_counts_like_hive(spark):
     assert counts == [("2024-01-01 00:00:00", 2), ("2024-01-02 00:00:00", 1)]
     sums = sorted((r["day_time"], r["acc"]) for r in R.rollup_day(st).collect())
     assert sums == [("2024-01-01", 4.0)]  # 2024-01-02 has no number: no rollup row
+
+
+def test_spellings_of_a_period_are_one_row(spark):
+    rows = [("a", 10.0 * d, "2024", "01", f"0{d}", "00") for d in range(1, 7)]
+    st = stat_frame(spark, rows + [("a", 10.0, "2024", "1", "4", "0")])
+    got = {r["time_day"]: r["real_count"] for r in jobs.backfill(st, "day").where("time_day >= '2024-01-04'").collect()}
+    assert got["2024-01-05"] == 50 and got["2024-01-04"] == 50  # 40 + 10 of the other spelling
+    assert jobs.backfill(st, "day").where("time_day = '2024-01-05'").count() == 1
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_impossible_dates_are_rejected_and_listed(spark, ansi):
+    rows = [("a", 1.0, "2024", "02", f"{d:02d}", "01") for d in (27, 28, 29, 30)] + [("a", 5.0, "2024", "xx", "01", "01"), ("a", 5.0, "2024", "02", "01", "25")]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        st = stat_frame(spark, rows)
+        clean = stat_frame(spark, rows[:3] + [rows[5]])
+        for g in ("day", "week", "legacy_day"):
+            assert sorted(map(str, jobs.predict(st, g).collect())) == sorted(map(str, jobs.predict(clean, g).collect())), g
+        assert [r["label"] for r in jobs.rejected_periods(st, "day").collect() if r["label"]] == ["2024-02-30"]
+        assert jobs.rejected_periods(st, "day").count() == 2
+        assert jobs.predict(st, "hour").count() == jobs.predict(stat_frame(spark, rows[:3]), "hour").count()
+        assert jobs.rejected_periods(st, "hour").count() == 3 and jobs.rejected_periods(st, "legacy_day").count() == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("grain", jobs.GRAINS)
+def test_empty_table(spark, grain):
+    st = stat_frame(spark, [])
+    assert jobs.predict(st, grain).collect() == [] and jobs.rejected_periods(st, grain).collect() == []
+    assert st.count() == 0
+
+
+def test_sink_counts_are_ints_in_every_grain(spark):
+    st = stat_frame(spark, [("a", 1.0, "2024", "01", f"{d:02d}", "01") for d in range(1, 9)])
+    for g in jobs.GRAINS:
+        assert dict(jobs.predict(st, g).dtypes)["real_count"] == "int", g
+
+
+def test_exact_sums_do_not_depend_on_the_layout(spark):
+    from pyspark.sql import functions as F
+    from tallycast.sources.tables import normalize
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    raw = events.select(F.lit("a").alias("attack_type"), (F.col("value") / 7).alias("sum"), F.year("ts").alias("year"),
+                        F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour"))
+    sums = [sorted(map(tuple, jobs.R.rollup_day(normalize(x, exact_scale=6)).collect())) for x in (raw, raw.repartition(16), raw.coalesce(1))]
+    assert sums[0] == sums[1] == sums[2]
+    partials = jobs.R.hour_partials(normalize(raw, exact_scale=6))
+    assert sorted(map(tuple, jobs.R.rollup_day(partials).collect())) == sums[0]

@@ -125,17 +125,3 @@ def test_prediction_table_layout(spark):
         "id", "busiess_sys", "time_day", "attack_type", "real_count", "predict_count"]
     row = jobs.predict(st, "day").first()
     assert row["id"] == 0 and row["busiess_sys"] == "0"
-
-
-def test_operator_level_backfill_matches_jobs(spark):
-    from tallycast.operators.backfill import backfill_by_label, backfill_positional
-    st = _stat(spark, "week")
-    rows, _ = jobs.forecast_rows(st, "week", markers=True)
-    by_label = backfill_by_label(rows).withColumnRenamed("time", "time_week")
-    assert sorted(map(tuple, by_label.select("attack_type", "time_week", "real_count", "predict_count", "year")
-                      .collect())) == sorted(map(tuple, jobs.backfill(st, "week").collect()))
-    st = _stat(spark, "day")
-    rows, _ = jobs.forecast_rows(st, "day")
-    pos = backfill_positional(rows).withColumnRenamed("time", "time_day")
-    assert sorted(map(tuple, pos.select("attack_type", "time_day", "real_count", "predict_count").collect())) == \
-        sorted(map(tuple, jobs.backfill(st, "day").collect()))

@@ -60,6 +60,90 @@ def test_day_range_prunes_partitions(spark, scratch):
     assert min(days) == "1997-03-01" and max(days) <= "1998-03-01"
 
 
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_day_range_is_pushed_to_the_scan(spark, scratch, kind):
+    """The year bound is a pushed filter for the text parts of the contract and for integer parts."""
+    import os
+    from pyspark.sql import functions as F
+    from tallycast.sources.tables import read_stat_parquet, restrict_days
+    path = os.path.join(scratch, f"stat_year_{kind}")
+    stat = fx.stat_shipments(spark, SF_SMALL)
+    parts = {c: F.lpad(F.col(c).cast("string"), n, "0") if kind == "string" else F.col(c)
+             for c, n in (("year", 4), ("month", 2), ("day", 2), ("hour", 2))}
+    stat.withColumns(parts).write.mode("overwrite").parquet(path)
+    st = restrict_days(read_stat_parquet(spark, path), "1997-03-01", "1998-02-28")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = _plan(jobs.predict(st, "day"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(year,1997)" in pushed and "LessThanOrEqual(year,1998)" in pushed, plan
+    days = [r["time_day"] for r in jobs.backfill(st, "day").collect()]
+    assert min(days) == "1997-03-01" and max(days) <= "1998-03-01"
+
+
+def test_week_rollup_has_no_series_exchange(spark):
+    plan = _plan(R.rollup_week(fx.stat_orders(spark, SF_SMALL)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" in plan, plan
+    keys = plan.split("Exchange hashpartitioning(")[1].split("\n")[0]
+    assert keys.startswith("attack_type") and keys.count("_groupingexpression") == 2, keys  # series, year, week
+
+
+def test_grains_from_partials_have_one_exchange(spark):
+    tables = jobs.predict_all(fx.stat_events(spark, SF_SMALL), ("hour", "day", "week", "month"))
+    for g, df in tables.items():
+        assert _plan(df).count("Exchange hashpartitioning") == 1, (g, _plan(df))
+    tables.release()
+
+
+def test_one_grain_shares_nothing(spark):
+    tables = jobs.predict_all(fx.stat_orders(spark, SF_SMALL), ("month",))
+    assert _plan(tables["month"]).count("Exchange hashpartitioning") == 2
+    assert "orders.parquet" in _plan(tables["month"])
+
+
+def test_day_partials_suffice_without_hours(spark):
+    stat = fx.stat_orders(spark, SF_SMALL)
+    tables = jobs.predict_all(stat, ("day", "week", "month", "legacy_day"), iso_year=True)
+    for g, df in tables.items():
+        want = jobs.predict(stat, g, **({"iso_year": True} if g == "week" else {}))
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect())), g
+    tables.release()
+
+
+def test_refresh_all_leaves_no_partials_and_no_cache_behind(spark, scratch):
+    import os
+    from tallycast.plans.session import checkpoint_dir
+    stat = fx.stat_events(spark, SF_SMALL)
+    own = R.hour_partials(stat).persist()
+    root = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    try:
+        jobs.refresh_all(stat, {g: os.path.join(scratch, "left", g) for g in ("day", "month")})
+        assert {x for x in os.listdir(root)} <= before | {x for x in os.listdir(root) if not x.startswith(("partials-", "rdd-"))}
+        assert own.storageLevel.useMemory and "InMemoryTableScan" in _plan(R.hour_partials(stat))
+    finally:
+        own.unpersist()
+
+
+def test_jdbc_write_keeps_the_compute_partitions(spark, monkeypatch):
+    """Only the inserts run in max_connections tasks: an exchange parts them from the window stage."""
+    from pyspark.sql import DataFrameWriter
+    from tallycast.sources import sinks
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, **k: seen.update(k, df=self._df))
+    sinks.write_table(jobs.predict(fx.stat_orders(spark, SF_SMALL), "day"), "t", fmt="jdbc", url="jdbc:mysql://db/x", max_connections=2)
+    frame = seen["df"]
+    assert frame.rdd.getNumPartitions() == 2 and seen["properties"]["numPartitions"] == "2"
+    lines = _plan(frame).split("\n")
+    deal = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(time_day" in x and ", attack_type" in x and ", 2)" in x)
+    window = next(i for i, x in enumerate(lines) if "Window [" in x)
+    assert deal < window and "Coalesce" not in _plan(frame)
+    series = next(x for x in lines[window:] if "Exchange hashpartitioning(attack_type" in x)
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')})" in series
+
+
 def test_integer_partition_parts_are_padded(spark, scratch):
     import os
     from tallycast.sources.tables import read_stat_parquet
