@@ -43,5 +43,10 @@ def filter_ids(df: DataFrame, ids: DataFrame, key: str, keep: bool) -> DataFrame
     return df.join(right, df[key] == right["_id"], "left_semi" if keep else "left_anti")
 
 
+def small_side(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """A stored table of a few longs a row, to be broadcast in a join where it is counted at ``rows`` or fewer."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

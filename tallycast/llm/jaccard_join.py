@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing as H
-from tallycast.llm.common import filter_ids, stored
+from tallycast.llm.common import BROADCAST_IDS, filter_ids, small_side, stored
 from tallycast.llm.components import connected_components
 
 SKETCH_BITS = 18
@@ -217,10 +217,11 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), *[F.max(m).alias(m) for m in MAPS])
     classes = stored(classes, "classes")
     posts = shared_postings(rows)
-    shares = stored(posts.groupBy("cls").agg(F.count("*").alias("shares")), "shares")
+    shares = posts.groupBy("cls").agg(F.count("*").alias("shares"))
+    active = stored(shares.join(classes, "cls").select("cls", "shares", "rep", *MAPS), "active")  # the classes that post
     pair = (F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y"))
 
-    ranked = posts.join(shares, "cls")
+    ranked = posts.join(small_side(active.select("cls", "shares")), "cls")
     leader = ranked.groupBy("token").agg(F.max(F.struct("shares", "cls", "size", "pos")).alias("l")).select("token", "l.*")
     star = posts.alias("p").join(leader.alias("q"), F.expr("p.token = q.token AND p.cls <> q.cls") & _may_match("p", "q", percent))
     star = star.groupBy("p.cls", F.col("q.cls").alias("to")).agg(F.count("*").alias("n")).groupBy("cls").agg(F.max(F.struct("n", "to")).alias("t"))
@@ -228,11 +229,12 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     first = verified(star, rows, classes, docs, n, percent)
 
     same = _same_ids(rows, classes)
-    nodes = classes.select("cls", "rep").join(_labels([first, same]), F.col("rep") == F.col("node"), "left")
-    own = posts.join(nodes.select("cls", F.coalesce("label", "rep").alias("comp")), "cls")
+    nodes = active.select("cls", "rep").join(_labels([first, same]), F.col("rep") == F.col("node"), "left")
+    nodes = stored(nodes.select("cls", F.coalesce("label", "rep").alias("comp")), "nodes")
+    own = posts.join(small_side(nodes), "cls")
     sizes = own.groupBy("token", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    left = own.join(mixed.selectExpr("token", "m.comp AS main"), "token").join(classes.select("cls", *MAPS), "cls")
+    left = own.join(mixed.selectExpr("token", "m.comp AS main"), "token").join(small_side(active.select("cls", *MAPS), BROADCAST_IDS // 4), "cls")
     left = stored(left, "mixed")
     differ = F.expr("p.token = q.token AND p.comp <> q.comp") & _may_match("p", "q", percent) & _near("p", "q", percent)
     cross = left.where("comp <> main").alias("p").join(left.alias("q"), differ).select(*pair).distinct()
