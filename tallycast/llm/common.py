@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.plans.session import checkpoint_dir
@@ -48,5 +48,17 @@ def small_side(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """The ``rows`` rows of smallest ``key``, a 64-bit hash of columns that no large group shares.
+
+    All but some 4 * ``rows`` rows are put aside by the hash where they are read,
+    so what a task sends on does not grow with the number of tasks.
+    """
+    n, place = df.count(), key.bitwiseAND(F.lit((1 << 63) - 1))
+    if n > 8 * rows:
+        df = df.where(place < F.lit(int(4 * rows / n * (1 << 63))))
+    return df.orderBy(place, *df.columns).limit(rows)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

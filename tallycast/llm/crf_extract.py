@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.llm.common import hash_sample
+
 #: Labelled pages: written from templates, and read from the table (those with an <article>, chosen by hash).
 TEMPLATE_PAGES, TABLE_PAGES, TABLE_PAGE_CHARS = 400, 100, 20_000
 SLOTS = 1 << 15
@@ -306,9 +308,9 @@ def labelled_table_pages(pages: list[str]) -> Iterator[tuple[list[Block], list[i
 
 def train(pages: DataFrame) -> Field:
     """The field of the template pages and a bounded sample of the table's own."""
-    html_column = F.col("html").cast("string")
-    own = pages.select(html_column.alias("html"), F.xxhash64(html_column).alias("h")).where(F.length("html").between(1, TABLE_PAGE_CHARS) & F.contains("html", F.lit("<article")))
-    sample = [r["html"] for r in own.orderBy("h", "html").limit(TABLE_PAGES).collect()]
+    own = pages.select(F.col("html").cast("string").alias("html"), F.col("page_id").cast("long").alias("page_id"))
+    own = own.where(F.length("html").between(1, TABLE_PAGE_CHARS) & F.contains("html", F.lit("<article")))
+    sample = [r["html"] for r in hash_sample(own, F.xxhash64("page_id", "html"), TABLE_PAGES).collect()]
     labelled = [*labelled_template_pages(TEMPLATE_PAGES), *labelled_table_pages(sample)]
     return fit([(features(b), y) for b, y in labelled])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import stored
+from tallycast.llm.common import hash_sample, stored
 
 ORDER = 4
 #: Characters of a text that are looked at together; a longer one is counted and scored in stretches.
@@ -268,8 +268,8 @@ def train(docs: DataFrame) -> Model:
     names = np.array(table.column(0).to_pylist(), dtype=object)
     keys, n = table.column(1).to_numpy().view(np.uint64), table.column(2).to_numpy()
     model = build(langs, [keys[names == x] for x in langs], [n[names == x] for x in langs])
-    sample = rows.where(F.length("text").between(1, CALIBRATION_CHARS)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    calibrate(model, sample.select("text", "lang").toArrow())
+    short = rows.where(F.length("text").between(1, CALIBRATION_CHARS))
+    calibrate(model, hash_sample(short, F.xxhash64("doc_id"), CALIBRATION_ROWS).select("text", "lang").toArrow())
     return model
 
 
