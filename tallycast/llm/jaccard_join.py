@@ -218,7 +218,8 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     classes = stored(classes, "classes")
     posts = shared_postings(rows)
     shares = posts.groupBy("cls").agg(F.count("*").alias("shares"))
-    active = stored(shares.join(classes, "cls").select("cls", "shares", "rep", *MAPS), "active")  # the classes that post
+    active = shares.join(classes.where("rep IS NOT NULL"), "cls")  # the classes that post and have an id
+    active = stored(active.select("cls", "shares", "rep", *MAPS), "active")
     pair = (F.least("p.cls", "q.cls").alias("x"), F.greatest("p.cls", "q.cls").alias("y"))
 
     ranked = posts.join(small_side(active.select("cls", "shares")), "cls")

@@ -83,3 +83,11 @@ def test_components(spark):
                 label[u] = label[v] = min(label[u], label[v])
     assert got == label
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_most_ids_null(spark):
+    """Texts without an id neither link nor keep others from linking."""
+    rows = list(near_copies(9, 3, 20))
+    rows = [(i if k % 4 == 0 else None, t) for k, (i, t) in enumerate(rows)]
+    got = rows_of(J.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85))
+    assert got == brute(rows, 4, 85)
