@@ -10,7 +10,10 @@ them near 0, so in each class of encoding and length the share of p-values over
 one half estimates how many are random (Storey), and with it the share of false
 discoveries over any threshold.  A class reports what lies over the lowest
 threshold that keeps this share at or under ``FALSE_SHARE``; short tokens, on
-which the tests have little power, thus need stronger evidence.
+which the tests have little power, thus need stronger evidence.  A class of fewer
+than ``SPARSE`` tokens takes the estimate of a pool: the neighbouring lengths,
+ever more of them, up to the whole encoding.  Where that has too few p-values
+over one half as well, each token is judged alone, by p over ``ALONE``.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
+#: A token may stand directly after ``=`` (env files, query strings); ``=`` after it is padding and not part of it.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -35,6 +39,10 @@ ALPHABETS = {
 }
 THRESHOLDS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
 FALSE_SHARE = 0.05
+#: Classes of fewer tokens are judged by a pool of their encoding; a pool needs so many p-values over one half.
+SPARSE, POOL_OVER = 20, 5
+#: Where even the whole encoding has fewer, a token is reported by its own p-value: 95 percent of random tokens have more.
+ALONE = 0.05
 SECRET = "[SECRET]"
 _BLOCK = 256
 
@@ -144,16 +152,40 @@ def candidates(docs: DataFrame) -> DataFrame:
     return _with_battery(df.withColumn("tokens", F.filter("tokens", lambda c: ~inside(c))), "tokens")
 
 
+def _lowest(over: list[int]) -> float | None:
+    """The lowest threshold whose estimated share of false discoveries is small enough; ``over`` counts the p-values over each."""
+    random = over[THRESHOLDS.index(0.5)] / 0.5
+    for t, n in zip(THRESHOLDS, over, strict=True):
+        if n and 1 - min(1.0, random * (1 - t) / n) <= FALSE_SHARE:
+            return t
+    return None
+
+
+def _pool(counts: dict[tuple[str, int], list[int]], enc: str, band: int) -> list[int] | None:
+    """Counts over each threshold of the narrowest lengths around ``band`` with enough p-values over one half, if any has."""
+    own = {b: over for (e, b), over in counts.items() if e == enc}
+    for reach in range(max(abs(b - band) for b in own) + 1):
+        pool = [sum(n) for n in zip(*(over for b, over in own.items() if abs(b - band) <= reach), strict=True)]
+        if pool[THRESHOLDS.index(0.5)] >= POOL_OVER:
+            return pool
+    return None
+
+
 def thresholds(tokens: DataFrame) -> dict[str, float]:
     """The p-value over which each class of ``tokens`` (class, p) reports; a class is one of 4 x 13, whatever the input."""
     over = [F.sum((F.col("p") > t).cast("long")).alias(f"n{i}") for i, t in enumerate(THRESHOLDS)]
+    rows = tokens.groupBy("class").agg(F.count("*").alias("n"), *over).collect()
+    name = lambda row: (row["class"].split(".")[0], int(row["class"].split(".")[1]))
+    counts = {name(row): [row[f"n{i}"] for i in range(len(THRESHOLDS))] for row in rows}
     found = {}
-    for row in tokens.groupBy("class").agg(*over).collect():
-        random = row[f"n{THRESHOLDS.index(0.5)}"] / 0.5
-        for i, t in enumerate(THRESHOLDS):
-            if row[f"n{i}"] and 1 - min(1.0, random * (1 - t) / row[f"n{i}"]) <= FALSE_SHARE:
-                found[row["class"]] = t
-                break
+    for row in rows:
+        if row["n"] >= SPARSE:
+            least = _lowest(counts[name(row)])
+        else:
+            pool = _pool(counts, *name(row))
+            least = ALONE if pool is None else _lowest(pool)
+        if least is not None:
+            found[row["class"]] = least
     return found
 
 

@@ -94,3 +94,29 @@ def test_redaction(spark, hard, documents):
 def test_no_python_in_the_plan(documents):
     plan = S.report(S.scan(documents))._jdf.queryExecution().executedPlan().toString() + S.candidates(documents.withColumn("_t", F.col("text")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_tokens_after_an_equals_sign(spark):
+    rng = random.Random(8)
+    values = ["".join(rng.choices(string.ascii_letters + string.digits, k=40)) for _ in range(100)]
+    forms = ("AWS_SECRET_ACCESS_KEY={}", "https://x.org/a?sig={}", "k={}==", "export KEY= {}")
+    rows = [(i, "see " + forms[i % 4].format(v)) for i, v in enumerate(values)]
+    text, found = dict(rows), {r.doc_id: r.spans for r in S.report(S.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for k in range(4):
+        hits = [i for i in range(k, 100, 4) if any(text[i][int(a):int(b)] == values[i] for kind, a, b in (x.split(":") for x in found[i].split(",") if x) if kind == "random")]
+        assert len(hits) >= 20, forms[k]
+
+
+def test_lone_tokens_of_sparse_classes(spark):
+    def of(rows):
+        return S.thresholds(spark.createDataFrame(rows, "class string, p double"))
+
+    assert of([("base64.6", 0.3)]) == {"base64.6": S.ALONE}  # the only token of its encoding
+    many = [("hex.2", i / 100) for i in range(1, 100)]
+    alone = of(many)
+    assert of([*many, ("hex.3", 0.4), ("hex.9", 0.4)]) == {"hex.2": alone["hex.2"], "hex.3": alone["hex.2"], "hex.9": alone["hex.2"]}  # pooled
+    none = [("base36.1", 1e-9)] * 50
+    assert of([*none, ("base36.4", 0.4)]) == {"base36.4": S.ALONE}  # the pool has nothing to estimate from, the full class reports nothing
+    token = "".join(random.Random(9).choices(string.ascii_letters + string.digits, k=200))
+    spans = S.report(S.scan(spark.createDataFrame([(1, f"x {token} y")], "doc_id long, text string"))).first().spans
+    assert spans == "random:2:202"
