@@ -1,10 +1,10 @@
 """A training corpus from raw documents, one operator per stage.
 
-language ID (rejected documents go) -> near duplicates (one of each group stays)
--> benchmark decontamination (documents that hold a test item go) -> secret scan
-(secrets are replaced) -> packing.  Each stage is written as Parquet to the
-shared folder and read again, so that a lost executor never repeats an earlier
-stage.
+language ID (rejected documents go) -> near duplicates (one row of each group
+stays) -> benchmark decontamination (rows that hold a test item go) -> secret scan
+(secrets are replaced) -> packing.  Near duplicates and leaks are decided by row,
+not by doc_id.  Each stage is written as Parquet to the shared folder and read
+again, so that a lost executor never repeats an earlier stage.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.llm.common import read, stored
-from tallycast.llm.decontaminate import decontaminated
-from tallycast.llm.jaccard_join import without_near_copies
+from tallycast.llm.decontaminate import rows_without_items
+from tallycast.llm.jaccard_join import one_of_each_group
 from tallycast.llm.lang_id import without_rejected
 from tallycast.llm.packing import pack
 from tallycast.llm.secret_scan import redacted
@@ -24,11 +24,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_copies(docs, n=5, percent=80)
+    return one_of_each_group(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminated(docs, read(spark, sf_dir, "benchmark"))
+    return rows_without_items(docs, read(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,3 +174,25 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
     """The documents that hold no item, all columns.  Rows with a null doc_id stay."""
     leaks = stored(contained_items(docs, benchmark, **options).select("doc_id").where("doc_id IS NOT NULL").distinct(), "leaks")
     return filter_ids(docs, leaks, "doc_id", keep=False)
+
+
+def rows_without_items(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, percent: int = PERCENT,
+                       hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
+    """The rows whose own text holds no item, all columns, judged where they are read: ids, also null or repeated, play no part."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    blocks = max(1, -(-items.count() // block))
+    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias("text to search"))
+    for b in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast((part.column(0).to_pylist(), part.column(1).to_pylist()))
+
+        def kept(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, item_texts = shared.value
+            index = ItemIndex(ids, pa.array(item_texts, pa.string()), n, hashes)
+            for batch in batches:
+                clean = np.ones(len(batch), dtype=bool)
+                clean[[row for row, *_ in matches(index, batch.column(batch.num_columns - 1), percent)]] = False
+                yield batch.filter(pa.array(clean))
+
+        out = out.mapInArrow(kept, out.schema)
+    return out.drop("text to search")

@@ -252,3 +252,24 @@ def without_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataF
     groups = similar_groups(docs, n, percent)
     copies = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
     return filter_ids(docs, copies, "doc_id", keep=False)
+
+
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of similar texts, all columns: that of the smallest doc_id, null ids last, then by the row's hash.
+
+    Rows are told apart by a 64-bit hash of all columns and not by doc_id, so rows
+    without an id and rows that share one are grouped by their own texts.  Of rows
+    equal in all columns one stays, also where the text is null or blank.
+    """
+    hashed = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]  # a null alone leaves xxhash64 as it was
+    keyed = docs.withColumn("row key", F.xxhash64(*hashed))
+    groups = similar_groups(keyed.select(F.col("row key").alias("doc_id"), "text"), n, percent).distinct()
+    ids = keyed.select("row key", F.col("doc_id").cast("long").alias("id")).groupBy("row key").agg(F.first("id").alias("id"), F.count("*").alias("n"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", F.col("row key").alias("key"), "n")
+    first = ids.join(groups, F.col("row key") == F.col("doc_id")).groupBy("component_id").agg(F.min(order).alias("first"))
+    first = stored(first.select(F.col("first.key").alias("key"), F.col("first.n").alias("n")), "firsts")
+    kept = filter_ids(keyed, first.select("key"), "row key", keep=True)
+    several = first.where("n > 1").select("key")
+    if not several.isEmpty():  # only rows that are repeated whole are shuffled
+        kept = filter_ids(kept, several, "row key", keep=False).unionByName(filter_ids(kept, several, "row key", keep=True).dropDuplicates())
+    return kept.drop("row key")

@@ -1,10 +1,12 @@
+import random
+
 import corpus_pipeline as C
 from tallycast.llm.common import stored
 from tallycast.llm.decontaminate import contained_items
 from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.secret_scan import redacted
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, prose
 
 
 def test_stages(spark):
@@ -40,3 +42,23 @@ def test_hard_rows_and_empty_tables(spark, hard, none):
             assert out.columns == docs.columns
             assert out.count() <= docs.count()
         assert (C.STAGES[-1][1](spark, docs, SF).count() == 0) == (docs.count() == 0)
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(12)
+    one, two, three, item = (prose(rng, 120) for _ in range(4))
+    schema = "doc_id long, text string, lang string"
+    rows = [(None, one, "en"), (None, one, "en"), (None, one + " end", "en"), (1, two, "en"), (1, two, "en"), (1, three, "en"), (9, two + " end", "en"),
+            (2, None, "en"), (2, None, None), (2, None, "en"), (None, three, "en")]
+    got = C.near_duplicates(spark, spark.createDataFrame(rows, schema).repartition(3), SF).collect()
+    assert sum(r.text in (one, one + " end") for r in got) == 1
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id == 1) == sorted([(1, two), (1, three)])
+    assert sorted((r.doc_id, r.lang is None) for r in got if r.text is None) == [(2, False), (2, True)]
+    assert len(got) == 5
+
+    rows = [(None, one + " " + item), (3, two + " " + item), (3, two), (3, two), (None, None), (None, three)]
+    from tallycast.llm.decontaminate import rows_without_items
+    items = spark.createDataFrame([(1, item), (2, prose(rng, 40)), (3, prose(rng, 30))], "item_id long, text string")
+    for block in (50_000, 1):
+        left = rows_without_items(spark.createDataFrame(rows, "doc_id long, text string"), items, block=block).collect()
+        assert sorted(map(tuple, left), key=str) == sorted(rows[2:], key=str)
