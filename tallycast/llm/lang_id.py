@@ -2,20 +2,23 @@
 
 Each language has a character 4-gram model with Kneser-Ney smoothing: raw counts
 at the highest order, continuation counts below, one absolute discount per
-order.  The counts cover every training document and are summed by Spark.  The
-models are kept as sorted arrays of n-gram keys, with the interpolated log
-probability of every language beside each key, so a text needs one binary search
-per character.  A text gets the language of lowest cross-entropy per character,
-and is rejected where that is far above what the language's own texts have.
+order.  The counts cover every gram of every training document; they, the
+continuation counts and the counts of counts are summed by Spark.  The models
+reach the tasks in parts of some ``SHARD_ROWS`` n-grams, all n-grams of one
+context in the same part, as sorted arrays; a task looks up the distinct grams of
+its texts in one part after the other.  A text gets the language of lowest
+cross-entropy per character, and is rejected where that is far above what the
+language's own texts have.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +27,12 @@ from tallycast.llm.common import hash_sample, stored
 ORDER = 4
 #: Characters of a text that are looked at together; a longer one is counted and scored in stretches.
 STRETCH = 1 << 20
-#: The model's size: n-grams kept per language (the most frequent), and n-grams times languages in all.
-LANGUAGE_GRAMS, MODEL_CELLS = 300_000, 20_000_000
+#: N-grams of a part of the models, parts that a task keeps loaded, and n-grams times languages looked up together.
+SHARD_ROWS, LOADED, CELLS = 2_000_000, 4, 1 << 22
 #: Labelled training texts on which rejection is calibrated, and their longest together (characters).
 CALIBRATION_ROWS, CALIBRATION_CHARS = 1_000, 20_000
+#: The model of all training rows; 0 and 1 are those learned without the rows of this fold.
+WHOLE = 2
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
 
@@ -110,10 +115,10 @@ def _pieces(texts: list[str], size: int = 1 << 20) -> Iterator[slice]:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """Stored (lang, gram, n) over all rows of ``docs`` (text, lang), summed in the tasks first."""
+    """Stored (lang, gram, n0, n1) over all rows of ``docs`` (text, lang, fold), by fold, summed in the tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: dict[tuple[str, int], list] = {}
 
         def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
             keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
@@ -122,26 +127,49 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             texts = np.array(batch.column(0).to_pylist(), dtype=object)
-            for lang in set(langs):
-                own, _ = _stretches(texts[langs == lang].tolist())
+            folds = batch.column(2).to_numpy()
+            for lang, fold in set(zip(langs.tolist(), folds.tolist(), strict=True)):
+                own, _ = _stretches(texts[(langs == lang) & (folds == fold)].tolist())
                 for part in _pieces(own, 4 << 20):
-                    held.setdefault(lang, []).append(_tally(*symbols(own[part])))
-                    if len(held[lang]) > 16:
-                        held[lang] = [merged(held[lang])]
-        for lang, parts in held.items():
+                    held.setdefault((lang, fold), []).append(_tally(*symbols(own[part])))
+                    if len(held[lang, fold]) > 16:
+                        held[lang, fold] = [merged(held[lang, fold])]
+        for (lang, fold), parts in held.items():
             keys, n = merged(parts)
             for lo in range(0, len(keys), 50_000):
                 k = keys[lo:lo + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n[lo:lo + 50_000])], names=["lang", "gram", "n"])
+                    [pa.array([lang] * len(k), pa.string()), pa.array([fold] * len(k), pa.int32()), pa.array(k.view(np.int64)), pa.array(n[lo:lo + 50_000])],
+                    names=["lang", "fold", "gram", "n"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return stored(rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    sums = [F.sum(F.when(F.col("fold") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+    return stored(docs.select("text", "lang", "fold").mapInArrow(count, "lang string, fold int, gram long, n long").groupBy("lang", "gram").agg(*sums), "grams")
+
+
+class _Judge:
+    """Verdicts by ``entropies``."""
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
+        """(language, score, cross-entropy, rejected) of each text; ties go to the first language by name."""
+        out = []
+        if not self.langs:
+            return [(UNDETERMINED, 0.0, None, True)] * len(texts)
+        together = max(1, CELLS // len(self.langs))
+        for lo in range(0, len(texts), together):
+            bits, n = self.entropies(texts[lo:lo + together])
+            for row, b, k in zip(bits, bits.argmin(axis=1).tolist(), n.tolist(), strict=True):
+                if not k:
+                    out.append((UNDETERMINED, 0.0, None, True))
+                    continue
+                score = 1 / float(np.exp2((row[b] - row) * min(k, 20)).sum())
+                far = self.centre is not None and row[b] > self.centre[b] + 8 * np.hypot(self.spread[b], self.per_symbol[b] / k ** 0.5) + 1
+                out.append((self.langs[b], score, float(row[b]), bool(far)))
+        return out
 
 
 @dataclass
-class Model:
-    """Sorted keys by order, the languages' log2 probabilities beside them; context keys and log2 back-off weights."""
+class Model(_Judge):
+    """One model held whole, the measure of ``Models``: sorted keys by order, the languages' log2 probabilities beside them; context keys and log2 back-off weights."""
 
     langs: list[str]
     keys: list[np.ndarray]
@@ -188,21 +216,6 @@ class Model:
             total[full] = np.add.reduceat(bits.astype(np.float64), bounds[:-1][full], axis=0)
         return total, n
 
-    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
-        """(language, score, cross-entropy, rejected) of each text; ties go to the first language by name."""
-        out = []
-        if not self.langs:
-            return [(UNDETERMINED, 0.0, None, True)] * len(texts)
-        bits, n = self.entropies(texts)
-        for row, b, k in zip(bits, bits.argmin(axis=1).tolist(), n.tolist(), strict=True):
-            if not k:
-                out.append((UNDETERMINED, 0.0, None, True))
-                continue
-            score = 1 / float(np.exp2((row[b] - row) * min(k, 20)).sum())
-            far = self.centre is not None and row[b] > self.centre[b] + 8 * np.hypot(self.spread[b], self.per_symbol[b] / k ** 0.5) + 1
-            out.append((self.langs[b], score, float(row[b]), bool(far)))
-        return out
-
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray, values: np.ndarray, default: float) -> np.ndarray:
     if not len(sorted_keys):
@@ -212,7 +225,7 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray, values: np.ndarray, default
 
 
 def build(langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]) -> Model:
-    """Interpolated Kneser-Ney models of the languages from their highest-order counts."""
+    """Interpolated Kneser-Ney models of the languages from their highest-order counts, in one process."""
     tables = []  # by language, by order: keys, counts
     for g, c in zip(grams, counts, strict=True):
         order = np.argsort(g)
@@ -251,30 +264,153 @@ def in_training(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 != 0, F.lit(False))
 
 
-def train(docs: DataFrame) -> Model:
-    """A model of every non-null lang of the training rows of ``docs``, with calibrated rejection."""
-    rows = docs.where(in_training() & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counts = gram_counts(rows)
-    shape = counts.groupBy("lang", "n").agg(F.count("*").alias("k")).toPandas()
-    langs = sorted(shape["lang"].unique())
-    limit = int(min(LANGUAGE_GRAMS, MODEL_CELLS // max(len(langs), 1) ** 2))
-    least = {}
-    for lang, own in shape.groupby("lang"):
-        own = own.sort_values("n", ascending=False)
-        fits = own["n"][own["k"].cumsum() <= limit]
-        least[lang] = int(fits.min()) if len(fits) else int(own["n"].max())
-    wanted = counts.where(" OR ".join(["false"] + [f"(n >= {int(v)} AND lang = '{escaped(k)}')" for k, v in least.items()]))
-    table = wanted.toArrow()
-    names = np.array(table.column(0).to_pylist(), dtype=object)
-    keys, n = table.column(1).to_numpy().view(np.uint64), table.column(2).to_numpy()
-    model = build(langs, [keys[names == x] for x in langs], [n[names == x] for x in langs])
-    short = rows.where(F.length("text").between(1, CALIBRATION_CHARS))
-    calibrate(model, hash_sample(short, F.xxhash64("doc_id"), CALIBRATION_ROWS).select("text", "lang").toArrow())
-    return model
+def _fold():
+    """The second fold of a training row, by the same hash as ``in_training``."""
+    return (F.floor(F.crc32(F.col("doc_id").cast("string")) / 5) % 2).cast("int")
+
 
+def _mask(order: int) -> np.uint64:
+    return np.uint64((1 << 16 * order) - 1)
 
-def escaped(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+@dataclass
+class Models(_Judge):
+    """The languages' models in broadcast parts.
+
+    A part has, by (model, language, order), sorted keys with their discounted
+    share of the context's count, and sorted contexts with their back-off weight:
+    P(key) = share + weight * P(key without its first symbol), where an unknown key
+    has share 0 and an unknown context weight 1.
+    """
+
+    langs: list[str]
+    shards: dict[int, list[Broadcast]] = field(default_factory=dict)  # by model: 0 and 1 have the same list
+    known: frozenset[tuple[int, int]] = frozenset()  # (model, language) that learned anything
+    alphabet: int = 1
+    centre: np.ndarray | None = None
+    spread: np.ndarray | None = None
+    per_symbol: np.ndarray | None = None
+
+    def entropies(self, texts: list[str | None], model: int = WHOLE, langs: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Bits per symbol (texts x ``langs``, all if not given) and the number of symbols of each text."""
+        langs = list(range(len(self.langs))) if langs is None else langs
+        parts, owner = _stretches(texts)
+        total, n = np.zeros((len(texts), len(langs))), np.zeros(len(texts), dtype=np.int64)
+        for part in _pieces(parts, min(len(self.shards[model]), 8) << 20):
+            bits, k = self._bits(parts[part], model, langs)
+            np.add.at(total, owner[part], bits)
+            np.add.at(n, owner[part], k)
+        return total / np.maximum(n, 1)[:, None], n
+
+    def _bits(self, texts: list[str], model: int, langs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        grams, bounds = _grams(*symbols(texts))
+        n = np.diff(bounds)
+        full = np.flatnonzero(n)
+        total = np.zeros((len(texts), len(langs)))
+        if not len(full):
+            return total, n
+        distinct, at = np.unique(grams, return_inverse=True)
+        keys = [np.unique(distinct & _mask(i)) for i in range(1, ORDER)] + [distinct]
+        below = [np.zeros(len(keys[0]), dtype=np.int64)] + [np.searchsorted(keys[i - 1], keys[i] & _mask(i)) for i in range(1, ORDER)]
+        contexts = [np.unique(k >> np.uint64(16), return_inverse=True) for k in keys]
+        together = max(1, CELLS // len(distinct))
+        for lo in range(0, len(langs), together):
+            block = langs[lo:lo + together]
+            for j, logs in zip(range(lo, lo + len(block)), self._logs(model, block, keys, below, contexts), strict=True):
+                total[full, j] = -np.add.reduceat(logs[at], bounds[:-1][full])
+        return total, n
+
+    def _logs(self, model: int, langs: list[int], keys: list, below: list, contexts: list) -> Iterator[np.ndarray]:
+        """The log2 probabilities of the highest-order ``keys`` in each of the languages."""
+        share = [np.zeros((len(langs), len(k))) for k in keys]
+        weight = [np.ones((len(langs), len(c))) for c, _ in contexts]
+        for i, shard in enumerate(self.shards[model]):
+            held = shard.value
+            for j, lang in enumerate(langs):
+                for order in range(ORDER):
+                    if (model, lang, order + 1) in held:
+                        have, values, known, weights = held[model, lang, order + 1]
+                        where, hit = _places(have, keys[order])
+                        share[order][j, hit] = values[where[hit]]
+                        where, hit = _places(known, contexts[order][0])
+                        weight[order][j, hit] = weights[where[hit]]
+            del held
+            if i >= LOADED and getattr(shard, "_path", None):
+                vars(shard).pop("_value", None)  # read again from the task's disk when next needed
+        for j in range(len(langs)):
+            p = np.full(1, 1 / self.alphabet)
+            for order in range(ORDER):
+                p = share[order][j] + weight[order][j][contexts[order][1]] * p[below[order]]
+            yield np.log2(p)
+
+
+def _places(have: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``keys`` stand in the sorted ``have``, and which of them do."""
+    at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+    return at, have[at] == keys
+
+
+def order_counts(counts: DataFrame) -> DataFrame:
+    """(model, lang, order, key, c) of all n-grams: counts at the highest order, distinct symbols before it below."""
+    top = counts.selectExpr("lang", "4 AS order", "gram AS key", f"inline(array(struct({WHOLE} AS model, n0 + n1 AS c), struct(0 AS model, n1 AS c), struct(1 AS model, n0 AS c)))")
+    tables = [top.where("c > 0").select("model", "lang", "order", "key", "c")]
+    for order in range(ORDER - 1, 0, -1):
+        key = F.col("key").bitwiseAND(F.lit((1 << 16 * order) - 1)).alias("key")
+        own = tables[-1].groupBy("model", "lang", key).agg(F.count("*").alias("c")).select("model", "lang", F.lit(order).alias("order"), "key", "c")
+        tables.append(stored(own, f"order{order}"))
+    out = tables[0]
+    for own in tables[1:]:
+        out = out.unionByName(own)
+    return out
+
+
+def _shard(table: pa.Table, langs: list[str], discounts: dict) -> dict:
+    """The arrays of ``Models`` of the rows (model, lang, order, key, c) of one part."""
+    place = {x: i for i, x in enumerate(langs)}
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+    lang = np.array([place[x] for x in names.dictionary.to_pylist()], dtype=np.int64)[names.indices.to_numpy()]
+    model, order, key, c = (table.column(x).to_numpy() for x in ("model", "order", "key", "c"))
+    key = key.view(np.uint64)
+    by = np.lexsort((key, order, lang, model))
+    model, lang, order, key, c = model[by], lang[by], order[by], key[by], c[by].astype(np.float64)
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(model) != 0) | (np.diff(lang) != 0) | (np.diff(order) != 0)])) if len(key) else np.zeros(0, np.int64)
+    out = {}
+    for lo, hi in zip(heads.tolist(), [*heads[1:].tolist(), len(key)], strict=True):
+        name = int(model[lo]), int(lang[lo]), int(order[lo])
+        context, at = np.unique(key[lo:hi] >> np.uint64(16), return_inverse=True)
+        total, kinds = np.bincount(at, weights=c[lo:hi]), np.bincount(at)
+        out[name] = (key[lo:hi].copy(), (c[lo:hi] - discounts[name]) / total[at], context, discounts[name] * kinds / total)
+    return out
+
+
+def train(docs: DataFrame) -> Models:
+    """Models of every non-null lang of the training rows of ``docs``, with calibrated rejection."""
+    spark = docs.sparkSession
+    rows = docs.where(in_training() & F.col("lang").isNotNull()).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), _fold().alias("fold"))
+    table = order_counts(gram_counts(rows))
+    shape = table.groupBy("model", "lang", "order").agg(
+        F.count("*").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("ones"), F.sum((F.col("c") == 2).cast("long")).alias("twos")).collect()
+    langs = sorted({r["lang"] for r in shape})
+    if not langs:
+        return Models([])
+    place = {x: i for i, x in enumerate(langs)}
+    discounts = {(r["model"], place[r["lang"]], r["order"]): r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5 for r in shape}
+    alphabet = table.where(f"order = 1 AND model = {WHOLE}").agg(F.countDistinct("key")).first()[0] + 1
+    size = -(-sum(r["n"] for r in shape if r["model"] == WHOLE) // SHARD_ROWS) | 1  # odd, so that every symbol of a context tells parts apart
+    if size > 1:
+        table = table.withColumn("shard", F.shiftrightunsigned("key", 16) % size)
+        table = stored(table.repartition(size, "shard").sortWithinPartitions("shard"), "models")
+
+    def parts(which: str) -> list[Broadcast]:
+        own = (table.where(which).where(f"shard = {i}") if size > 1 else table.where(which) for i in range(size))
+        return [spark.sparkContext.broadcast(_shard(x.select("model", "lang", "order", "key", "c").toArrow(), langs, discounts)) for x in own]
+
+    halves = parts(f"model <> {WHOLE}")
+    models = Models(langs, {0: halves, 1: halves, WHOLE: parts(f"model = {WHOLE}")}, frozenset((m, j) for m, j, _ in discounts), alphabet)
+    short = rows.where(F.length("text").between(1, CALIBRATION_CHARS))
+    calibrate(models, hash_sample(short, F.xxhash64("text"), CALIBRATION_ROWS).select("text", "lang").toArrow())
+    return models
 
 
 def calibrate(model: Model, sample: pa.Table) -> None:
@@ -301,11 +437,11 @@ def identify(docs: DataFrame) -> DataFrame:
     language by name.  Rows with a null doc_id are held out; repeated rows are
     judged each; extra columns are not read; an empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs))
+    model = train(docs)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.value.judge(batch.column(2).to_pylist())
+            found = model.judge(batch.column(2).to_pylist())
             columns = zip(*found, strict=True) if found else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True))],
@@ -317,11 +453,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def without_rejected(docs: DataFrame) -> DataFrame:
     """The documents that the language models do not reject, all columns, judged where they are read."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs))
+    model = train(docs)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.value.judge(batch.column(batch.num_columns - 1).to_pylist())
+            found = model.judge(batch.column(batch.num_columns - 1).to_pylist())
             held = batch.filter(pa.array([not r for *_, r in found], pa.bool_()))
             yield pa.RecordBatch.from_arrays(held.columns[:-1], schema=pa.schema(list(held.schema)[:-1]))
 

@@ -127,3 +127,28 @@ def test_long_texts_in_stretches(monkeypatch):
     monkeypatch.setattr(L, "STRETCH", 100)
     parts, m = model.entropies(texts)
     assert abs(n - m).max() < 60 and abs(whole - parts).max() < 0.4 and (whole.argmin(1) == parts.argmin(1)).all()
+
+
+def _folded(docs):
+    import zlib
+    crc = lambda i: zlib.crc32(str(i).encode())
+    return [(crc(i) // 5 % 2, t, lang) for i, t, lang in docs if lang is not None and crc(i) % 5]
+
+
+def _whole(rows, langs):
+    tallies = [L._tally(*L.symbols([t for _, t, x in rows if x == lang])) for lang in langs]
+    return L.build(langs, [k for k, _ in tallies], [n for _, n in tallies])
+
+
+def test_every_gram_of_many_languages(spark, monkeypatch):
+    rng = random.Random(21)
+    docs = [(i, prose(rng, 60).translate({ord("a"): chr(0x100 + i % 300)}), f"l{i % 300:03d}") for i in range(1_200)]
+    rows = _folded(docs)
+    langs = sorted({x for *_, x in rows})
+    want, n = _whole(rows, langs).entropies([t for _, t, _ in docs[:200]])
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    for shard_rows in (L.SHARD_ROWS, 20_000):  # one part, and several
+        monkeypatch.setattr(L, "SHARD_ROWS", shard_rows)
+        got = {r.doc_id: r for r in L.identify(df).where("doc_id < 200").collect()}
+        for i in range(200):
+            assert got[i].lang_pred == langs[want[i].argmin()] and abs(got[i].cross_entropy - want[i].min()) < 1e-4
