@@ -22,15 +22,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import hash_sample, stored
+from tallycast.llm.common import stored
 
 ORDER = 4
 #: Characters of a text that are looked at together; a longer one is counted and scored in stretches.
 STRETCH = 1 << 20
 #: N-grams of a part of the models, parts that a task keeps loaded, and n-grams times languages looked up together.
 SHARD_ROWS, LOADED, CELLS = 2_000_000, 4, 1 << 22
-#: Labelled training texts on which rejection is calibrated, and their longest together (characters).
-CALIBRATION_ROWS, CALIBRATION_CHARS = 1_000, 20_000
+#: Labelled texts under which a language's spread is not taken from its own texts alone.
+FEW = 8
 #: The model of all training rows; 0 and 1 are those learned without the rows of this fold.
 WHOLE = 2
 UNDETERMINED = "und"
@@ -408,25 +408,51 @@ def train(docs: DataFrame) -> Models:
 
     halves = parts(f"model <> {WHOLE}")
     models = Models(langs, {0: halves, 1: halves, WHOLE: parts(f"model = {WHOLE}")}, frozenset((m, j) for m, j, _ in discounts), alphabet)
-    short = rows.where(F.length("text").between(1, CALIBRATION_CHARS))
-    calibrate(models, hash_sample(short, F.xxhash64("text"), CALIBRATION_ROWS).select("text", "lang").toArrow())
+    calibrate(models, rows)
     return models
 
 
-def calibrate(model: Model, sample: pa.Table) -> None:
-    """Centre, spread between texts and spread within a text of each language's cross-entropy on its own labelled texts."""
-    if not model.langs:
+def calibrate(models: Models, rows: DataFrame) -> None:
+    """Centre, spread between texts and spread within a text of each language's cross-entropy on its own texts.
+
+    Every training row (text, lang, fold) is measured by its language's model
+    of the other fold.  The centre is the median of the texts of median length
+    or more, the spread their deviation.  Languages of fewer than ``FEW`` measured
+    texts have the largest spreads of the others where their own are smaller, and
+    without any measured text the largest centre; no text is rejected as far off
+    where no language has two measured texts.
+    """
+    place = {x: i for i, x in enumerate(models.langs)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = np.array(batch.column(0).to_pylist(), dtype=object)
+            langs = np.array([place[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
+            folds = batch.column(2).to_numpy()
+            for j, fold in sorted(set(zip(langs.tolist(), folds.tolist(), strict=True))):
+                if (fold, j) in models.known:
+                    bits, n = models.entropies(texts[(langs == j) & (folds == fold)].tolist(), fold, [j])
+                    use = n > 0
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(use.sum(), j)), pa.array(n[use]), pa.array(bits[use, 0])], names=["j", "k", "e"])
+
+    seen = stored(rows.select("text", "lang", "fold").mapInArrow(measure, "j long, k long, e double"), "entropies")
+    middle = seen.groupBy("j").agg(F.percentile_approx("k", 0.5).alias("middle"))
+    long = seen.join(F.broadcast(middle), "j").where("k >= middle").groupBy("j").agg(F.percentile_approx("e", 0.5).alias("centre"), F.stddev_pop("e").alias("spread"))
+    # one row a language, of which the driver has a list: broadcast, so that no language's texts meet in one task
+    found = seen.join(F.broadcast(long), "j").groupBy("j").agg(
+        F.count("*").alias("n"), F.first("centre").alias("centre"), F.first("spread").alias("spread"),
+        F.sqrt(F.avg((F.col("e") - F.col("centre")) ** 2 * F.col("k"))).alias("per_symbol")).collect()
+    sound = [r for r in found if r["n"] >= FEW] or [r for r in found if r["n"] >= 2]
+    if not sound:
         return
-    bits, n = model.entropies(sample.column(0).to_pylist())
-    labels = np.array(sample.column(1).to_pylist(), dtype=object)
-    model.centre, model.spread, model.per_symbol = (np.zeros(len(model.langs)) for _ in range(3))
-    for j, lang in enumerate(model.langs):
-        use = (labels == lang) & (n > 0)
-        own, k = bits[use, j], n[use]
-        long = own[k >= np.median(k)] if len(k) else own
-        model.centre[j] = np.median(long) if len(long) else 5.0
-        model.spread[j] = long.std() if len(long) > 1 else 1.0
-        model.per_symbol[j] = np.sqrt(np.mean((own - model.centre[j]) ** 2 * k)) if len(own) > 1 else 4.0
+    size = len(models.langs)
+    models.centre, models.spread, models.per_symbol = (np.full(size, max(r[x] for r in sound)) for x in ("centre", "spread", "per_symbol"))
+    for r in found:
+        j = r["j"]
+        models.centre[j] = r["centre"]
+        for values, x in ((models.spread, "spread"), (models.per_symbol, "per_symbol")):
+            values[j] = r[x] if r["n"] >= FEW else max(r[x], values[j])
 
 
 def identify(docs: DataFrame) -> DataFrame:

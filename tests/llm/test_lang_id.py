@@ -152,3 +152,19 @@ def test_every_gram_of_many_languages(spark, monkeypatch):
         got = {r.doc_id: r for r in L.identify(df).where("doc_id < 200").collect()}
         for i in range(200):
             assert got[i].lang_pred == langs[want[i].argmin()] and abs(got[i].cross_entropy - want[i].min()) < 1e-4
+
+
+def test_rejection_of_a_rare_language(spark):
+    rng = random.Random(22)
+    greek = {ord(c): chr(0x3B1 + i) for i, c in enumerate("abcdefghijklmnopqrstuvwy")}
+    docs = [(i, prose(rng, 12), "en") for i in range(20_000)] + [(30_000 + i, prose(rng, 200).translate(greek), "el") for i in range(20)]
+    good, junk = prose(rng, 200).translate(greek), "".join(rng.choices([chr(0x3B1 + i) for i in range(24)], k=900))
+    docs += [(None, good, None), (None, junk, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    kept = [r.text for r in L.without_rejected(df).where("doc_id IS NULL").collect()]
+    assert kept == [good]
+    model = L.train(df)
+    rows = _folded(docs)
+    el = [(f, t) for f, t, lang in rows if lang == "el"]
+    held = [_whole([r for r in rows if r[0] != f], ["el", "en"]).entropies([t for g, t in el if g == f])[0][:, 0] for f in (0, 1)]
+    assert abs(model.centre[0] - np.median(np.concatenate(held))) < 0.1
