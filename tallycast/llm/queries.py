@@ -10,13 +10,16 @@ from tallycast.llm.common import read
 from tallycast.llm.crf_extract import extract
 from tallycast.llm.decontaminate import contained_items
 from tallycast.llm.fingerprints import edited_fingerprints
+from tallycast.llm.graph_search import neighbours
 from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.packing import pack
+from tallycast.llm.pivot_codes import codes
 from tallycast.llm.repeats import without_repeats
 from tallycast.llm.secret_scan import report, scan
 from tallycast.llm.url_filter import judge
 from tallycast.llm.warc_zip import round_trip
+from tallycast.llm.zone_clusters import clusters
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -71,6 +74,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan(read(spark, sf_dir, "documents")))
 
 
+def op11_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as four codebook entries, trained with pivot tables."""
+    return codes(read(spark, sf_dir, "embeddings"))
+
+
+def op12_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest embeddings to every 20th, by a graph per shard."""
+    return neighbours(read(spark, sf_dir, "embeddings"))
+
+
+def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty exact clusters of the embeddings, by zone maps over a Hilbert curve."""
+    return clusters(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_winnowing": op1_winnowing,
@@ -83,6 +101,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_decontamination": op9_decontamination,
         "op10_secret_scan": op10_secret_scan,
+        "op11_pivot_codes": op11_pivot_codes,
+        "op12_graph_search": op12_graph_search,
+        "op13_zone_clusters": op13_zone_clusters,
     }
 
 
@@ -94,6 +115,51 @@ _SHINGLES = """
       ELSE list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' ')) END) AS g FROM {name}_words)"""
 
 
+
+_KEPT = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _codes_sql(parts: int = 4, k: int = 256, rounds: int = 4, width: int = 16) -> str:
+    """Product codes by comparing every part with every entry, one table per round."""
+    ctes = [f"""
+  v AS MATERIALIZED (SELECT vec_id, label, (pos - 1) // {width} AS part, (pos - 1) % {width} AS pos, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE {_KEPT}) t),
+  c0 AS MATERIALIZED (SELECT part, entry, pos, x FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM embeddings WHERE {_KEPT}) f USING (vec_id) WHERE entry < {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+  d{r} AS MATERIALIZED (SELECT vec_id, part, entry, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{r} c USING (part, pos) GROUP BY ALL),
+  a{r} AS MATERIALIZED (SELECT vec_id, part, min(entry) AS entry, min(d) AS d FROM d{r} JOIN (SELECT vec_id, part, min(d) AS d FROM d{r} GROUP BY ALL) m USING (vec_id, part, d) GROUP BY ALL)""")
+        if r < rounds:
+            ctes.append(f"""
+  m{r} AS (SELECT part, a.entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{r} a USING (vec_id, part) GROUP BY ALL),
+  c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, c.pos, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{r} c LEFT JOIN m{r} m USING (part, entry, pos))""")
+    return "WITH" + ",".join(ctes) + f""",
+  e AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT e.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c{rounds}) AS codebooks_sha256
+FROM e JOIN embeddings USING (vec_id)"""
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """Clusters by comparing every vector with every centroid, one table per round."""
+    ctes = [f"""
+  v AS MATERIALIZED (SELECT vec_id, pos, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE {_KEPT} AND len(embedding) = 64) t),
+  c0 AS MATERIALIZED (SELECT entry, pos, x FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS entry FROM embeddings
+    WHERE {_KEPT} AND len(embedding) = 64) f USING (vec_id) WHERE entry < {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+  d{r} AS MATERIALIZED (SELECT vec_id, entry, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{r} c USING (pos) GROUP BY ALL),
+  a{r} AS MATERIALIZED (SELECT vec_id, min(entry) AS entry, min(d) AS d FROM d{r} JOIN (SELECT vec_id, min(d) AS d FROM d{r} GROUP BY ALL) m USING (vec_id, d) GROUP BY ALL)""")
+        if r < rounds:
+            ctes.append(f"""
+  m{r} AS (SELECT a.entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{r} a USING (vec_id) GROUP BY ALL),
+  c{r + 1} AS MATERIALIZED (SELECT c.entry, c.pos, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{r} c LEFT JOIN m{r} m USING (entry, pos))""")
+    return "WITH" + ",".join(ctes) + f"""
+SELECT vec_id, CAST(entry AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY entry) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT entry, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY entry) h USING (entry)"""
+
+
 def oracle_sql() -> dict[str, str]:
     spaces = r"[^\x20\x09-\x0D]+"
     alnum = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -119,4 +185,6 @@ WITH {_SHINGLES.format(name="q", id="item_id", table="benchmark", n=5, word=alnu
   sizes AS (SELECT id, count(*) AS n FROM q GROUP BY id)
 SELECT d.id AS doc_id, q.id AS item_id, any_value(n) AS item_shingles, count(*) AS shared, count(*) / any_value(n) AS containment
 FROM q JOIN d ON q.g = d.g JOIN sizes ON sizes.id = q.id GROUP BY d.id, q.id HAVING 100 * count(*) >= 80 * any_value(n)""",
+        "op11_pivot_codes": _codes_sql(),
+        "op13_zone_clusters": _clusters_sql(),
     }

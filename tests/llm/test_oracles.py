@@ -13,4 +13,4 @@ def test_query_matches_sql(spark, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q.queries()) == list(range(1, 14))
