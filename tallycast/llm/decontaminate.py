@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing as H
-from tallycast.llm.common import filter_ids, stored
+from tallycast.llm.common import unused
 
 SCHEMA = "doc_id long, item_id long, item_shingles long, shared long, containment double"
 WORDS, PERCENT, HASHES, BLOCK = 5, 80, 64, 50_000
@@ -170,18 +170,13 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, perce
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that hold no item, all columns.  Rows with a null doc_id stay."""
-    leaks = stored(contained_items(docs, benchmark, **options).select("doc_id").where("doc_id IS NOT NULL").distinct(), "leaks")
-    return filter_ids(docs, leaks, "doc_id", keep=False)
-
-
 def rows_without_items(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, percent: int = PERCENT,
                        hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
     """The rows whose own text holds no item, all columns, judged where they are read: ids, also null or repeated, play no part."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = max(1, -(-items.count() // block))
-    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias("text to search"))
+    name = unused(docs, "text to search")
+    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias(name))
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).toArrow()
         shared = docs.sparkSession.sparkContext.broadcast((part.column(0).to_pylist(), part.column(1).to_pylist()))
@@ -195,4 +190,4 @@ def rows_without_items(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, pe
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(kept, out.schema)
-    return out.drop("text to search")
+    return out.drop(name)

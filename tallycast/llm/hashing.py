@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -87,7 +87,7 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def slices(offsets: np.ndarray, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``size`` bytes; a longer row is alone."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
@@ -97,6 +97,17 @@ def slices(offsets: np.ndarray, size: int = 4 << 20) -> Iterator[tuple[int, int]
         lo = hi
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``size`` bytes of a string column and at most ``rows`` rows; a longer text is alone."""
+    for batch in batches:
+        if not len(batch):
+            yield batch
+        _, off = column_bytes(batch.column(column))
+        for lo, hi in slices(off, size):
+            for a in range(lo, hi, rows):
+                yield batch.slice(a, min(rows, hi - a))
+
+
 def _segment(buf: np.ndarray, cuts: np.ndarray, sep: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~sep[buf]
     first = inside.copy()

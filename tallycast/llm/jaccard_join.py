@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing as H
-from tallycast.llm.common import BROADCAST_IDS, filter_ids, small_side, stored
+from tallycast.llm.common import BROADCAST_IDS, filter_ids, passing, small_side, stored, unused
 from tallycast.llm.components import connected_components
 
 SKETCH_BITS = 18
@@ -50,13 +50,6 @@ def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield np.unique(H.row_grams(words, bounds, grams, r, n))
 
 
-def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of 500 rows, whose sets are held together."""
-    for batch in batches:
-        for lo in range(0, max(len(batch), 1), 500):
-            yield batch.slice(lo, 500)
-
-
 def _class(shingles: np.ndarray) -> int:
     """The hash of a whole set, as a signed 64-bit value."""
     h = np.sum(H.mix(shingles * H.U(0xA24BAED4963EE407)), dtype=H.U) + H.U(len(shingles))
@@ -103,7 +96,7 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, met = counts.value, set()
-        for batch in _small(batches):
+        for batch in H.by_bytes(batches, 1):
             sizes, classes, maps, prefixes, wide = [], [], [], [], []
             for s in _sets(batch.column(1), n):
                 c, prefix, bits = _class(s), None, None
@@ -123,7 +116,9 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "cls", *MAPS, "prefix", "wide"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(ids.mapInArrow(rows, ROW_SCHEMA), "shingles")
+    out = stored(ids.mapInArrow(rows, ROW_SCHEMA), "shingles")
+    counts.destroy()
+    return out
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
@@ -171,7 +166,7 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFr
     wanted = stored(kept.selectExpr("u AS id").unionByName(kept.selectExpr("v AS id")).distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
+        for batch in H.by_bytes(batches, 0):
             found = list(_sets(batch.column(0), n))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
@@ -247,13 +242,6 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return rows.join(groups, F.col("cls") == F.col("c"), "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def without_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those whose group holds a smaller doc_id, all columns.  Rows with a null doc_id stay."""
-    groups = similar_groups(docs, n, percent)
-    copies = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return filter_ids(docs, copies, "doc_id", keep=False)
-
-
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of similar texts, all columns: that of the smallest doc_id, null ids last, then by the row's hash.
 
@@ -261,15 +249,17 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     without an id and rows that share one are grouped by their own texts.  Of rows
     equal in all columns one stays, also where the text is null or blank.
     """
+    spark, key = docs.sparkSession, unused(docs, "row key")
     hashed = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]  # a null alone leaves xxhash64 as it was
-    keyed = docs.withColumn("row key", F.xxhash64(*hashed))
-    groups = similar_groups(keyed.select(F.col("row key").alias("doc_id"), "text"), n, percent).distinct()
-    ids = keyed.select("row key", F.col("doc_id").cast("long").alias("id")).groupBy("row key").agg(F.first("id").alias("id"), F.count("*").alias("n"))
-    order = F.struct(F.col("id").isNull().alias("last"), "id", F.col("row key").alias("key"), "n")
-    first = ids.join(groups, F.col("row key") == F.col("doc_id")).groupBy("component_id").agg(F.min(order).alias("first"))
-    first = stored(first.select(F.col("first.key").alias("key"), F.col("first.n").alias("n")), "firsts")
-    kept = filter_ids(keyed, first.select("key"), "row key", keep=True)
+    keyed = docs.withColumn(key, F.xxhash64(*hashed))
+    with passing(spark):
+        groups = similar_groups(keyed.select(F.col(f"`{key}`").alias("doc_id"), "text"), n, percent).distinct()
+        ids = keyed.select(F.col(f"`{key}`").alias("key"), F.col("doc_id").cast("long").alias("id")).groupBy("key").agg(F.first("id").alias("id"), F.count("*").alias("n"))
+        order = F.struct(F.col("id").isNull().alias("last"), "id", "key", "n")
+        first = ids.join(groups, F.col("key") == F.col("doc_id")).groupBy("component_id").agg(F.min(order).alias("first"))
+        first = stored(first.select(F.col("first.key").alias("key"), F.col("first.n").alias("n")), "firsts", passes=False)
+    kept = filter_ids(keyed, first.select("key"), key, keep=True)
     several = first.where("n > 1").select("key")
     if not several.isEmpty():  # only rows that are repeated whole are shuffled
-        kept = filter_ids(kept, several, "row key", keep=False).unionByName(filter_ids(kept, several, "row key", keep=True).dropDuplicates())
-    return kept.drop("row key")
+        kept = filter_ids(kept, several, key, keep=False).unionByName(filter_ids(kept, several, key, keep=True).dropDuplicates())
+    return kept.drop(key)

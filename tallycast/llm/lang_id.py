@@ -14,7 +14,7 @@ language's own texts have.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import stored
+from tallycast.llm import hashing as H
+from tallycast.llm.common import stored, unused
 
 ORDER = 4
 #: Characters of a text that are looked at together; a longer one is counted and scored in stretches.
@@ -124,13 +125,13 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
             return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
-        for batch in batches:
+        for batch in H.by_bytes(batches, 0, 4 << 20, 10_000):
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             texts = np.array(batch.column(0).to_pylist(), dtype=object)
             folds = batch.column(2).to_numpy()
             for lang, fold in set(zip(langs.tolist(), folds.tolist(), strict=True)):
                 own, _ = _stretches(texts[(langs == lang) & (folds == fold)].tolist())
-                for part in _pieces(own, 4 << 20):
+                for part in _pieces(own):
                     held.setdefault((lang, fold), []).append(_tally(*symbols(own[part])))
                     if len(held[lang, fold]) > 16:
                         held[lang, fold] = [merged(held[lang, fold])]
@@ -409,7 +410,9 @@ def train(docs: DataFrame) -> Models:
     halves = parts(f"model <> {WHOLE}")
     models = Models(langs, {0: halves, 1: halves, WHOLE: parts(f"model = {WHOLE}")}, frozenset((m, j) for m, j, _ in discounts), alphabet)
     calibrate(models, rows)
-    return models
+    for half in halves:
+        half.destroy()
+    return replace(models, shards={WHOLE: models.shards[WHOLE]})
 
 
 def calibrate(models: Models, rows: DataFrame) -> None:
@@ -425,7 +428,7 @@ def calibrate(models: Models, rows: DataFrame) -> None:
     place = {x: i for i, x in enumerate(models.langs)}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in H.by_bytes(batches, 0, 4 << 20, 10_000):
             texts = np.array(batch.column(0).to_pylist(), dtype=object)
             langs = np.array([place[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
             folds = batch.column(2).to_numpy()
@@ -466,7 +469,7 @@ def identify(docs: DataFrame) -> DataFrame:
     model = train(docs)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in H.by_bytes(batches, 2):
             found = model.judge(batch.column(2).to_pylist())
             columns = zip(*found, strict=True) if found else [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -479,12 +482,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def without_rejected(docs: DataFrame) -> DataFrame:
     """The documents that the language models do not reject, all columns, judged where they are read."""
-    model = train(docs)
+    model, docs_columns = train(docs), docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in H.by_bytes(batches, len(docs_columns)):
             found = model.judge(batch.column(batch.num_columns - 1).to_pylist())
             held = batch.filter(pa.array([not r for *_, r in found], pa.bool_()))
             yield pa.RecordBatch.from_arrays(held.columns[:-1], schema=pa.schema(list(held.schema)[:-1]))
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias("text to judge")).mapInArrow(kept, docs.schema)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").cast("string").alias(unused(docs, "text to judge"))).mapInArrow(kept, docs.schema)

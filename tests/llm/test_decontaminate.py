@@ -67,11 +67,12 @@ def test_hard_rows(spark, hard, none):
     b = spark.createDataFrame([(*x, "y") for x in items], "item_id long, text string, doc_id string")
     assert rows_of(D.contained_items(hard, b)) == brute(rows, items)
     assert D.contained_items(none, b).collect() == [] and D.contained_items(hard, b.limit(0)).collect() == []
-    kept = D.decontaminated(hard, b)
-    leaks = {i for i, *_ in brute(rows, items)}
-    assert kept.columns == hard.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, _ in rows if i is None or i not in leaks), key=str)
-    assert D.decontaminated(none, b).collect() == []
+    whole = [tuple(r) for r in hard.withColumnRenamed("base", "text to search").collect()]
+    kept = D.rows_without_items(hard.withColumnRenamed("base", "text to search"), b)
+    leaks = {k for k, *_ in brute([(k, t) for k, (_, t) in enumerate(rows)], items)}
+    assert kept.columns == hard.withColumnRenamed("base", "text to search").columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(str(r) for k, r in enumerate(whole) if k not in leaks)
+    assert D.rows_without_items(none, b).collect() == []
 
 
 def test_minima_of_stretches():

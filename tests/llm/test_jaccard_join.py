@@ -65,11 +65,41 @@ def test_hard_rows(hard, none):
     rows = [(r.doc_id, r.text) for r in hard.collect()]
     assert rows_of(J.similar_groups(hard, 4, 85)) == brute(rows, 4, 85)
     assert J.similar_groups(none, 4, 85).collect() == []
-    kept = J.without_near_copies(hard)
-    assert kept.columns == hard.columns
-    groups = {r[0]: r[2] for r in brute(rows, 5, 80) if r[0] is not None}
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, _ in rows if i is None or groups[i] == i), key=str)
-    assert J.without_near_copies(none).collect() == []
+
+
+def one_of_each(rows, n, percent):
+    """Indexes of the rows that stay, by brute force: of each group the smallest id, nulls last; of equal rows one.
+
+    Of rows that tie in this any may stay, so a group of several with its smallest id is given as a whole."""
+    groups = {}
+    for k, (_, _, component) in enumerate(sorted(brute([(k, r[1]) for k, r in enumerate(rows)], n, percent))):
+        words = (rows[k][1] or "").split()
+        groups.setdefault(component if words else tuple(rows[k]), []).append(k)
+    first = lambda g: min((rows[k][0] is None, rows[k][0] or 0) for k in g)
+    return [[k for k in g if (rows[k][0] is None, rows[k][0] or 0) == first(g)] for g in groups.values()]
+
+
+def test_one_of_each_group(spark, hard, none):
+    assert J.one_of_each_group(none).collect() == []
+    rows = [tuple(r) for r in hard.collect()]
+    more = [(i, t, "x", 1) for i, t in near_copies(5, 8, 25)]
+    for table, df in ((rows, hard), (more, spark.createDataFrame(more, "doc_id long, text string, `row key` string, `text to search` int"))):
+        before = len(list(spark_folders(spark)))
+        kept = J.one_of_each_group(df)
+        assert len(list(spark_folders(spark))) == before + 1  # of the tables on the way one is left, which the result reads
+        assert kept.columns == df.columns
+        left = sorted(map(str, map(tuple, kept.collect())))
+        groups = one_of_each(table, 5, 80)
+        assert len(left) == len(groups)
+        for g in groups:
+            assert any(str(table[k]) in left for k in g)
+
+
+def spark_folders(spark):
+    import os
+    from urllib.parse import urlparse
+    root = spark.sparkContext.getCheckpointDir()
+    return os.listdir(urlparse(root).path)
 
 
 def test_components(spark):
