@@ -23,7 +23,7 @@ from tallycast.functions import calendar as cal  # noqa: E402
 from tallycast.operators import rollup as R  # noqa: E402
 from tallycast.plans import jobs  # noqa: E402
 from tallycast.sources import fixtures as fx  # noqa: E402
-from tallycast.sources.tables import restrict_days  # noqa: E402
+from tallycast.sources.tables import normalize, restrict_days, select_series  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -97,6 +97,55 @@ def _growth_classes(st):
     return out
 
 
+def _shared_path(spark, name):
+    """A new folder's path in the folder that the driver and all executors share."""
+    import uuid
+
+    from tallycast.plans.session import checkpoint_dir
+    return f"{checkpoint_dir(spark) or 'checkpoints'}/{name}-{uuid.uuid4().hex}"
+
+
+def _published(st):
+    """The monthly table, published after another version and read through the pointer."""
+    from tallycast.sources.publish import publish_parquet, read_published
+    path = _shared_path(st.sparkSession, "published")
+    publish_parquet(jobs.predict(st, "day"), path)
+    publish_parquet(jobs.predict(st, "month"), path)
+    return read_published(st.sparkSession, path)
+
+
+LATE_DAY = "1995-03-17"
+
+
+def _late_day(raw):
+    """The daily table as it is after a full refresh without one day, and a partial refresh when that day has come."""
+    from tallycast.plans import partial
+    spark, stat = raw.sparkSession, normalize(raw)
+    partials, table = _shared_path(spark, "partials"), _shared_path(spark, "prediction")
+    before = stat.where(~((F.col("year") == LATE_DAY[:4]) & (F.col("month") == LATE_DAY[5:7]) & (F.col("day") == LATE_DAY[8:])))
+    partial.write_partials(before, partials, by="month")
+    partial.write_periods(partial.read_partials(spark, partials), "day", table)
+    partial.update_partials(stat, partials, [LATE_DAY], by="month")
+    partial.refresh_days(partial.read_partials(spark, partials), "day", table, [LATE_DAY])
+    return partial.read_periods(spark, "day", table)
+
+
+def _catalog_days(raw):
+    """A day range of a catalog table that is partitioned by text years and months."""
+    import uuid
+
+    from tallycast.sources.tables import read_stat_table
+    spark, name = raw.sparkSession, f"tallycast_stat_{uuid.uuid4().hex}"
+    raw.repartition("year", "month").write.partitionBy("year", "month").option("path", _shared_path(spark, "stat")).saveAsTable(name)
+    return R.rollup_day(restrict_days(read_stat_table(spark, name), "1994-03-01", "1996-02-15"))
+
+
+def _counts(st):
+    """The counts of a refresh, taken by the job itself."""
+    found = jobs.refresh_counted(st, "hour", "", fmt="noop")
+    return st.sparkSession.createDataFrame([found], "input_rows long, measured_rows long, rejected_rows long, output_rows long")
+
+
 def _growth(ratio):
     def build(st):
         return jobs.growth(st, "hour", ratio=ratio).withColumnRenamed("time", "time_hour")
@@ -198,6 +247,15 @@ def _engine_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prediction_hour_spelled": _q("stat_events_spelled", lambda st: jobs.predict(st, "hour")),
         "prediction_day_range": _q("stat_shipments", lambda st: jobs.predict(restrict_days(st, "1994-03-01", "1996-02-15"), "day")),
         "prediction_hour_exact": _q("stat_events_exact", lambda st: jobs.predict(st, "hour")),
+        # FLT-1 pushed for untrimmed keys; FLT-3; SRC-2 partitioned; doubles with fractions; CNT-1; SNK-1/2; SNK-3
+        "series_filter_spellings": _q("raw_events", lambda raw: R.rollup_hour(normalize(select_series(raw, ["view", "click"])))),
+        "selection_empty": _q("stat_shipments", lambda st: jobs.predict(R.series_filter(st, "no such series"), "day")),
+        "rollup_day_catalog": _q("raw_shipments", _catalog_days),
+        "rollup_hour_fractions": _q("stat_events_raw_values", R.rollup_hour),
+        "prediction_day_fractions": _q("stat_events_raw_values", lambda st: jobs.predict(st, "day")),
+        "refresh_counts": _q("stat_events_guarded", _counts),
+        "prediction_month_published": _q("stat_orders", _published),
+        "prediction_day_late": _q("raw_shipments", _late_day),
         # options
         "forecast_hour_forward": _q("stat_events", lambda st: jobs.forecast(st, "hour", ratio="forward")),
         "forecast_month_dedup": _q("stat_shipments", lambda st: jobs.forecast(st, "month", dedupe_seeds=True)),
@@ -239,6 +297,8 @@ _FIX = {
                            f"{_parts('ts')} FROM events WHERE event_type IS NOT NULL",
     "stat_events_exact": "SELECT trim(event_type) AS attack_type, CAST(value AS DECIMAL(28,6)) AS sum, "
                          f"{_parts('ts')} FROM events WHERE event_type IS NOT NULL",
+    "stat_events_raw_values": "SELECT trim(event_type) AS attack_type, CAST(trunc(value * 4722366482869645213696.0) AS HUGEINT) AS sum, "
+                              f"{_parts('ts')} FROM events WHERE event_type IS NOT NULL",
     "stat_shipments_range": "SELECT trim(l_returnflag) AS attack_type, CAST(l_quantity AS DOUBLE) AS sum, "
                             f"{_parts('l_shipdate')} FROM lineitem WHERE l_returnflag IS NOT NULL "
                             "AND CAST(l_shipdate AS DATE) BETWEEN DATE '1994-03-01' AND DATE '1996-02-15'",
@@ -480,6 +540,18 @@ def oracle_sql() -> dict[str, str]:
     sql["prediction_day_range"] = _prediction_sql("stat_shipments_range", "day")
     exact = _prediction_sql("stat_events_exact", "hour", "inverse")
     sql["prediction_hour_exact"] = exact.replace("sum(sum) AS acc", "CAST(sum(sum) AS DOUBLE) AS acc")
+    unit = "CAST(4722366482869645213696 AS HUGEINT)"  # 2**72: doubles as whole numbers of it, so that their sum is exact
+    rest = f"((sum(sum) % {unit}) + {unit}) % {unit}"
+    exactly = f"CAST((sum(sum) - {rest}) // {unit} AS DOUBLE) + CAST({rest} AS DOUBLE) / 4722366482869645213696.0 AS acc"
+    sql["rollup_hour_fractions"] = roll("stat_events_raw_values", "hour").replace("sum(sum) AS acc", exactly)
+    sql["prediction_day_fractions"] = _prediction_sql("stat_events_raw_values", "day").replace("sum(sum) AS acc", exactly)
+    sql["series_filter_spellings"] = sql["series_filter"].replace("attack_type = 'view'", "attack_type IN ('click', 'view')")
+    sql["selection_empty"] = sql["prediction_day"].replace(_FIX["stat_shipments"], _FIX["stat_shipments"] + " AND trim(l_returnflag) = 'no such series'")
+    sql["rollup_day_catalog"] = roll("stat_shipments_range", "day")
+    sql["refresh_counts"] = (f"SELECT (SELECT count(*) FROM ({_FIX[guarded]}) f) AS input_rows, (SELECT count(sum) FROM ({_FIX[guarded]}) f) AS measured_rows, "
+                             f"CAST(0 AS BIGINT) AS rejected_rows, (SELECT count(*) FROM ({sql['prediction_hour_guarded']}) p) AS output_rows")
+    sql["prediction_month_published"] = sql["prediction_month"]
+    sql["prediction_day_late"] = sql["prediction_day"]
     sql["prediction_day_from_hours"] = sql["prediction_day"]
     sql["prediction_week_from_hours"] = sql["prediction_week"]
     sql["prediction_month_from_hours"] = sql["prediction_month"]

@@ -6,28 +6,42 @@ A hot series therefore never reaches one task as raw rows: at most one partial
 row per (task, series, period) is shuffled.
 
 Rollups accept either a normalised statistics frame (``tables.normalize``) or
-*partials*, a frame already reduced to (keys..., ``_sum``, ``_cnt``).  Coarser
+*partials*, a frame already reduced to (keys..., sum columns, ``_cnt``).  Coarser
 grains can then be rolled from a finer rollup instead of the raw rows, which is
 what ``plans.jobs.predict_all`` does to read the raw table once for all grains.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import calendar as cal
+from ..functions.exact_sum import BIG, DIGITS, SUM_COLS, combined, digit_sums, with_digits
 from ..sources.tables import MEASURE_COL, PART_COLS, RAW_MEASURE_COL, TYPE_COL, part_int, part_text
 
 SUM, CNT = "_sum", "_cnt"
 
 
-def _sums(stat: DataFrame) -> tuple:
-    """Aggregates of raw rows, or of partials to merge: ``_sum`` skips nulls, ``_cnt`` counts non-nulls."""
+def _reduce(stat: DataFrame, *keys: Column) -> DataFrame:
+    """One row per (series, *keys) of raw rows, or of partials to merge.
+
+    Sums skip nulls and ``_cnt`` counts non-nulls.  Doubles are summed by
+    ``exact_sum`` (columns ``SUM_COLS``), so the result does not depend on the
+    layout; decimals, which are exact as they are, in ``_sum``.
+    """
     if CNT in stat.columns:
-        return F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT)
-    present = RAW_MEASURE_COL if RAW_MEASURE_COL in stat.columns else MEASURE_COL
-    return F.sum(MEASURE_COL).alias(SUM), F.count(present).alias(CNT)
+        sums = digit_sums() if BIG in stat.columns else [F.sum(SUM).alias(SUM)]
+        return stat.groupBy(TYPE_COL, *keys).agg(*sums, F.sum(CNT).alias(CNT))
+    present = F.count(RAW_MEASURE_COL if RAW_MEASURE_COL in stat.columns else MEASURE_COL).alias(CNT)
+    if isinstance(stat.schema[MEASURE_COL].dataType, DoubleType):
+        return with_digits(stat, MEASURE_COL).groupBy(TYPE_COL, *keys).agg(*digit_sums(), present)
+    return stat.groupBy(TYPE_COL, *keys).agg(F.sum(MEASURE_COL).alias(SUM), present)
+
+
+def _sum_cols(reduced: DataFrame) -> tuple[str, ...]:
+    return (*SUM_COLS, CNT) if BIG in reduced.columns else (SUM, CNT)
 
 
 def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -36,8 +50,8 @@ def partials(stat: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     Groups on the parts' integer values, so each period is one row however its
     parts are spelled; the padded text form is rendered on the reduced rows.
     """
-    g = stat.groupBy(TYPE_COL, *[part_int(stat, k).alias(k) for k in keys]).agg(*_sums(stat))
-    return g.select(TYPE_COL, *[part_text(k).alias(k) for k in keys], SUM, CNT)
+    g = _reduce(stat, *[part_int(stat, k).alias(k) for k in keys])
+    return g.select(TYPE_COL, *[part_text(k).alias(k) for k in keys], *_sum_cols(g))
 
 
 def hour_partials(stat: DataFrame) -> DataFrame:
@@ -48,6 +62,8 @@ def hour_partials(stat: DataFrame) -> DataFrame:
 def _measured(p: DataFrame) -> DataFrame:
     """Groups with at least one numeric measure (their sum is not NULL); the sum
     (column ``_sum``) is the rollup value, selected as ``acc`` by the callers."""
+    if BIG in p.columns:
+        return combined(p.where(F.col(DIGITS[0]).isNotNull() | F.col(BIG).isNotNull()), SUM)
     return p.where(F.col(SUM).isNotNull())
 
 
@@ -97,11 +113,11 @@ def rollup_week(stat: DataFrame, iso_year: bool = False) -> DataFrame:
     """
     day = cal.day_date(*[part_int(stat, k) for k in ("year", "month", "day")])
     if iso_year:
-        r = _measured(stat.groupBy(TYPE_COL, cal.week_start(day).alias("week_start")).agg(*_sums(stat)))
+        r = _measured(_reduce(stat, cal.week_start(day).alias("week_start")))
         iso_y, iso_w = cal.iso_week_of("week_start")
         return r.select(TYPE_COL, iso_w.alias("week_time"), _acc(), iso_y.alias("year"), "week_start")
-    g = stat.groupBy(TYPE_COL, part_int(stat, "year").alias("year"), F.weekofyear(day).alias("week_time"))
-    return _measured(g.agg(*_sums(stat))).select(TYPE_COL, "week_time", _acc(), part_text("year").alias("year"))
+    g = _reduce(stat, part_int(stat, "year").alias("year"), F.weekofyear(day).alias("week_time"))
+    return _measured(g).select(TYPE_COL, "week_time", _acc(), part_text("year").alias("year"))
 
 
 def rollup_month(stat: DataFrame) -> DataFrame:

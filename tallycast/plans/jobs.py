@@ -20,7 +20,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -28,8 +28,8 @@ from ..functions.numeric import trunc_int
 from ..operators import rollup as R
 from ..operators.backfill import label_real, positional_real, with_latest_by_label
 from ..operators.forecast import ACTUAL, SeriesSpec, growth_forecast, growth_terms, legacy_growth
-from ..sources.sinks import write_table
-from ..sources.tables import PART_COLS, TYPE_COL
+from ..sources.sinks import read_table, write_table
+from ..sources.tables import MEASURE_COL, PART_COLS, TYPE_COL, part_int
 from .session import checkpoint_dir, drop_folder
 
 GRAINS = ("hour", "day", "week", "month", "legacy_day")
@@ -275,6 +275,22 @@ def refresh(stat: DataFrame, grain: str, target: str, *, fmt: str = "parquet",
     return table
 
 
+def refresh_counted(stat: DataFrame, grain: str, target: str, *, fmt: str = "parquet",
+                    sink_options: dict | None = None, **options) -> dict[str, int]:
+    """``refresh``, and the counts of what passed through it, taken on the way by the same job:
+    ``input_rows``, ``measured_rows`` (with a measure), ``rejected_rows`` (in no
+    series, for their parts name no calendar date) and ``output_rows``."""
+    _check(grain)
+    read, wrote = Observation(), Observation()
+    parts = [part_int(stat, c) for c in PART_COLS]
+    period = cal.hour_start(*parts) if grain == "hour" else cal.month_start(*parts[:2]) if grain == "month" else cal.day_date(*parts[:3])
+    seen = stat.observe(read, F.count(F.lit(1)).alias("input_rows"), F.count(MEASURE_COL).alias("measured_rows"),
+                        F.count_if(period.isNull()).alias("rejected_rows"))
+    table = predict(seen, grain, **options).observe(wrote, F.count(F.lit(1)).alias("output_rows"))
+    write_table(table, target, fmt=fmt, **(sink_options or {}))
+    return {**read.get, **wrote.get}
+
+
 def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet",
                 sink_options: dict | None = None, parallel: int = 1,
                 **options) -> dict[str, DataFrame]:
@@ -282,8 +298,8 @@ def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet
 
     The writes are independent Spark jobs; with ``parallel > 1`` they are
     submitted from that many driver threads and share the executors.  The shared
-    partials and their files are removed at the end.  Returns the tables' plans
-    over ``stat``.
+    partials and their files are removed at the end.  Returns lazy frames over what
+    was written, for the targets that Spark reads without a connection.
     """
     tables = predict_all(stat, tuple(targets), **options)
 
@@ -299,4 +315,5 @@ def refresh_all(stat: DataFrame, targets: dict[str, str], *, fmt: str = "parquet
                 write(g)
     finally:
         tables.release()
-    return {g: predict(stat, g, **options_for(g, options)) for g in targets}
+    spark = stat.sparkSession
+    return {g: back for g, target in targets.items() if (back := read_table(spark, target, fmt=fmt)) is not None}

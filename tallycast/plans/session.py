@@ -32,6 +32,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on the file system its path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   scratch: str | None = None, app: str = "tallycast") -> SparkSession:
     """A local[N] session with the UI off, AQE on and a scratch checkpoint dir."""

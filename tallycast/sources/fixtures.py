@@ -95,6 +95,21 @@ def events_as_exact(ev: DataFrame) -> DataFrame:
     return normalize(ev.select(F.col("event_type").alias("attack_type"), F.col("value").alias("sum"), *_parts(ts)), exact_scale=6)
 
 
+def events_as_raw_values(ev: DataFrame) -> DataFrame:
+    """``events`` with the unrounded ``value`` as a double."""
+    return _as_stat(ev, F.col("event_type"), F.col("value"), F.col("ts"))
+
+
+def events_as_raw_table(ev: DataFrame) -> DataFrame:
+    """``events`` as a raw statistics table before ``normalize``: keys as stored, text parts."""
+    return ev.select(F.col("event_type").alias("attack_type"), _cents("value").alias("sum"), *_text_parts(F.col("ts"), F.lit(True)))
+
+
+def lineitem_as_raw_table(li: DataFrame) -> DataFrame:
+    """``lineitem`` as a raw statistics table with text parts."""
+    return li.select(F.col("l_returnflag").alias("attack_type"), F.col("l_quantity").cast("double").alias("sum"), *_text_parts(F.col("l_shipdate"), F.lit(True)))
+
+
 # (spark, sf_dir) -> statistics rows over the driver's tables
 
 def stat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +144,18 @@ def stat_events_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_exact(_table(spark, sf_dir, "events"))
 
 
+def stat_events_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_raw_values(_table(spark, sf_dir, "events"))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_raw_table(_table(spark, sf_dir, "events"))
+
+
+def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem_as_raw_table(_table(spark, sf_dir, "lineitem"))
+
+
 FIXTURES = {
     "stat_events": stat_events,
     "stat_shipments": stat_shipments,
@@ -138,4 +165,7 @@ FIXTURES = {
     "stat_events_guarded": stat_events_guarded,
     "stat_events_spelled": stat_events_spelled,
     "stat_events_exact": stat_events_exact,
+    "stat_events_raw_values": stat_events_raw_values,
+    "raw_events": raw_events,
+    "raw_shipments": raw_shipments,
 }

@@ -12,12 +12,15 @@ executors:
 * Parquet: ``mode("overwrite")`` of a directory; Spark's commit protocol makes
   a retried task (lost executor) write its output exactly once.
 
+Both empty the target before it is filled.  ``publish`` has the two-phase forms,
+which readers never see half-done.
+
 Connection properties (user, password) are passed through and never logged.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .tables import TYPE_COL
 
@@ -41,16 +44,35 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None =
     w.parquet(path)
 
 
+def read_table(spark: SparkSession, target: str, *, fmt: str = "parquet") -> DataFrame | None:
+    """What ``write_table`` wrote to ``target``, lazily; None for databases and 'noop'."""
+    if fmt == "parquet":
+        return spark.read.parquet(target)
+    if fmt == "published":
+        from .publish import read_published
+
+        return read_published(spark, target)
+    return spark.table(target) if fmt == "table" else None
+
+
 def write_table(df: DataFrame, target: str, *, fmt: str = "parquet", **options) -> None:
     """Dispatch on ``fmt``: 'parquet' (target = path), 'jdbc' (target = table,
-    options url/properties), 'table' (catalog table, ``saveAsTable``) or 'noop'
+    options url/properties), 'published' and 'published_jdbc' (the same targets in
+    two phases, see ``publish``), 'table' (catalog table, ``saveAsTable``) or 'noop'
     (benchmarks)."""
+    from . import publish  # which builds on this module
+
     if fmt == "parquet":
         write_parquet(df, target, partition_by=options.get("partition_by"))
     elif fmt == "jdbc":
         write_jdbc(df, options["url"], target, options.get("properties"),
                    batch_size=options.get("batch_size", 10000),
                    max_connections=options.get("max_connections", 8))
+    elif fmt == "published":
+        publish.publish_parquet(df, target, partition_by=options.get("partition_by"), keep=options.get("keep", 2))
+    elif fmt == "published_jdbc":
+        publish.publish_jdbc(df, options["url"], target, options.get("properties"), batch_size=options.get("batch_size", 10000),
+                             max_connections=options.get("max_connections", 8), connect=options.get("connect"))
     elif fmt == "table":
         df.write.mode("overwrite").saveAsTable(target)
     elif fmt == "noop":  # benchmarking: run the whole plan, keep nothing

@@ -109,21 +109,72 @@ def read_stat_table(spark: SparkSession, name: str, *, trim_keys: bool = True,
     return normalize(spark.table(name), trim_keys=trim_keys, exact_scale=exact_scale)
 
 
+def spellings(raw: DataFrame) -> DataFrame:
+    """The key dictionary of a raw table: (spelling, key), each distinct stored key and its trimmed form.
+
+    One scan of one column, reduced in the tasks; worth storing beside the table.
+    """
+    return raw.select(F.col(TYPE_COL).alias("spelling")).where("spelling IS NOT NULL").distinct().select("spelling", F.trim("spelling").alias("key"))
+
+
+def select_series(raw: DataFrame, keys: list[str], dictionary: DataFrame | None = None, *, most: int = 10_000) -> DataFrame:
+    """The rows of a raw table whose trimmed key is one of ``keys``, by a predicate that reaches the scan.
+
+    The trimmed key is an expression, which a Parquet reader cannot test; the
+    stored spellings of the keys, looked up in ``dictionary`` (``spellings(raw)`` by
+    default), are values, and ``IN`` on them is pushed.  Keys with more than
+    ``most`` spellings together are tested on the trimmed key instead.
+    """
+    known = (spellings(raw) if dictionary is None else dictionary).where(F.col("key").isin(keys))
+    found = [r.spelling for r in known.select("spelling").limit(most + 1).collect()]
+    if len(found) > most:
+        return raw.where(F.trim(TYPE_COL).isin(keys))
+    return raw.where(F.col(TYPE_COL).isin(found))
+
+
+def on_days(df: DataFrame, days: list[str]) -> DataFrame:
+    """Rows of the given days (``yyyy-MM-dd``), or of months where all are ``yyyy-MM``.
+
+    The parts are held against their values as they are stored, text in either
+    spelling or integers, so that the predicates reach the scan or prune partitions;
+    the exact test of the day follows.
+    """
+    def stored(name: str, at: slice) -> list:
+        values = sorted({int(d[at]) for d in days})
+        if not isinstance(df.schema[name].dataType, T.StringType):
+            return values
+        return sorted({str(v) for v in values} | {f"{v:0{PART_WIDTH[name]}d}" for v in values})
+
+    places = (("year", slice(0, 4)), ("month", slice(5, 7)), ("day", slice(8, 10)))[:2 if all(len(d) == 7 for d in days) else 3]
+    for name, at in places:
+        df = df.where(F.col(name).isin(stored(name, at)))
+    exact = F.lit(False)
+    for d in sorted(set(days)):
+        of = F.lit(True)
+        for name, at in places:
+            of = of & (part_int(df, name) == int(d[at]))
+        exact = exact | of
+    return df.where(exact)
+
+
 def restrict_days(df: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Keep rows whose day lies in [first_day, last_day] (``yyyy-MM-dd``).
 
     The year bound compares the ``year`` column as it is stored, a text year (four
     digits by contract) with text and an integer year with an integer, so it reaches
     the Parquet scan (``PushedFilters``, row-group skipping) or prunes ``year``
-    partitions; the exact day bound is applied after it.  Rows whose parts are
+    partitions; a bound on the months, by value, prunes ``month`` partitions below
+    them, and the exact day bound is applied after both.  Rows whose parts are
     no calendar date are left out.
     """
     text = isinstance(df.schema["year"].dataType, T.StringType)
     year = lambda d: F.lit(d[:4] if text else int(d[:4]))
     day = F.try_make_timestamp_ntz(part_int(df, "year"), part_int(df, "month"), part_int(df, "day"),
                                    F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    months = part_int(df, "year") * 12 + part_int(df, "month")
+    month = lambda d: int(d[:4]) * 12 + int(d[5:7])
     if first_day is not None:
-        df = df.where((F.col("year") >= year(first_day)) & (day >= F.lit(first_day).cast("date")))
+        df = df.where(months >= month(first_day)).where((F.col("year") >= year(first_day)) & (day >= F.lit(first_day).cast("date")))
     if last_day is not None:
-        df = df.where((F.col("year") <= year(last_day)) & (day <= F.lit(last_day).cast("date")))
+        df = df.where(months <= month(last_day)).where((F.col("year") <= year(last_day)) & (day <= F.lit(last_day).cast("date")))
     return df
