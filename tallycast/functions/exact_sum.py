@@ -24,17 +24,22 @@ _UNIT = 1 << 24
 _LIMIT = "9007199254740992D"  # 2**53
 
 
+def _cut(value: str) -> str:
+    return f"CAST({value} AS BIGINT)"
+
+
+def _next(value: str) -> str:
+    """What is left of ``value`` behind its whole part, 24 bits higher."""
+    return f"(({value} - CAST({_cut(value)} AS DOUBLE)) * {_UNIT}D)"
+
+
 def with_digits(df: DataFrame, measure: str) -> DataFrame:
-    """``df`` with the columns ``SUM_COLS`` of the double column ``measure``; all null where it is null."""
+    """``df`` with the columns ``SUM_COLS`` of the double column ``measure`` (and two helpers); all null where it is null."""
     inside = f"abs({measure}) < {_LIMIT}"
-    df = df.selectExpr("*", f"CASE WHEN {inside} THEN CAST({measure} AS BIGINT) END AS _whole",
+    df = df.selectExpr("*", f"CASE WHEN {inside} THEN {_cut(measure)} END AS _whole", f"CASE WHEN {inside} THEN {_next(measure)} END AS _rest",
                        f"CASE WHEN NOT {inside} THEN {measure} END AS {BIG}")
-    df = df.selectExpr("*", f"({measure} - CAST(_whole AS DOUBLE)) * {_UNIT}D AS _f2")
-    for i in (2, 3, 4):
-        more = [f"(_f{i} - CAST(CAST(_f{i} AS BIGINT) AS DOUBLE)) * {_UNIT}D AS _f{i + 1}"] if i < 4 else []
-        df = df.selectExpr("*", f"CAST(_f{i} AS BIGINT) AS _d{i}", *more)
-    df = df.selectExpr("*", "shiftright(_whole, 24) AS _d0", f"_whole & {_UNIT - 1}L AS _d1")
-    return df.drop("_whole", "_f2", "_f3", "_f4")
+    return df.selectExpr("*", "shiftright(_whole, 24) AS _d0", f"_whole & {_UNIT - 1}L AS _d1", f"{_cut('_rest')} AS _d2",
+                         f"{_cut(_next('_rest'))} AS _d3", f"{_cut(_next(_next('_rest')))} AS _d4")
 
 
 def digit_sums() -> list[Column]:
@@ -44,13 +49,13 @@ def digit_sums() -> list[Column]:
 
 def combined(df: DataFrame, name: str) -> DataFrame:
     """``df`` with the double ``name`` that the summed ``SUM_COLS`` stand for, in place of them; null where all are."""
-    rest = [c for c in df.columns if c not in SUM_COLS]
-    low = f"{_UNIT - 1}L"
-    df = df.selectExpr(*rest, "_d0", "_d1", "_d2", "_d3 + shiftright(_d4, 24) AS _d3", f"_d4 & {low} AS _d4", BIG)
-    df = df.selectExpr(*rest, "_d0", "_d1", "_d2 + shiftright(_d3, 24) AS _d2", f"_d3 & {low} AS _d3", "_d4", BIG)
-    df = df.selectExpr(*rest, "_d0", "_d1 + shiftright(_d2, 24) AS _d1", f"_d2 & {low} AS _d2", "_d3", "_d4", BIG)
-    df = df.selectExpr(*rest, "_d0 + shiftright(_d1, 24) AS _d0", f"_d1 & {low} AS _d1", "_d2", "_d3", "_d4", BIG)
-    whole = f"CAST(_d0 AS DOUBLE) * {_UNIT}D + CAST(_d1 AS DOUBLE)"
-    part = f"(CAST(_d2 * {_UNIT}L + _d3 AS DOUBLE) * {_UNIT}D + CAST(_d4 AS DOUBLE)) / 4722366482869645213696D"  # 2**72
+    carried = "_d4"
+    low = [f"(_d4 & {_UNIT - 1}L)"]  # the digits below 2**24, from the last
+    for i in (3, 2, 1, 0):
+        carried = f"(_d{i} + shiftright({carried}, 24))"
+        low.append(f"({carried} & {_UNIT - 1}L)")
+    whole = f"CAST({carried} AS DOUBLE) * {_UNIT}D + CAST({low[3]} AS DOUBLE)"
+    part = f"(CAST({low[2]} * {_UNIT}L + {low[1]} AS DOUBLE) * {_UNIT}D + CAST({low[0]} AS DOUBLE)) / 4722366482869645213696D"  # 2**72
     total = f"({whole}) + {part}"
-    return df.selectExpr(*rest, f"CASE WHEN {BIG} IS NULL THEN {total} WHEN _d0 IS NULL THEN {BIG} ELSE {total} + {BIG} END AS {name}")
+    return df.selectExpr(*[c for c in df.columns if c not in SUM_COLS],
+                         f"CASE WHEN _d0 IS NULL THEN {BIG} ELSE {total} + coalesce({BIG}, 0D) END AS {name}")

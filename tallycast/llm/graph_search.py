@@ -194,10 +194,10 @@ def descend(x: np.ndarray, levels: list[np.ndarray], queries: np.ndarray) -> np.
 
 
 def length_bands(x: np.ndarray) -> np.ndarray:
-    """Numbers of ranges of length, from a power of four to the next.  Each range is a graph of its
+    """Numbers of ranges of length, from half a power of four to twice it.  Each range is a graph of its
     own: beside a far longer vector the others would all look alike on the sphere."""
     top = np.abs(x).max(1)
-    return np.floor((np.log2(top) + np.log2(np.linalg.norm(x / top[:, None], axis=1))) / 2).astype(np.int64)
+    return np.floor((1 + np.log2(top) + np.log2(np.linalg.norm(x / top[:, None], axis=1))) / 2).astype(np.int64)
 
 
 def on_sphere(x: np.ndarray) -> np.ndarray:

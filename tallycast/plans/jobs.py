@@ -9,9 +9,9 @@ with the number of series.
 ``predict_all`` refreshes several grains from one scan: the raw table is reduced
 once to partials of the finest grain asked for (one row per series and hour, or
 day), which are written to the cluster's checkpoint directory (persisted where
-none is set), and each grain rolls up from them with one exchange, on the
-series, that serves its aggregation and its window.  A single grain goes
-straight to ``predict``.
+none is set), and each grain rolls up from them: the tasks reduce the partials to
+the grain's periods before anything moves.  A single grain goes straight to
+``predict``.
 """
 
 from __future__ import annotations
@@ -249,8 +249,7 @@ def predict_all(stat: DataFrame, grains=GRAINS, *, materialize: bool = True, **o
     elif materialize:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         release = base.unpersist
-    shared = base.repartition(TYPE_COL)
-    return Tables({g: predict(shared, g, **chosen[g]) for g in grains}, release)
+    return Tables({g: predict(base, g, **chosen[g]) for g in grains}, release)
 
 
 # which grain each option applies to
