@@ -30,9 +30,10 @@ SLOTS = 1 << 15
 EPOCHS = 6
 
 #: Fixed values of HTML: elements that do not part text, elements whose content is no text, and implied end tags.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark noscript object q s samp small span strike strong sub sup time tt u var wbr "
+                   "g svg text tspan math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = "script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|template|svg|math|object"
+SILENT = "script|style|textarea|title|iframe|noembed|noframes|template"
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table td th tr button select body article section div aside nav main header footer form".split())
 
@@ -147,17 +148,16 @@ def features(page: list[Block]) -> list[list[int]]:
     out = []
     for i, b in enumerate(page):
         text, n = b.text, len(b.text)
-        head = text[:400]
-        words = head.count(" ") + 1 if n <= 400 else text.count(" ") + 1
+        words = text.count(" ") + 1
         leaf = b.tags[-1] if b.tags else "none"
         found = {f"t={t}" for t in b.tags if t not in ("html", "body")} | {f"n={w}" for w in b.names}
         found |= {
             "bias", f"l={leaf}", f"l2={leaf}|{b.tags[-2] if len(b.tags) > 1 else ''}", f"words={min(words.bit_length(), 8)}", f"link={min(4, 4 * b.linked // max(n, 1))}",
             f"end={text[-1] if text[-1] in '.!?:,;|' else 'w' if text[-1].isalnum() else 'o'}",
-            f"place={4 * i // len(page)}", f"commas={min(3, head.count(','))}", f"upper={int(4 * sum(c.isupper() for c in head) / len(head))}",
-            f"digit={int(4 * sum(c.isdigit() for c in head) / len(head))}",
+            f"place={4 * i // len(page)}", f"commas={min(3, text.count(','))}", f"upper={int(4 * sum(map(str.isupper, text)) / n)}",
+            f"digit={int(4 * sum(map(str.isdigit, text)) / n)}",
         }
-        found |= {f"cue={c}" for c in _CUES.findall(head.lower())}
+        found |= {f"cue={c}" for c in set(_CUES.findall(text.lower()))}
         if i == len(page) - 1:
             found.add("last")
         out.append([_slot(f) for f in sorted(found)])

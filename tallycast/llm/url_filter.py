@@ -99,18 +99,18 @@ _NAME = re.compile(r"[^\W_]+")
 
 
 def url_words(segmenter: Segmenter, host: str, path: str, memory: dict[str, list[str]]) -> tuple[list[str], list[str]]:
-    """The segmented words of the host, without its last label, and of the path.  Names of over 64 characters are left whole."""
+    """The segmented words of the host, without its last label where it has several, and of the path.  A name of any length is split, in linear time."""
     def split(text: str) -> list[str]:
         out = []
         for name in _NAME.findall(text.lower()):
             if name not in memory:
                 if len(memory) >= REMEMBERED:
                     memory.clear()
-                memory[name] = segmenter.words(name) if len(name) <= 64 else [name]
+                memory[name] = segmenter.words(name)
             out += memory[name]
         return out
 
-    return split(host.rpartition(".")[0]), split(path)
+    return split(host.rpartition(".")[0] or host), split(path)
 
 
 def unigram_counts(parts: DataFrame) -> dict[str, int]:

@@ -34,6 +34,8 @@ from tallycast.llm.common import shared_dir, stored
 REVISIT_BYTES = 1000
 #: Sizes at which an archive member and a package are closed, and records read by one range.
 MEMBER_BYTES, PACKAGE_BYTES, RANGE_RECORDS = 16 << 20, 1 << 30, 500
+#: Stored bytes that a reading task has at least, and at most.
+READ_BYTES = 1 << 20, 64 << 20
 #: More groups of equal payloads than this are joined by shuffle, not broadcast.
 BROADCAST_GROUPS = 100_000
 INDEX = "indexes/index.cdxj"
@@ -269,10 +271,18 @@ def read_packages(packages: DataFrame, folder: str, payloads: bool = False) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     runs = packages.select("path").mapInArrow(list_records, "path string, offsets array<long>, lengths array<long>")
-    spread = runs.repartition(F.xxhash64("path", F.get("offsets", F.lit(0))))
+    # the runs are small whatever they point to: the number of tasks follows the stored bytes, and is given, or it would follow the runs'
+    spread = runs.repartition(read_tasks(packages), F.xxhash64("path", F.get("offsets", F.lit(0))))
     return spread.mapInArrow(read_records, RECORD_SCHEMA + ", payload binary" * payloads)
 
 
+def read_tasks(packages: DataFrame) -> int:
+    """The tasks that read the records: four a core, but of ``READ_BYTES[0]`` stored bytes at least and ``READ_BYTES[1]`` at most."""
+    size = packages.agg(F.sum("bytes")).first()[0] or 0
+    cores = packages.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-size // READ_BYTES[0]), max(-(-size // READ_BYTES[1]), 4 * cores)))
+
+
 def archive_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/packages-{uuid.uuid4().hex}"
 

@@ -49,6 +49,20 @@ def test_blocks():
     assert [(b.text, b.tags, b.names) for b in nested] == [("q", ("div", "p"), ("post", "body", "x", "y", "main")), ("r", ("div", "p"), ("post", "body", "x", "y", "main")), ("s", ("p",), ())]
 
 
+def test_nothing_but_the_listed_parts_is_dropped(spark):
+    inside = "where <math><mi>x</mi><mo>=</mo></math> is <object>fallback text</object> or <svg><text>drawn</text></svg> <noscript>plain</noscript>, as written."
+    html = f"<html><body><nav><a href=/a>Home</a></nav><article><p>{inside}</p><xmp>code sample</xmp><p>Then more text follows here.</p></article></body></html>"
+    (got,) = C.extract(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")).collect()
+    assert got.text == "where x= is fallback text or drawn plain, as written.\n\ncode sample\n\nThen more text follows here."
+
+
+def test_features_are_of_the_whole_block():
+    long = "plain words of a notice " * 40
+    (plain,), (cued,) = C.blocks(f"<p>{long}</p>"), C.blocks(f"<p>{long} accept all cookies, 2024</p>")
+    assert C._slot("cue=cookie") in C.features([cued])[0] and C._slot("cue=cookie") not in C.features([plain])[0]
+    assert C._slot("commas=1") in C.features([cued])[0]
+
+
 def test_hard_pages(spark, none):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<article><p>one</p></article>"), (3, "v", "<nav><a href=x>menu</a></nav>"), (3, "v", "<nav><a href=x>menu</a></nav>"),
             (4, "w", "<article>" + "<p>long text, of words.</p>" * 20_000), (5, "x", '<a href="open>' * 2_000), (6, "y", "<" * 50_000), (7, "z", "no tags at all")]

@@ -35,6 +35,29 @@ def test_parts_rules_and_verdicts(spark, none):
     assert U.judge(none.selectExpr("doc_id AS page_id", "text AS url"), URL_RULES).collect() == []
 
 
+def test_verdicts_against_counting_by_hand(spark):
+    """Every verdict and score again, with plain counts of the words as the operator reports them; long and dotless hosts too."""
+    import math
+    from collections import Counter
+    names = ["casino", "poker", "books", "garden", "casinopokergarden" * 6, "news", "librarybooks", "pills", "music", "history"]
+    urls = [f"http://{n}{'.com' if i % 3 else ''}/{names[(i * 7) % 10]}/{names[(i * 3) % 10]}-{names[(i * 3) % 10]}" for i in range(200) for n in (names[i % 10],)]
+    got = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), []).collect()
+    hosts = {r.page_id: len(U.url_words(U.Segmenter({}), r.host, "", {})[0]) for r in got}
+    assert all(r.words for r in got) and max(len(r.words.split()) for r in got) >= 18
+    label = {r.page_id: 0 if U.STRONG_WORDS & set(r.words.split()[:hosts[r.page_id]]) else 1 for r in got}
+    counts = [Counter(w for r in got if label[r.page_id] == c for w in set(r.words.split())) for c in (0, 1)]
+    counts[0].update(U.BLOCKED_WORDS)
+    counts[1].update(U.ORDINARY_WORDS)
+    words = counts[0].keys() | counts[1].keys()
+    total = [sum(c.values()) + len(words) for c in counts]
+    prior = math.log(sum(v == 0 for v in label.values()) + 1) - math.log(sum(v == 1 for v in label.values()) + 1)
+    odds = lambda w: math.log((counts[0][w] + 1) / total[0]) - math.log((counts[1][w] + 1) / total[1])
+    for r in got:
+        want = prior + sum(map(odds, set(r.words.split())))
+        assert abs(r.score - want) < 1e-9 and r.verdict == ("block" if want > 0 else "allow")
+    assert {r.verdict for r in got} == {"allow", "block"}
+
+
 def test_longest_rule_and_ties(spark):
     df = spark.createDataFrame([(1, "http://a.b.com/x/y")], "page_id long, url string")
     rules = [("allow", "com/"), ("block", "b.com/x"), ("allow", "com/x/y"), ("block", "a.b.com/")]

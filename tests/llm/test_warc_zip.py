@@ -64,6 +64,17 @@ def zip64(members):
     return out.getvalue()
 
 
+def test_reading_is_dealt_out_by_stored_bytes(spark, monkeypatch):
+    """Also where adaptive execution would join the small table of ranges into one task."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(Z, "RANGE_RECORDS", 10)
+    monkeypatch.setattr(Z, "READ_BYTES", (2_000, 1 << 20))
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.sha2(F.concat("id", i).cast("string"), 256))).alias("html"))
+    out = Z.round_trip(pages)
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 300 and len(tasks) >= 4 and max(r["count"] for r in tasks) <= 150
+
+
 def test_zip64_directory():
     data = {"archive/a.warc.gz": b"x" * 70_000, "b": b"", "c/ü": b"yz"}
     raw = zip64(data)
