@@ -1,41 +1,51 @@
 """URL verdicts: rules by host and path prefix, else naive Bayes over segmented names.
 
-Host names such as ``cheappills`` are split into words by Viterbi over unigram
+Names such as ``cheappills`` are split into words by Viterbi over unigram
 probabilities, counted on the hyphenated host names and path words of all URLs
-and on a seed list.  A multinomial naive Bayes model over the words of host and
-path then scores the URL.  Its training examples are all URLs of the table,
-labelled by whether a seed word of the blocked topics stands in the host's
-words; counts are summed by Spark and the most frequent ``VOCABULARY`` words kept.
+and on a list of common words.  Multinomial naive Bayes over the words of host
+and path then scores the URL.  Its labelled examples are the words of
+``BLOCKED_WORDS`` and ``ORDINARY_WORDS``, one example each; the model of these
+alone labels every URL of the table by its host, and the words of all URLs,
+with their multiplicity, are counted under these labels.  A word that is in no
+list thus counts as what it stands beside.  A URL's words weigh one together, so
+that no long one outweighs the others.
+
+The counts of all words are tables, joined to the names and to the URLs; no
+vocabulary passes the driver.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept of the unigram and naive Bayes counts; hosts whose words a task remembers.
-VOCABULARY, REMEMBERED = 50_000, 100_000
+from tallycast.llm.common import BROADCAST_IDS, stored
+
+#: Letters of a lexicon word, at most; longer runs of unknown letters are split.
 LONGEST_WORD = 24
-#: Seed words of the blocked topics and of ordinary names.
+#: Labelled words of the blocked topics and of ordinary names.
 BLOCKED_WORDS = (
-    "ads adult adware banner bet bets betting bingo bonus buy casino cheap cialis clickbait coupon crack dating deal deals diet discount escort "
-    "farm forex free gambling gamble hack jackpot keygen loan loans lottery lotto malware nude payday phish pharma pharmacy pill pills pirate poker "
-    "porn prize roulette scam sex sexy slot slots spam spyware steroids sweepstakes torrent track tracker tracking viagra warez webcam win winner xxx"
-).split()
-STRONG_WORDS = frozenset(
-    "adult adware bet bets betting bingo casino cialis clickbait escort gambling gamble hack jackpot keygen lottery lotto malware nude payday phish "
-    "pill pills poker porn roulette scam sex sexy slots spam spyware steroids sweepstakes tracker tracking viagra warez xxx ads".split())
+    "ads adult adware bet bets betting bingo casino cialis clickbait escort gambling gamble hack jackpot keygen lottery lotto malware nude payday phish "
+    "pill pills poker porn roulette scam sex sexy slots spam spyware steroids sweepstakes tracker tracking viagra warez xxx").split()
 ORDINARY_WORDS = (
-    "about academy archive art article articles bank blog book books city college com community company country data daily design docs edu education "
-    "en example family food forum garden gov guide health help history home house index info journal kids learn library life local magazine mail map "
-    "market media museum music net news north online open org page park people photo post press public radio research review school science search "
-    "shop site south sport sports store story student support team tech times today town travel university video weather web west wiki work world www"
-).split()
+    "about academy archive art article articles bank book books city college community company country daily design docs edu education "
+    "family food forum garden gov guide health help history house info journal kids learn library life local magazine map "
+    "market media museum music news north online park people photo post press public radio research review school science "
+    "south sport sports store story student support team tech times today town travel university video weather west wiki work world").split()
+#: Further words that the segmenter knows; they carry no label.
+COMMON_WORDS = (
+    "banner blog bonus buy cheap com coupon crack dating deal deals diet discount en example farm forex free home index loan loans mail net "
+    "open org page pharma pharmacy pirate prize search shop site slot torrent track web webcam win winner www").split()
+#: Weight of a listed word in the lexicon, of a labelled word as an example, and the share of blocked URLs assumed beforehand.
+KNOWN, EXAMPLES, PRIOR = 1000, 3, 1 / 3
+#: Weights and log odds are whole numbers of 2^-20, so that sums do not depend on their order.
+_UNIT = 1 << 20
+#: Salts of a join with a lexicon too large to broadcast.
+_SALTS = 16
 
 
 # ---------------------------------------------------------------- parts and rules
@@ -64,136 +74,174 @@ def first_rule(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 
 # ---------------------------------------------------------------- words
 
-class Segmenter:
-    """Most probable split of a name into words; unknown words cost tenfold for each letter."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.counts = dict(counts)
-        for w in (*BLOCKED_WORDS, *ORDINARY_WORDS):
-            self.counts[w] = self.counts.get(w, 0) + 1000
-        total = math.log(sum(self.counts.values()))
-        self.cost = {w: total - math.log(n) for w, n in self.counts.items() if n > 0}
-        self.unknown = total
-        self.longest = max(map(len, self.cost), default=1)
-
-    def words(self, name: str) -> list[str]:
-        if name.isdigit():
-            return ["0"]  # a number, whichever
-        best, back = [0.0], [0]
-        for end in range(1, len(name) + 1):
-            options = []
-            for start in range(max(0, end - min(max(self.longest, LONGEST_WORD), 64)), end):
-                w = name[start:end]
-                options.append((best[start] + self.cost.get(w, self.unknown + 2.3 * len(w)), start))
-            cost, start = min(options)
-            best.append(cost)
-            back.append(start)
-        out, end = [], len(name)
-        while end:
-            out.append(name[back[end]:end])
-            end = back[end]
-        return out[::-1]
-
-
-_NAME = re.compile(r"[^\W_]+")
-
-
-def url_words(segmenter: Segmenter, host: str, path: str, memory: dict[str, list[str]]) -> tuple[list[str], list[str]]:
-    """The segmented words of the host, without its last label where it has several, and of the path.  A name of any length is split, in linear time."""
-    def split(text: str) -> list[str]:
-        out = []
-        for name in _NAME.findall(text.lower()):
-            if name not in memory:
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                memory[name] = segmenter.words(name)
-            out += memory[name]
-        return out
-
-    return split(host.rpartition(".")[0] or host), split(path)
-
-
-def unigram_counts(parts: DataFrame) -> dict[str, int]:
-    """How often words stand in hyphenated host names and in paths, over all rows; the most frequent ``VOCABULARY``.
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``table`` (stored, one row a ``key``); rows whose key it lacks go.
+
+    The table is broadcast where it is counted at ``BROADCAST_IDS`` or fewer.
+    Beyond, both sides are shuffled, and a key is dealt to ``_SALTS`` tasks, as
+    words such as ``www`` stand in most URLs.
+    """
+    if table.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(table), key)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(_SALTS)).cast("int")
+    return rows.withColumn("_salt", salt).join(table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))), [key, "_salt"]).drop("_salt")
+
+
+def lexicon(parts: DataFrame) -> DataFrame:
+    """(word, n): how often words stand in hyphenated host names and in paths, over all rows, and the listed words.
 
     Host names without a hyphen may be concatenations and are not counted as words.
     """
     names = F.split(F.lower(F.col("host")), r"\.")
     hyphenated = F.filter(names, lambda n: F.instr(n, "-") > 0)
     words = F.concat(F.flatten(F.transform(hyphenated, lambda n: F.split(n, "-"))), F.split(F.lower(F.col("path")), r"[^a-z]+"))
-    each = parts.select(F.explode(words).alias("word")).where("word RLIKE '^[a-z]{2,24}$'")
-    top = each.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    return {r["word"]: r["n"] for r in top.collect()}
+    each = parts.select(F.explode(words).alias("word"), F.lit(1).cast("long").alias("n")).where(f"word RLIKE '^[a-z]{{2,{LONGEST_WORD}}}$'")
+    listed = sorted({*BLOCKED_WORDS, *ORDINARY_WORDS, *COMMON_WORDS})
+    known = parts.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, listed))).alias("word"), F.lit(KNOWN).cast("long").alias("n"))
+    return each.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def best_split(name: str, counts: dict[str, int], total: int) -> list[str]:
+    """The most probable split of ``name`` by the ``counts`` of words, of ``total`` in all; an unknown word costs tenfold for each letter.
+
+    Time and memory are linear in the name's length.  A number is the word ``0``.
+    """
+    if name.isdecimal():
+        return ["0"]
+    log_total = math.log(total)
+    cost = {w: log_total - math.log(n) for w, n in counts.items()}
+    best, back = [0.0], [0]
+    for end in range(1, len(name) + 1):
+        least, start = min((best[s] + cost.get(name[s:end], log_total + 2.3 * (end - s)), s) for s in range(max(0, end - LONGEST_WORD), end))
+        best.append(least)
+        back.append(start)
+    out, end = [], len(name)
+    while end:
+        out.append(name[back[end]:end])
+        end = back[end]
+    return out[::-1]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, word) of every stretch of a name that may be a word, some 30,000 at a time."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], names=["key", "word"])
+
+    keys: list[str] = []
+    words: list[str] = []
+    for rows in batches:
+        for key, name in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            for first in range(0, len(name), 1000):
+                found = {name[a:b] for a in range(first, min(first + 1000, len(name))) for b in range(a + 2, min(a + LONGEST_WORD, len(name)) + 1)}
+                words += found
+                keys += [key] * len(found)
+                if len(words) >= 30_000:
+                    yield batch()
+                    keys, words = [], []
+    if words:
+        yield batch()
+
+
+def _splits(total: int):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            names = rows.column(0).to_pylist()
+            words = [best_split(name, {f["word"]: f["n"] for f in found or ()}, total) for name, found in zip(names, rows.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(words, pa.list_(pa.string()))], names=["name", "words"])
+    return split
+
+
+def segmented(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, words) of distinct ``names`` by a stored lexicon (word, n), stored: each name meets the lexicon words that stand in it."""
+    total = words.agg(F.sum("n")).first()[0]
+    # the pieces of a long name carry its hash instead; names hold letters and digits only
+    keyed = names.select(F.when(F.length("name") > 64, F.concat(F.lit("#"), F.sha2("name", 256))).otherwise(F.col("name")).alias("key"), "name")
+    pieces = keyed.where("name RLIKE '[a-z]{2}'").mapInArrow(_pieces, "key string, word string").where("word RLIKE '^[a-z]+$'")
+    found = looked_up(pieces, words, "word").groupBy("key").agg(F.collect_set(F.struct("word", "n")).alias("found"))
+    return stored(keyed.join(found, "key", "left").select("name", "found").mapInArrow(_splits(total), "name string, words array<string>"), "names")
+
+
+def url_words(parts: DataFrame) -> DataFrame:
+    """(host, path, n, own, rest) of every distinct URL of ``parts``, stored: its rows and the words of host and path in order.
+
+    The last label of a host that has several is left out.
+    """
+    urls = stored(parts.groupBy("host", "path").agg(F.count("*").alias("n")), "urls")
+    labels = F.when(F.instr("host", ".") > 0, F.regexp_extract("host", r"(?s)^(.*)\.", 1)).otherwise(F.col("host"))
+    runs = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0))
+    placed = lambda c, own: F.transform(runs(c), lambda name, i: F.struct(F.lit(own).alias("own"), i.alias("place"), name.alias("name")))
+    each = urls.select("host", "path", F.explode(F.concat(placed(labels, True), placed(F.col("path"), False))).alias("c")).select("host", "path", "c.*")
+    names = segmented(each.select("name").distinct(), stored(lexicon(parts), "lexicon"))
+    words = looked_up(each, names, "name").groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct("own", "place", "words"))).alias("all"))
+    of = lambda own: F.flatten(F.transform(F.filter("all", lambda c: c["own"] == own), lambda c: c["words"]))
+    # rows whose URL has no name are left out by the inner join of `each` and come back here
+    return stored(urls.join(words, ["host", "path"], "left").select(
+        "host", "path", "n", *[F.coalesce(of(own), F.array().cast("array<string>")).alias(c) for own, c in ((True, "own"), (False, "rest"))]), "url-words")
 
 
 # ---------------------------------------------------------------- naive Bayes
 
-class Bayes:
-    """Log odds of blocked against allowed by multinomial word counts with add-one smoothing."""
-
-    def __init__(self, counts: dict[str, tuple[int, int]], blocked_urls: int, allowed_urls: int):
-        words = {w: list(n) for w, n in counts.items()}
-        for seeds, column in ((BLOCKED_WORDS, 0), (ORDINARY_WORDS, 1)):
-            for w in seeds:
-                words.setdefault(w, [0, 0])[column] += 1
-        totals = [sum(n[i] for n in words.values()) + len(words) for i in (0, 1)]
-        self.odds = {w: math.log((b + 1) / totals[0]) - math.log((a + 1) / totals[1]) for w, (b, a) in words.items()}
-        self.prior = math.log(blocked_urls + 1) - math.log(allowed_urls + 1)
-
-    def score(self, words: list[str]) -> float:
-        return self.prior + sum(self.odds.get(w, 0.0) for w in sorted(set(words)))
-
-
-def train(parts: DataFrame, segmenter: Segmenter) -> Bayes:
-    """Word counts of blocked and allowed URLs over all rows."""
-    shared = parts.sparkSession.sparkContext.broadcast(segmenter)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, list[str]] = {}
-        for batch in batches:
-            held: dict[str | None, list[int]] = {None: [0, 0]}
-            for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own, rest = url_words(shared.value, host, path, memory)
-                label = 0 if STRONG_WORDS.intersection(own) else 1
-                held[None][label] += 1
-                for w in {*own, *rest}:  # once for each URL, so that no long one outweighs the others
-                    held.setdefault(w, [0, 0])[label] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array([n[0] for n in held.values()], pa.int64()), pa.array([n[1] for n in held.values()], pa.int64())],
-                names=["word", "blocked", "allowed"])
-
-    sums = parts.select("host", "path").mapInArrow(count, "word string, blocked long, allowed long").groupBy("word").agg(
-        F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
-    top = sums.orderBy(F.col("word").isNotNull(), F.desc(F.col("blocked") + F.col("allowed")), "word").limit(VOCABULARY + 1).collect()
-    counts = {r["word"]: (r["blocked"], r["allowed"]) for r in top}
-    urls = counts.pop(None, (0, 0))
-    return Bayes(counts, *urls)
+def log_odds(blocked: Column, allowed: Column, all_blocked: Column, all_allowed: Column) -> Column:
+    """Log odds of a word by its counts in the blocked and the allowed examples and those examples' sizes.
+
+    A word's rate in a class, relative to its rate in all examples, has a Gamma(1, 1)
+    prior, so that a rare word tells little and one as frequent in both nothing.
+    """
+    share = (blocked + allowed) / (all_blocked + all_allowed)
+    return F.log((blocked + 1) / (all_blocked * share + 1)) - F.log((allowed + 1) / (all_allowed * share + 1))
+
+
+def example_odds() -> dict[str, float]:
+    """Log odds of the labelled words alone."""
+    sizes = [EXAMPLES * len(BLOCKED_WORDS), EXAMPLES * len(ORDINARY_WORDS)]
+    odds = []
+    for counts in ((EXAMPLES, 0), (0, EXAMPLES)):
+        share = EXAMPLES / sum(sizes)
+        odds.append(math.log((counts[0] + 1) / (sizes[0] * share + 1)) - math.log((counts[1] + 1) / (sizes[1] * share + 1)))
+    return {**dict.fromkeys(BLOCKED_WORDS, odds[0]), **dict.fromkeys(ORDINARY_WORDS, odds[1])}
+
+
+def _whole(x: Column) -> Column:
+    return F.round(x * _UNIT).cast("long")
+
+
+def word_odds(urls: DataFrame) -> DataFrame:
+    """(word, odds) of every word of ``urls``, stored; odds are whole numbers of 2^-20.
+
+    The labelled words alone judge each URL by its host; the words of all URLs,
+    with their multiplicity, are counted under these labels.
+    """
+    known = F.create_map(*[F.lit(x) for w, o in sorted(example_odds().items()) for x in (w, round(o * _UNIT))])
+    seen = lambda w: F.coalesce(F.element_at(known, w), F.lit(0)).cast("long")
+    label = F.aggregate("own", F.lit(_prior()).cast("long"), lambda s, w: s + seen(w)) > 0
+    words = F.concat("own", "rest")
+    weight = F.expr(f"n * {_UNIT} div greatest(size(own) + size(rest), 1)")
+    each = urls.select(label.alias("bad"), weight.alias("weight"), F.explode(words).alias("word"))
+    sums = lambda df: df.agg(*[F.coalesce(F.sum(F.when(F.col("bad") == bad, F.col("weight"))), F.lit(0)).alias(c) for bad, c in ((True, "b"), (False, "a"))])
+    counts = stored(sums(each.groupBy("word")), "word-counts")
+    all_blocked, all_allowed = counts.agg(F.sum("b"), F.sum("a")).first()
+    odds = log_odds(F.col("b") / _UNIT, F.col("a") / _UNIT, F.lit((all_blocked or 0) / _UNIT), F.lit((all_allowed or 0) / _UNIT))
+    return stored(counts.select("word", (_whole(odds) + seen(F.col("word"))).alias("odds")), "word-odds")
+
+
+def _prior() -> int:
+    return round(math.log(PRIOR / (1 - PRIOR)) * _UNIT)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """page_id, host, path, rule, verdict, words, score of every row.
 
     ``verdict`` is the rule's, else ``block`` where the model's log odds are
-    above 0.  A url without words is allowed.  Repeated rows are judged each, a
-    null page_id stays null, extra columns are not read, an empty table gives
-    no rows.
+    above 0.  A url without words is allowed, its score null.  Repeated rows are
+    judged each and count each, a null page_id stays null, extra columns are not
+    read, an empty table gives no rows.  A name of any length is split.
     """
     parts = with_parts(pages)
-    segmenter = Segmenter(unigram_counts(parts))
-    model = pages.sparkSession.sparkContext.broadcast((segmenter, train(parts, segmenter)))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_segmenter, bayes = model.value
-        memory: dict[str, list[str]] = {}
-        for batch in batches:
-            words, scores = [], []
-            for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                own, rest = url_words(own_segmenter, host, path, memory)
-                words.append(" ".join(own + rest))
-                scores.append(bayes.score(own + rest) if own or rest else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.string()), pa.array(scores, pa.float64())], names=["page_id", "host", "path", "words", "score"])
-
-    scored = parts.mapInArrow(score, "page_id long, host string, path string, words string, score double")
+    urls = url_words(parts)
+    each = urls.select("host", "path", F.explode(F.concat("own", "rest")).alias("word"))
+    sums = looked_up(each, word_odds(urls), "word").groupBy("host", "path").agg(F.sum("odds").alias("sum"))
+    score = ((F.col("sum") + _prior()) / _UNIT).alias("score")
+    scores = urls.join(sums, ["host", "path"], "left").select("host", "path", F.array_join(F.concat("own", "rest"), " ").alias("words"), score)
     rule, verdict = first_rule(rules)
     own = F.when(F.col("score") > 0, "block").otherwise("allow")
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "words", "score")
+    return parts.join(scores, ["host", "path"]).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "words", "score")
