@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import BROADCAST_IDS, stored
+from tallycast.llm.common import stored
 
 #: Letters of a lexicon word, at most; longer runs of unknown letters are split.
 LONGEST_WORD = 24
@@ -44,8 +44,8 @@ COMMON_WORDS = (
 KNOWN, EXAMPLES, PRIOR = 1000, 3, 1 / 3
 #: Weights and log odds are whole numbers of 2^-20, so that sums do not depend on their order.
 _UNIT = 1 << 20
-#: Salts of a join with a lexicon too large to broadcast.
-_SALTS = 16
+#: Size of a lexicon that is broadcast; salts of a join with a larger one.
+BROADCAST_BYTES, _SALTS = 1 << 24, 16
 
 
 # ---------------------------------------------------------------- parts and rules
@@ -77,11 +77,11 @@ def first_rule(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """``rows`` joined with ``table`` (stored, one row a ``key``); rows whose key it lacks go.
 
-    The table is broadcast where it is counted at ``BROADCAST_IDS`` or fewer.
+    The table is broadcast where its rows, spelled out, take ``BROADCAST_BYTES`` or fewer.
     Beyond, both sides are shuffled, and a key is dealt to ``_SALTS`` tasks, as
     words such as ``www`` stand in most URLs.
     """
-    if table.count() <= BROADCAST_IDS:
+    if (table.agg(F.sum(F.length(F.to_json(F.struct(*table.columns))))).first()[0] or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), key)
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(_SALTS)).cast("int")
     return rows.withColumn("_salt", salt).join(table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))), [key, "_salt"]).drop("_salt")
@@ -168,7 +168,8 @@ def url_words(parts: DataFrame) -> DataFrame:
     """
     urls = stored(parts.groupBy("host", "path").agg(F.count("*").alias("n")), "urls")
     labels = F.when(F.instr("host", ".") > 0, F.regexp_extract("host", r"(?s)^(.*)\.", 1)).otherwise(F.col("host"))
-    runs = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0))
+    number = lambda name: F.when(name.rlike(r"^\p{Nd}+$"), "0").otherwise(name)
+    runs = lambda c: F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0)), number)
     placed = lambda c, own: F.transform(runs(c), lambda name, i: F.struct(F.lit(own).alias("own"), i.alias("place"), name.alias("name")))
     each = urls.select("host", "path", F.explode(F.concat(placed(labels, True), placed(F.col("path"), False))).alias("c")).select("host", "path", "c.*")
     names = segmented(each.select("name").distinct(), stored(lexicon(parts), "lexicon"))

@@ -66,11 +66,11 @@ def test_verdicts_against_counting_by_hand(spark):
     names = ["casino", "poker", "books", "garden", "casinopokergarden" * 6, "news", "librarybooks", "pills", "music", "cheap-zorbo"]
     urls = [f"http://{names[i % 10]}{'.com' if i % 3 else ''}/{names[(i * 7) % 10]}/{names[(i * 3) % 10]}-{names[(i * 3) % 10]}/{i % 4}" for i in range(200)] * 2
     for salted in (False, True):  # the lexicons broadcast, and dealt by salts
-        U.BROADCAST_IDS, before = (0, U.BROADCAST_IDS) if salted else (U.BROADCAST_IDS,) * 2
+        U.BROADCAST_BYTES, before = (0, U.BROADCAST_BYTES) if salted else (U.BROADCAST_BYTES,) * 2
         try:
             got = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), []).collect()
         finally:
-            U.BROADCAST_IDS = before
+            U.BROADCAST_BYTES = before
         assert len(got) == 400
         want = by_hand(urls)
         for r in got:
