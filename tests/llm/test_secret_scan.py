@@ -56,24 +56,77 @@ def test_battery_tells_random_tokens(spark):
             assert kind == "random" and text[i][int(a):int(b)] in text[i].split()[2]
 
 
-def test_statistics(spark):
-    """Each test statistic against plain Python."""
-    token = "aB3dE5gH7jK9mN1pQ3sT5vW7"
-    df = S._with_battery(S._with_matches(spark.createDataFrame([(token,)], "_t string"), "_t", "tokens", S.TOKEN), "tokens")
-    got = df.select(F.explode("tokens").alias("c")).select("c.*").first()
+def battery(token, encoding):
+    """The p-value of a token in plain Python."""
     import math
-    x = [S.ALPHABETS["base64"].index(c) for c in token]
-    n, a, mean = len(x), 64, sum(x) / len(x)
+    x = [S.ALPHABETS[encoding].index(c) for c in (token.lower() if encoding in S.FOLDED else token)]
+    n, a, mean = len(x), min(64, len(S.ALPHABETS[encoding])), sum(x) / len(x)
     chi = (a / n * sum(x.count(v) ** 2 for v in set(x)) - n - (a - 1)) / math.sqrt(2 * (a - 1) * (n - 1) / n)
     up = [v >= a / 2 for v in x]
     n1, runs = sum(up), 1 + sum(p != q for p, q in zip(up, up[1:]))
     e = 2 * n1 * (n - n1) / n + 1
-    run = (runs - e) / math.sqrt((e - 1) * (e - 2) / (n - 1))
+    run = (runs - e) / math.sqrt((e - 1) * (e - 2) / (n - 1)) if 1 < n1 < n - 1 else 8.0
     d = [v - mean for v in x]
     serial = (sum(p * q for p, q in zip(d, d[1:])) / sum(v * v for v in d) + 1 / n) * math.sqrt(n)
     tail = lambda z: max(math.erfc(z / math.sqrt(2)) / 2, 1e-12)
     h = -math.log(tail(chi)) - math.log(2 * tail(abs(run))) - math.log(2 * tail(abs(serial)))
-    assert abs(got.p - math.exp(-h) * (1 + h + h * h / 2)) < 0.01
+    return math.exp(-h) * (1 + h + h * h / 2)
+
+
+DRAWN = {"hex": "0123456789ABCDEF", "base32": S.ALPHABETS["base32"], "base36": S.ALPHABETS["base36"], "base64": S.ALPHABETS["base64"][:64],
+         "letters": string.ascii_letters, "case": string.ascii_lowercase, "digits": string.digits}
+
+
+def test_statistics(spark):
+    """Encoding and p-value of random tokens against plain Python."""
+    rng = random.Random(6)
+    rows = [(f"{e}", "".join(rng.choices(abc, k=n))) for e, abc in DRAWN.items() for n in (20, 24, 40, 200) if n >= S.LEAST.get(e, 20) for _ in range(8)]
+    df = S._with_battery(S._with_matches(spark.createDataFrame(rows, "e string, _t string"), "_t", "tokens", S.TOKEN), "tokens")
+    got = df.select("e", "_t", F.explode("tokens").alias("c")).select("e", "_t", "c.*").collect()
+    same = 0
+    for r in got:
+        encoding = r["class"].split(".")[0]
+        assert (r.start, r.end) == (0, len(r._t)) and abs(r.p - battery(r._t, encoding)) < 0.01
+        same += encoding == r.e
+    assert len(got) >= 0.95 * len(rows) and same >= 0.9 * len(rows)  # by chance some show fewer kinds of characters
+
+
+def test_recall_and_false_reports_by_alphabet(spark):
+    """Random tokens of every alphabet and length among as many that are words, paths and numbers."""
+    rng = random.Random(7)
+    words = ("international", "government", "because", "understanding", "machine", "people", "information", "between", "relation", "settings", "another", "the", "temperature", "sentence")
+    rows = []
+    for e, abc in DRAWN.items():
+        for n in (20, 24, 40):
+            for i in range(100):
+                rows.append((len(rows), e, n, True, "".join(rng.choices(abc, k=n))))
+                some = [rng.choice(words) for _ in range(n)]
+                plain = "".join(w.title() if e in ("letters", "base64") else w for w in some)[:n]
+                plain = {"digits": f"{rng.randint(0, 99):02d}" + f"{rng.randint(0, 9)}0000" * 10, "hex": ("DEAD0000BEEF" * 5)[i % 7:], "base32": "".join(some).upper()[:n - 1] + "2",
+                         "base36": plain[:-1] + "1"}.get(e, plain)[:n]
+                rows.append((len(rows), e, n, False, plain))
+    df = spark.createDataFrame([(r[0], "see " + r[4] + " .") for r in rows], "doc_id long, text string")
+    found = {r.doc_id for r in S.report(S.scan(df)).collect() if "random" in r.spans}
+    for e in DRAWN:
+        for n in (20, 24, 40):
+            hits, false = (sum(r[0] in found for r in rows if r[1] == e and r[2] == n and r[3] == random_) for random_ in (True, False))
+            if n < S.LEAST.get(e, 20):
+                assert hits + false <= 5  # some drawn letters of one case have no digit, or the reverse
+            elif (e, n) == ("digits", 40):
+                assert hits == false == 0  # 32 digits and more are found by the hexadecimal pattern
+            elif n == 40:
+                assert hits >= 75 and false <= 0.05 * hits
+            else:  # little power: words among them are told from random less well
+                assert hits >= 40 and false <= 0.5 * hits
+
+
+def test_words_alone_are_not_reported(spark):
+    """P-values that fall off towards one are no sign of random tokens, however many exceed one half."""
+    rng = random.Random(10)
+    falling = [("case.2", rng.betavariate(0.4, 3)) for _ in range(5_000)]
+    level = [("hex.2", rng.random()) for _ in range(5_000)]
+    assert set(S.thresholds(spark.createDataFrame(falling + level, "class string, p double"))) == {"hex.2"}
+    assert S.thresholds(spark.createDataFrame([("case.2", 0.4), ("letters.3", 0.4), ("digits.1", 0.4)], "class string, p double")) == {}
 
 
 def test_redaction(spark, hard, documents):
