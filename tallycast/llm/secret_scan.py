@@ -21,7 +21,7 @@ but such an estimate tells them from secrets.
 Words keep p-values over one half where the tests have little power, and fewer the
 higher; so the estimate is no more than what the p-values over 0.7 and 0.9 allow.
 Tokens of fewer than 20 characters are not judged, nor letters of one case under
-32 and of both under 24: of joined English words of those lengths 0 and 0.4 percent
+32 and of both under 24: of joined English words of those lengths 0.6 and 0.4 percent
 have a p-value over 0.2 (of random tokens 80), of 20 letters of one case 22 percent.
 """
 
