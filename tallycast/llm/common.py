@@ -94,5 +94,15 @@ def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.orderBy(place, *df.columns).limit(rows)
 
 
+def as_often(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
+    """Each row as often as its column ``times`` (a long, 1 or more) says, without that column.
+
+    A row's copies are dealt out in blocks, so that those of one row are not all written by one task.
+    """
+    at, parts = unused(df, "block"), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = df.withColumn(at, F.explode(F.expr(f"sequence(0L, (`{times}` - 1) div {block})"))).repartition(parts)
+    return blocks.withColumn(at, F.explode(F.expr(f"sequence(1L, least({block}L, `{times}` - `{at}` * {block}))"))).drop(at, times)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
