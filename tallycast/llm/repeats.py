@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.llm import hashing as H
-from tallycast.llm.common import filter_ids, stored
+from tallycast.llm.common import as_often, filter_ids, stored
 
 LENGTH, K = 100, 32
 BEFORE = LENGTH - K
@@ -325,18 +325,39 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---------------------------------------------------------------- the operator
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, did, sub, text: did orders the rows as doc_id does, null first; sub orders rows of one doc_id by their text's hash."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows doc_id, did, sub, text, one for each doc_id and text, and those that stand for more with their further ``times``.
+
+    ``did`` orders the rows as doc_id does, null first; ``sub`` orders the texts
+    of one doc_id by their hash, numbered by parts of the hash's range, so that a doc_id
+    of many rows (or none) is not in one task.  It is an int: one doc_id
+    has at most 2^31 texts.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("did", F.coalesce("doc_id", F.lit(-(1 << 63))))
     if rows.groupBy("did").count().where("count > 1").isEmpty():
-        return rows.withColumn("sub", F.lit(0))
-    return rows.withColumn("sub", F.row_number().over(Window.partitionBy("did").orderBy(F.sha2("text", 256))))
-
-
-def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(did, sub, spans, and the texts) of the rows of ``docs``: see ``without_repeats``."""
-    rows = _keyed(docs)
+        return rows.withColumn("sub", F.lit(0)), None
+    texts = rows.groupBy("did", "doc_id", "text").agg((F.count("*") - 1).alias("times")).withColumn("hash", F.sha2("text", 256))
+    texts = stored(texts.withColumn("part", F.conv(F.substring("hash", 1, 3), 16, 10).cast("int")), "texts")
+    earlier = Window.partitionBy("did").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over at most 4,096 parts
+    before = texts.groupBy("did", "part").agg(F.count("*").alias("n")).select("did", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("did", "part").orderBy("hash", F.asc_nulls_first("doc_id")))
+    rows = texts.join(before, ["did", "part"]).withColumn("sub", (F.col("before") + own).cast("int"))
+    return rows.select("doc_id", "did", "sub", "text"), texts.where("times > 0").select("doc_id", "text", "times")
+
+
+def _later_copies(copies: DataFrame, with_bytes: bool) -> DataFrame:
+    """What ``without_repeats`` gives for the copies of a doc_id's text: all goes, or nothing of fewer than LENGTH bytes."""
+    n, gone = F.octet_length("text").cast("long"), F.octet_length("text") >= LENGTH
+    runs = lambda at: F.when(gone, F.array(at)).otherwise(F.array().cast("array<long>"))
+    kept = F.when(gone, "").otherwise(F.col("text"))
+    columns = [n.alias("n_bytes"), F.when(gone, n).otherwise(0).cast("long").alias("n_removed"), gone.cast("long").alias("n_spans"),
+               F.sha2(kept, 256).alias("kept_sha256"), runs(F.lit(0).cast("long")).alias("starts"), runs(n).alias("ends")]
+    return as_often(copies.select("doc_id", *columns, *[kept.cast("binary").alias("kept")] * with_bytes, "times"), "times")
+
+
+def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
+    """(did, sub, spans, and the texts) of keyed ``rows`` (doc_id, did, sub, text): see ``without_repeats``."""
     anchors = rows.select("did", "sub", "text").mapInArrow(_anchors, ANCHOR_SCHEMA)
     anchors = anchors.repartitionByRange("run", "context").sortWithinPartitions("run", "context", "did", "sub", "pos")
     found = stored(anchors.mapInArrow(_settled, FOUND_SCHEMA), "anchors")
@@ -370,7 +391,9 @@ def without_repeats(docs: DataFrame, with_bytes: bool = False, hot: int = HOT) -
 
     ``starts`` and ``ends`` are the maximal removed runs; ``with_bytes`` adds the
     bytes that are left.  The corpus is ordered by doc_id, null first; rows that
-    repeat a doc_id are documents of their own, ordered by their text's hash.
+    repeat a doc_id are documents of their own, ordered by their text's hash;
+    of rows that repeat doc_id and text the search meets one, the others lose all
+    of their text if it has LENGTH bytes.
     Null or empty texts and those of fewer than LENGTH bytes keep all.  Extra
     columns are not read; an empty table gives no rows.
     """
@@ -398,4 +421,6 @@ def without_repeats(docs: DataFrame, with_bytes: bool = False, hot: int = HOT) -
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>" + ", kept binary" * with_bytes
-    return repeated_spans(docs, hot).select("doc_id", "text", "spans").mapInArrow(keep, schema)
+    rows, copies = _keyed(docs)
+    found = repeated_spans(rows, hot).select("doc_id", "text", "spans").mapInArrow(keep, schema)
+    return found if copies is None else found.unionByName(_later_copies(copies, with_bytes))

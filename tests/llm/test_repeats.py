@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallycast.llm import repeats as R
+from tallycast.llm.common import as_often
 from tests.llm.conftest import prose
 
 
@@ -55,6 +56,22 @@ def test_hard_rows(hard, none):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.starts) == len(r.ends) == r.n_spans for r in kept)
 
 
+def test_null_and_shared_ids(spark):
+    texts = [t for _, t in patched_texts(7, 40)]
+    rng = random.Random(8)
+    rows = [(i, rng.choice(texts)) for i in [None] * 50 + [3] * 50 + list(range(-9, 9))] + [(None, texts[1])] * 20 + [(-(1 << 63), texts[1])] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(R.without_repeats(df)) == brute(rows)
+    kept = R.without_repeats(df, with_bytes=True).collect()
+    assert len(kept) == len(rows) and all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.starts) == len(r.ends) == r.n_spans for r in kept)
+
+
+def test_copies_are_dealt_out(spark):
+    df = as_often(spark.createDataFrame([("a", 1), ("b", 10), ("c", 25)], "block string, n long"), "n", block=4)
+    assert df.columns == ["block"] and {r.block: r["count"] for r in df.groupBy("block").count().collect()} == {"a": 1, "b": 10, "c": 25}
+    assert df.rdd.getNumPartitions() > 1
+
+
 def test_stretches_do_not_matter(monkeypatch):
     import numpy as np
     rng = random.Random(3)
