@@ -3,10 +3,10 @@ import random
 import corpus_pipeline as C
 from tallycast.llm.common import stored
 from tallycast.llm.decontaminate import contained_items
-from tallycast.llm.jaccard_join import similar_groups
 from tallycast.llm.lang_id import identify
 from tallycast.llm.secret_scan import redacted
 from tests.llm.conftest import SF, prose
+from tests.llm.test_jaccard_join import brute
 
 
 def test_stages(spark):
@@ -20,7 +20,7 @@ def test_stages(spark):
         if name == "language":
             assert set(left) == {r.doc_id for r in identify(docs).collect() if not r.rejected}
         elif name == "near_duplicates":
-            assert set(left) == {r.doc_id for r in similar_groups(docs, 5, 80).collect() if r.doc_id == r.component_id}
+            assert set(left) == {i for i, _, least in brute([(r.doc_id, r.text) for r in before.values()], 5, 80) if i == least}
             assert len(left) < len(before)
         elif name == "decontamination":
             assert set(before) - set(left) == {r.doc_id for r in contained_items(docs, C.read(spark, SF, "benchmark")).collect()}
