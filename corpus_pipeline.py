@@ -47,7 +47,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Language models and tokenizers have no SQL form; tests/llm compares the stages with plain Python.
+#: Language models and tokenizers have no SQL form; tests/llm compares near duplicates with plain Python, the other stages with their operators.
 ORACLE_SQL = None
 
 
